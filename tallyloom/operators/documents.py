@@ -98,10 +98,10 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
     """All versions of all results."""
     schema = (
         T.StructType(list(RESULTS.fields))
-        .add("doc_id", "string")
-        .add("generation", "int")
-        .add("batch", "bigint")
-        .add("index", "string")
+        .add("doc_id", T.StringType())
+        .add("generation", T.IntegerType())
+        .add("batch", T.LongType())
+        .add("index", T.StringType())
     )
     return spark.read.schema(schema).parquet(path)
 

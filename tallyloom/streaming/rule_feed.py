@@ -5,8 +5,10 @@ edit would not be seen. A Python data source is read anew each time its plan run
 Only the small rules side goes through it; events stay with Spark's own sources.
 """
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -15,6 +17,9 @@ from tallyloom.sources.rules import parse_rules, usable
 
 FORMAT = "rule_lines"
 
+# sent to the workers as it is, so that they need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class _FolderReader(DataSourceReader):
     def __init__(self, path: str, max_rows: int, max_bytes: int):
