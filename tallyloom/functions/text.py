@@ -1,6 +1,6 @@
 """Text splitting where trailing empty parts do not count."""
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def parts(text: Column, sep: str) -> Column:
@@ -8,7 +8,7 @@ def parts(text: Column, sep: str) -> Column:
 
     A text made of separators only has no parts at all; the empty text has one.
     """
-    body = F.regexp_replace(text, rf"{sep}+\z", "")
+    body = F.rtrim(text, F.lit(sep))
     return F.when((body == "") & (text != ""), F.array().cast("array<string>")).otherwise(
         F.split(body, sep, -1)
     )
@@ -24,4 +24,14 @@ def whole_number(text: Column, type_name: str) -> Column:
 
 def strip_controls(text: Column) -> Column:
     """Drop blanks and control characters at both ends."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
+    return F.btrim(text, F.lit("".join(map(chr, range(0x21)))))
+
+
+def settled(df: DataFrame, others: list[str], **columns: Column) -> DataFrame:
+    """``others`` and the new ``columns``, which a later filter does not take apart.
+
+    A filter on a parsed column would be pushed below the projections that compute it,
+    and repeat their expressions once per use. It is not pushed through ``inline``.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select(*others, F.inline(F.array(row)))

@@ -2,15 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.functions.text import parts, strip_controls, whole_number
+from tallyloom.functions.text import settled, strip_controls, whole_number
 
 # A run without blanks, where a double-quoted stretch may hold any.
 _RUN = r'[^" ]*+(?:"[^"]*+"[^" ]*+)*+'
-# Three such runs. Quotes pair up from the right, so with an odd number of quotes the
+# Two such runs. Quotes pair up from the right, so with an odd number of quotes the
 # first run also takes everything up to and including the first quote.
-_THREE = rf'^((?:[^"]*+")?{_RUN}) ({_RUN}) ({_RUN})\z'
+_TWO = rf'^((?:[^"]*+")?{_RUN}) ({_RUN})\z'
 # One name=value pair in a comma list: one '=' inside, more only at the end.
-_PAIR = r"(?:^|,)[^=,]*=[^=,]+=*(?=,|\z)"
+_PAIR = r"(?:^|,)([^=,]*)=[^=,]+=*(?=,|\z)"
 
 PART_COUNT = "part count"
 NO_MEASUREMENT = "no measurement"
@@ -24,68 +24,107 @@ def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     Tags and fields go into one map; of two equal names the later wins. Works on batch
     and streaming frames; all other columns of ``lines`` are kept.
     """
-    kept = [c for c in lines.columns]
-    step = lines.withColumn("_text", strip_controls(F.col(column)))
-    # Three runs can be told in two ways only when quotes are odd in number; then the first
-    # way (the longer first run) holds, so an even number must not take the odd form.
-    split3 = [F.regexp_extract("_text", _THREE, i) for i in (1, 2, 3)]
-    step = step.withColumns({"_head": split3[0], "_fields": split3[1], "_time": split3[2]})
-    step = step.withColumns(
-        {
-            "_has_three": F.col("_text").rlike(_THREE),
-            "_measurement": F.get(parts(F.col("_head"), ","), F.lit(0)),
-            # tags first, then fields, each without its trailing commas
-            "_tags": F.regexp_replace(F.regexp_replace("_head", r",+\z", ""), "^[^,]*,?", ""),
-            "_has_tags": F.regexp_replace("_head", r",+\z", "").contains(","),
-            "_body": F.regexp_replace("_fields", r",+\z", ""),
-            "_has_body": (F.col("_fields") == "") | (F.regexp_replace("_fields", r",+\z", "") != ""),
-            "_ns": whole_number(F.col("_time"), "bigint"),
-        }
+    kept = lines.columns
+    step = lines.select(*kept, strip_controls(F.col(column)).alias("_text"))
+    # A readable time holds no quote, so the last blank always comes before it. What is
+    # left has to be two runs; only a line with quotes needs the pattern for that.
+    step = step.select(
+        *kept, "_text", F.substring_index("_text", " ", -1).alias("_time")
+    ).select(
+        *kept,
+        "_time",
+        F.left("_text", F.length("_text") - F.length("_time") - 1).alias("_rest"),
     )
-    step = step.withColumn(
-        "_list",
-        F.when(F.col("_has_tags") & F.col("_has_body"), F.concat_ws(",", "_tags", "_body"))
-        .when(F.col("_has_tags"), F.col("_tags"))
-        .otherwise(F.col("_body")),
+    quoted = F.col("_rest").contains('"')
+    step = step.select(
+        *kept,
+        "_time",
+        "_rest",
+        F.when(quoted, F.regexp_extract("_rest", _TWO, 1))
+        .otherwise(F.substring_index("_rest", " ", 1))
+        .alias("_1"),
+        F.when(quoted, F.regexp_extract("_rest", _TWO, 2))
+        .otherwise(F.substring_index("_rest", " ", -1))
+        .alias("_2"),
     )
-    any_pairs = F.col("_has_tags") | F.col("_has_body")
-    pairs_ok = ~any_pairs | (
-        F.regexp_count(F.col("_list"), F.lit(_PAIR)) == F.size(F.split("_list", ",", -1))
+    # without a match, or with more or fewer than two runs, these do not join up again
+    step = step.select(
+        *kept,
+        (F.concat_ws(" ", "_1", "_2") == F.col("_rest")).alias("_has_three"),
+        F.rtrim("_1", F.lit(",")).alias("_head"),
+        F.rtrim("_2", F.lit(",")).alias("_body"),
+        (F.col("_2") != "").alias("_any_body"),
+        whole_number(F.col("_time"), "bigint").alias("_ns"),
+    )
+    # A part of commas only has no pairs at all; an empty part is one bad pair.
+    has_tags = F.col("_head").contains(",")
+    has_body = (F.col("_body") != "") | ~F.col("_any_body")
+    step = step.select(
+        *kept,
+        "_has_three",
+        "_ns",
+        "_head",
+        "_body",
+        F.substring_index("_head", ",", 1).alias("_measurement"),
+        has_tags.alias("_tagged"),
+        has_body.alias("_filled"),
     )
-    step = step.withColumn(
-        "error",
-        F.when(F.col("_text").isNull() | ~F.col("_has_three"), PART_COUNT)
-        .when(F.col("_measurement").isNull(), NO_MEASUREMENT)
+    tags = F.substr("_head", F.length("_measurement") + 2)
+    step = step.select(
+        *kept,
+        "_has_three",
+        "_ns",
+        "_measurement",
+        (F.col("_head") != "").alias("_named"),
+        (F.col("_tagged") | F.col("_filled")).alias("_any_pairs"),
+        F.when(F.col("_tagged") & F.col("_filled"), F.concat_ws(",", tags, "_body"))
+        .when(F.col("_tagged"), tags)
+        .otherwise(F.col("_body"))
+        .alias("_list"),
+    )
+    step = step.select("*", F.regexp_extract_all("_list", F.lit(_PAIR), F.lit(1)).alias("_names"))
+    pairs_ok = ~F.col("_any_pairs") | (F.size("_names") == F.size(F.split("_list", ",", -1)))
+    # '=' at the end of a pair does not belong to its value
+    loose = F.col("_list").contains("=,") | F.col("_list").endswith("=")
+    step = step.select(
+        *kept,
+        "_ns",
+        "_measurement",
+        "_any_pairs",
+        "_names",
+        F.when(loose, F.regexp_replace("_list", r"=+(?=,|\z)", "")).otherwise(F.col("_list")).alias("_clean"),
+        F.when(~F.coalesce("_has_three", F.lit(False)), PART_COUNT)
+        .when(~F.col("_named"), NO_MEASUREMENT)
         .when(~pairs_ok, BAD_PAIR)
-        .when(F.col("_ns").isNull(), BAD_TIME),
+        .when(F.col("_ns").isNull(), BAD_TIME)
+        .alias("_error"),
     )
-    good = F.col("error").isNull()
-    step = step.withColumn("_clean", F.regexp_replace("_list", r"=+(?=,|\z)", ""))
-    names = F.split(F.regexp_replace("_clean", "=[^,]*", ""), ",", -1)
     # Equal names are rare: only such a line pays for finding which pairs a later one hides.
     last_of_name = F.array_join(
         F.filter(
             F.split("_clean", ",", -1),
             lambda pair, i: ~F.array_contains(
-                F.slice(names, i + 2, F.size(names)), F.substring_index(pair, "=", 1)
+                F.slice("_names", i + 2, F.size("_names")), F.substring_index(pair, "=", 1)
             ),
         ),
         ",",
     )
     unique = F.when(
-        F.size(F.array_distinct(names)) == F.size(names), F.col("_clean")
+        F.size(F.array_distinct("_names")) == F.size("_names"), F.col("_clean")
     ).otherwise(last_of_name)
-    fields = F.when(good & any_pairs, F.str_to_map(unique, F.lit(","), F.lit("="))).when(
+    good = F.col("_error").isNull()
+    fields = F.when(good & F.col("_any_pairs"), F.str_to_map(unique, F.lit(","), F.lit("="))).when(
         good, F.create_map().cast("map<string,string>")
     )
     ms = F.when(good, F.call_function("div", F.col("_ns"), F.lit(1_000_000)))
-    return step.select(
-        *kept,
-        F.when(good, F.col("_measurement")).alias("table_name"),
-        fields.alias("fields"),
-        ms.alias("event_ms"),
-        F.timestamp_millis(ms).alias("event_time"),
-        "error",
+    return settled(
+        step,
+        kept,
+        table_name=F.when(good, F.col("_measurement")),
+        fields=fields,
+        event_ms=ms,
+        event_time=F.timestamp_millis(ms),
+        error=F.col("_error"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyloom.functions.text import parts, whole_number
+from tallyloom.functions.text import parts, settled, whole_number
 from tallyloom.model import AGG_FUNCS, CONTROL_TYPES, RULE_STATES, RULES
 
 _JSON_SCHEMA = (
@@ -49,7 +49,7 @@ def _checked(df: DataFrame, others: list[str], misread: Column) -> DataFrame:
         .when(active & (F.size(F.coalesce("aggs", F.array())) <= 0), "no aggregates")
         .when(active & F.coalesce(F.col("window_minutes") <= 0, F.lit(True)), "bad window")
     )
-    return df.withColumn("error", error).select(*others, *RULES.names, "error")
+    return settled(df, others, **{name: F.col(name) for name in RULES.names}, error=error)
 
 
 def parse_rules(lines: DataFrame, column: str = "line") -> DataFrame:
