@@ -2,19 +2,22 @@
 
 from pyspark.sql import Column, functions as F
 
+from tallyloom.functions.fields import Fields
 
-def group_values(fields: Column, keys: Column, max_keys: int | None = None) -> Column:
-    """The values of ``keys`` in ``fields``, a missing one as the text ``null``.
+
+def group_values(fields: Fields, keys: Column, max_keys: int | None = None) -> Column:
+    """The values of ``keys`` in the event, a missing one as the text ``null``.
 
     With ``max_keys`` (a checked upper bound on the length of ``keys``) the values are
     picked position by position, which stays inside generated code; without it a
     ``transform`` is used.
     """
+    value = lambda key: F.coalesce(fields.text(key), F.lit("null"))
     if max_keys is None:
-        return F.transform(keys, lambda k: F.coalesce(fields[k], F.lit("null")))
+        return F.transform(keys, value)
     if max_keys == 0:
         return F.array().cast("array<string>")
-    slots = [F.coalesce(fields[F.get(keys, F.lit(i))], F.lit("null")) for i in range(max_keys)]
+    slots = [value(F.get(keys, F.lit(i))) for i in range(max_keys)]
     return F.slice(F.array(*slots), F.lit(1), F.size(keys))
 
 

@@ -5,26 +5,24 @@ from pyspark.sql import Column, functions as F
 from tallyloom.model import NUMBER, TOTAL
 
 
-def _as_double(text: Column) -> Column:
+def as_double(text: Column) -> Column:
+    """Text as a double with its quotes dropped; NULL where it is no number."""
     return F.replace(text, F.lit('"'), F.lit("")).try_cast("double")
 
 
-def number(text: Column) -> Column:
-    """Event text as a number: quotes are dropped, anything unreadable counts as 0.
+def number(decimal: Column) -> Column:
+    """A field's number, where anything unreadable counts as 0.
 
-    Not-a-number, infinities, missing values and plain words all read as 0. A finite
-    number too large for the type also reads as 0 here and is counted by
-    :func:`overflows`. More than eight decimals are rounded.
+    Not-a-number, infinities, missing values and plain words arrive as NULL and read as
+    0. So does a finite number too large for the type, which :func:`overflows` counts.
+    More than eight decimals have been rounded.
     """
-    return F.coalesce(_as_double(text).try_cast(NUMBER), F.lit(0).cast(NUMBER))
+    return F.coalesce(decimal, F.lit(0).cast(NUMBER))
 
 
-def overflows(text: Column) -> Column:
-    """True for finite numbers that :func:`number` cannot hold."""
-    as_double = _as_double(text)
-    return F.coalesce(
-        (F.abs(as_double) < F.lit(float("inf"))) & as_double.try_cast(NUMBER).isNull(), F.lit(False)
-    )
+def overflows(decimal: Column, double: Column) -> Column:
+    """True for a finite number that the type cannot hold."""
+    return decimal.isNull() & F.coalesce(F.abs(double) < F.lit(float("inf")), F.lit(False))
 
 
 def mean(total: Column, count: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.functions.fields import FieldMap, Fields
 from tallyloom.functions.keys import metric_name
 from tallyloom.functions.numbers import mean, number, overflows
 from tallyloom.functions.windows import MINUTE_MS, window_start
@@ -13,16 +14,18 @@ WINDOW = ["window_start_ms", "window_end_ms"]
 _MEASURES = ["total", "n", "low", "high", "funcs", "n_overflow"]
 
 
-def measured(forked: DataFrame, *keep: str) -> DataFrame:
+def measured(forked: DataFrame, *keep: str, fields: Fields = FieldMap()) -> DataFrame:
     """One row per forked event and distinct field of its rule, with the field's number.
 
     Distinct fields, not specs: three functions of one field make one row, not three.
     """
-    rows = forked.select(*GROUP, *WINDOW, *keep, "fields", F.inline("wanted"))
-    text = F.col("fields")[F.col("field")]
+    rows = forked.select(*GROUP, *WINDOW, *keep, *fields.columns, F.inline("wanted"))
+    field = F.col("field")
+    rows = rows.select("*", fields.decimal(field).alias("_number"))
     return rows.select(
         *GROUP, *WINDOW, *keep, "field", "funcs",
-        number(text).alias("value"), overflows(text).alias("overflow"),
+        number(F.col("_number")).alias("value"),
+        overflows(F.col("_number"), fields.double(field)).alias("overflow"),
     )
 
 
@@ -38,7 +41,12 @@ def _measures() -> list[Column]:
     ]
 
 
-def partials(forked: DataFrame, keyless: str = "running", evict_by: Column | None = None) -> DataFrame:
+def partials(
+    forked: DataFrame,
+    keyless: str = "running",
+    evict_by: Column | None = None,
+    fields: Fields = FieldMap(),
+) -> DataFrame:
     """Mergeable aggregates per rule, group, window and field.
 
     The one shuffle of the evaluation; it moves partial aggregates, never events, so a
@@ -48,7 +56,7 @@ def partials(forked: DataFrame, keyless: str = "running", evict_by: Column | Non
 
     ``evict_by`` is a further group column a stream needs to let go of old state.
     """
-    rows = measured(forked, *([] if evict_by is None else ["event_time"]))
+    rows = measured(forked, *([] if evict_by is None else ["event_time"]), fields=fields)
     running = (F.size("grouping_keys") == 0) if keyless == "running" else F.lit(False)
     keys = [
         *GROUP,

@@ -1,6 +1,7 @@
 """Joins with a side that is broadcast only after its size has been checked."""
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -9,22 +10,35 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def is_small(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of JSON text.
+class Size(NamedTuple):
+    """What a size check found; ``most`` is only known of a small side."""
 
-    Runs one job that looks at no more than ``max_rows + 1`` rows.
+    small: bool
+    most: int | None
+
+
+def check_size(
+    df: DataFrame,
+    most: Column | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> Size:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` of JSON text.
+
+    Runs one job that looks at no more than ``max_rows + 1`` rows. ``most`` asks for the
+    largest value of an expression on the way.
     """
-    seen = (
+    rows, size, largest = (
         df.limit(max_rows + 1)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.octet_length(F.to_json(F.struct(*df.columns))).cast("bigint")).alias("b"),
+            F.count(F.lit(1)),
+            F.sum(F.octet_length(F.to_json(F.struct(*df.columns))).cast("bigint")),
+            F.max(F.lit(0) if most is None else most),
         )
         .first()
     )
-    return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
+    small = rows <= max_rows and (size or 0) <= max_bytes
+    return Size(small, (largest or 0) if small and most is not None else None)
 
 
 def join_small(
@@ -33,19 +47,17 @@ def join_small(
     key: str,
     residual: Column,
     salt_of: Sequence[Column],
-    small_enough: bool | None = None,
+    small_enough: bool,
     salts: int = SALTS,
 ) -> DataFrame:
     """Inner join on ``key`` and ``residual``.
 
-    A small side is broadcast. A larger one is joined by a shuffle in which every key
+    A side that :func:`check_size` found small is broadcast. A larger one is joined by a shuffle in which every key
     is spread over ``salts`` parts of ``big`` (by a hash of ``salt_of``, so a rerun
     task puts each row in the same part) and ``small`` is repeated once per part: a
     key with a third of all rows then still becomes many tasks. Either way each pair
     comes out exactly once.
     """
-    if small_enough is None:
-        small_enough = is_small(small)
     small = small.withColumnRenamed(key, "_key")
     match = (F.col(key) == F.col("_key")) & residual
     if small_enough:

@@ -2,13 +2,16 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.functions.fields import FieldMap, Fields
 from tallyloom.functions.keys import group_values
 from tallyloom.functions.windows import MINUTE_MS, window_start
-from tallyloom.operators.bounded import join_small
+from tallyloom.operators.bounded import check_size, join_small
 from tallyloom.operators.rules import active
 
 # The functions a rule asks of one field, as bits, so that they travel as one integer.
 FUNC_BITS = {"SUM": 1, "COUNT": 2, "MIN": 4, "MAX": 8, "AVG": 16}
+# Up to this many grouping keys are picked one by one.
+_MAX_SLOTS = 16
 
 
 def matcher(rules: DataFrame, *more: str) -> DataFrame:
@@ -36,9 +39,9 @@ def fork(
     indicators: DataFrame,
     rules: DataFrame,
     small_rules: bool | None = None,
+    fields: Fields = FieldMap(),
     when: Column | None = None,
     more: tuple[str, ...] = (),
-    max_keys: int | None = None,
 ) -> DataFrame:
     """Join events with the active rules of their table.
 
@@ -49,16 +52,23 @@ def fork(
 
     Rules are rows here, never part of the plan: whatever they say, the plan is one
     hash join on the table name. The rules side is broadcast after a check of its
-    size; ``small_rules`` gives the answer when the caller has checked already.
+    size. With ``small_rules`` the caller answers for the size instead; on a stream, which
+    is checked once at its start, that is the way for rules that may grow (False), or
+    whose source keeps to a bound by itself (True).
     """
     side = matcher(rules, *more)
-    present = F.size(F.array_except("required", F.map_keys("fields"))) == 0
+    max_keys = None
+    if small_rules is None:
+        small_rules, max_keys = check_size(side, F.size("grouping_keys"))
+        if indicators.isStreaming or (max_keys or 0) > _MAX_SLOTS:
+            max_keys = None
+    condition = fields.all_present(F.col("required"))
     joined = join_small(
         indicators,
         side,
         "table_name",
-        present if when is None else present & when,
-        [F.col("event_ms"), F.map_values("fields")],
+        condition if when is None else condition & when,
+        [F.col("event_ms"), *fields.content()],
         small_rules,
     )
     start = window_start(F.col("event_ms"), F.col("size_ms"))
@@ -68,7 +78,7 @@ def fork(
         "grouping_keys",
         "wanted",
         *more,
-        group_values(F.col("fields"), F.col("grouping_keys"), max_keys).alias("grouping_values"),
+        group_values(fields, F.col("grouping_keys"), max_keys).alias("grouping_values"),
         start.alias("window_start_ms"),
         (start + F.col("size_ms")).alias("window_end_ms"),
     )

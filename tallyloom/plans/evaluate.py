@@ -1,17 +1,40 @@
 """The evaluation: events and rules in, results out."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
 
+from pyspark.sql import Column, DataFrame
+
+from tallyloom.functions.fields import FieldColumns, FieldMap, Fields
 from tallyloom.operators.aggregate import finish, partials
 from tallyloom.operators.asof import fork_asof, rule_versions
 from tallyloom.operators.fork import fork
+from tallyloom.sources.tables import columns_as_events
 
 
 def evaluate(
-    indicators: DataFrame, rules: DataFrame, keyless: str = "running", small_rules: bool | None = None
+    indicators: DataFrame,
+    rules: DataFrame,
+    keyless: str = "running",
+    small_rules: bool | None = None,
+    fields: Fields = FieldMap(),
 ) -> DataFrame:
     """Every active rule over every event, as long results."""
-    return finish(partials(fork(indicators, rules, small_rules), keyless))
+    forked = fork(indicators, rules, small_rules, fields)
+    return finish(partials(forked, keyless, fields=fields))
+
+
+def evaluate_table(
+    df: DataFrame,
+    table_name: Column | str,
+    ts: Column | str,
+    columns: Sequence[str],
+    rules: DataFrame,
+    keyless: str = "running",
+    small_rules: bool | None = None,
+) -> DataFrame:
+    """Every active rule over the rows of a table, whose columns are the fields."""
+    rows = columns_as_events(df, table_name, ts, columns)
+    return evaluate(rows, rules, keyless, small_rules, FieldColumns(rows, columns))
 
 
 def replay(events: DataFrame, changes: DataFrame, keyless: str = "running") -> DataFrame:

@@ -16,7 +16,7 @@ from tallyloom.operators.thresholds import over_limit
 from tallyloom.plans.catalogue import (
     EV, event_indicators, events, flat, query, rule_lines, sql_aggregate, sql_rule, sql_running, table,
 )
-from tallyloom.plans.evaluate import evaluate
+from tallyloom.plans.evaluate import evaluate, evaluate_table
 from tallyloom.sources.tables import indicators_from_table
 
 TYPES = ["click", "view", "error", "purchase", "signup"]
@@ -565,28 +565,35 @@ _LI_FLAGS = ["A", "N", "R"]
 _LI_SPECS = [("l_extendedprice", f) for f in ("SUM", "COUNT", "MIN", "MAX", "AVG")] + [("l_quantity", "SUM")]
 
 
-def line_indicators(spark, sf_dir):
-    return indicators_from_table(
-        table(spark, sf_dir, "lineitem"),
-        F.concat(F.lit("li_"), F.col("l_returnflag")),
-        "l_shipdate",
-        ["l_suppkey", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount"],
-    )
+def _line_rules(spark):
+    funcs = "&".join(f"{field}:{func}" for field, func in _LI_SPECS)
+    lines = [f"{i},li_{flag},active,l_suppkey,{funcs},1440" for i, flag in enumerate(_LI_FLAGS)]
+    return rule_lines(spark, *lines, "10,li_R,active,l_linestatus,l_discount:avg&l_quantity:max,720")
 
 
-@query(
-    "lineitem_metrics",
+_LI_COLUMNS = ["l_suppkey", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount"]
+_LI_SQL = (
     f"WITH {_LI} "
     + " UNION ALL ".join(
         sql_rule(i, f"li_{flag}", ["l_suppkey"], _LI_SPECS, 1440, f"l_returnflag = '{flag}'", "li")
         for i, flag in enumerate(_LI_FLAGS)
     )
     + " UNION ALL "
-    + sql_rule(10, "li_R", ["l_linestatus"], [("l_discount", "AVG"), ("l_quantity", "MAX")], 720, "l_returnflag = 'R'", "li"),
+    + sql_rule(10, "li_R", ["l_linestatus"], [("l_discount", "AVG"), ("l_quantity", "MAX")], 720, "l_returnflag = 'R'", "li")
 )
+
+
+@query("lineitem_metrics", _LI_SQL)
 def lineitem_metrics(spark, sf_dir):
-    """The bench query: every line, by flag, supplier and day."""
-    funcs = "&".join(f"{field}:{func}" for field, func in _LI_SPECS)
-    lines = [f"{i},li_{flag},active,l_suppkey,{funcs},1440" for i, flag in enumerate(_LI_FLAGS)]
-    lines.append("10,li_R,active,l_linestatus,l_discount:avg&l_quantity:max,720")
-    return flat(evaluate(line_indicators(spark, sf_dir), rule_lines(spark, *lines)))
+    """The bench query: every line, by flag, supplier and day, straight from the columns."""
+    flag = F.concat(F.lit("li_"), F.col("l_returnflag"))
+    lines = table(spark, sf_dir, "lineitem")
+    return flat(evaluate_table(lines, flag, "l_shipdate", _LI_COLUMNS, _line_rules(spark)))
+
+
+@query("lineitem_metrics_from_map", _LI_SQL)
+def lineitem_metrics_from_map(spark, sf_dir):
+    """The same from a field map, as events of free form would come."""
+    flag = F.concat(F.lit("li_"), F.col("l_returnflag"))
+    seen = indicators_from_table(table(spark, sf_dir, "lineitem"), flag, "l_shipdate", _LI_COLUMNS)
+    return flat(evaluate(seen, _line_rules(spark)))

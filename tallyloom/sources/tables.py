@@ -21,17 +21,34 @@ def indicators_from_table(
     """
     if not isinstance(fields, Mapping):
         fields = {name: name for name in fields}
-    as_column = lambda c: F.col(c) if isinstance(c, str) else c
     entries = [
         part
         for name, column in fields.items()
-        for part in (F.lit(name), as_column(column).cast("string"))
+        for part in (F.lit(name), _column(column).cast("string"))
     ]
-    ts = as_column(ts).cast("timestamp")
+    ts = _column(ts).cast("timestamp")
     return df.select(
-        as_column(table_name).cast("string").alias("table_name"),
+        _column(table_name).cast("string").alias("table_name"),
         F.create_map(*entries).alias("fields"),
         epoch_ms(ts).alias("event_ms"),
         ts.alias("event_time"),
         *keep,
     )
+
+
+def columns_as_events(
+    df: DataFrame, table_name: Column | str, ts: Column | str, columns: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of a table as events that keep their fields in columns, without a map."""
+    ts = _column(ts).cast("timestamp")
+    return df.select(
+        _column(table_name).cast("string").alias("table_name"),
+        epoch_ms(ts).alias("event_ms"),
+        ts.alias("event_time"),
+        *columns,
+        *keep,
+    )
+
+
+def _column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
