@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.operators.documents import addressed
@@ -47,7 +48,7 @@ def event_indicators(spark: SparkSession, sf_dir: str, **fields) -> DataFrame:
 
 def rule_lines(spark: SparkSession, *lines: str) -> DataFrame:
     """Rules written out as text, read by the parser."""
-    frame = spark.createDataFrame([(line,) for line in lines], "line string")
+    frame = spark.createDataFrame(pa.table({"line": list(lines)}))
     return usable(parse_rules(frame)).drop("line")
 
 

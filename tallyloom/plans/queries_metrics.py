@@ -17,7 +17,7 @@ from tallyloom.plans.catalogue import (
     EV, event_indicators, events, flat, query, rule_lines, sql_aggregate, sql_rule, sql_running, table,
 )
 from tallyloom.plans.evaluate import evaluate, evaluate_table
-from tallyloom.sources.tables import indicators_from_table
+from tallyloom.sources.tables import indicators_from_table, spread
 
 TYPES = ["click", "view", "error", "purchase", "signup"]
 
@@ -587,7 +587,7 @@ _LI_SQL = (
 def lineitem_metrics(spark, sf_dir):
     """The bench query: every line, by flag, supplier and day, straight from the columns."""
     flag = F.concat(F.lit("li_"), F.col("l_returnflag"))
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate", *_LI_COLUMNS))
     return flat(evaluate_table(lines, flag, "l_shipdate", _LI_COLUMNS, _line_rules(spark)))
 
 

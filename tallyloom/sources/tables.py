@@ -50,5 +50,16 @@ def columns_as_events(
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores if the source comes in fewer pieces than there are cores.
+
+    For small inputs, say one file of one row group. A large table has more pieces than
+    cores and is left as it is: no shuffle. Spark sorts rows before dealing them out, so a
+    task that is run again gets the same rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
