@@ -152,18 +152,18 @@ def observed(forked: DataFrame, name: str = "evaluation", now: Column | None = N
 def heartbeat(events: DataFrame, beats: DataFrame) -> DataFrame:
     """Events with heartbeat rows among them, so that an idle source still closes windows.
 
-    ``beats`` is a stream with an ``event_time``; its rows belong to no table, match no
-    rule and only move the watermark. Apply before the watermark is set.
+    ``beats`` is a stream with an ``event_time``; its rows have no fields, match no rule
+    and only move the watermark. Apply before the watermark is set. (With a NULL table
+    name they would be filtered out ahead of the watermark.)
     """
-    event_time = F.col("event_time").cast("timestamp")
+    at = F.col("event_time").cast("timestamp")
+    given = {
+        "table_name": F.lit(""),
+        "fields": F.create_map().cast("map<string,string>"),
+        "event_ms": F.unix_millis(at),
+        "event_time": at,
+    }
     typed = beats.select(
-        *[
-            event_time.alias(field.name)
-            if field.name == "event_time"
-            else F.unix_millis(event_time).alias(field.name)
-            if field.name == "event_ms"
-            else F.lit(None).cast(field.dataType).alias(field.name)
-            for field in events.schema.fields
-        ]
+        *[given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in events.schema.fields]
     )
     return events.unionByName(typed)

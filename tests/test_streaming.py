@@ -1,5 +1,8 @@
 """Streams: late events, closing windows, ending state, live rules, recovery, side outputs."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,13 +25,15 @@ class Source:
     """A folder of event lines that grows by one file per call."""
 
     def __init__(self, spark, tmp_path):
-        self.spark, self.root, self.n = spark, tmp_path, 0
+        self.spark, self.root, self.n, self.base = spark, tmp_path, 0, time.time() - 1000
         (tmp_path / "in").mkdir()
 
     def add(self, *events):
         self.n += 1
         lines = [f"{t},k={k} v={v} {ms * 1_000_000}" for t, k, v, ms in events]
-        (self.root / "in" / f"{self.n:03d}.txt").write_text("\n".join(lines) + "\n")
+        path = self.root / "in" / f"{self.n:03d}.txt"
+        path.write_text("\n".join(lines) + "\n")
+        os.utime(path, (self.base + self.n, self.base + self.n))  # files are read in order of age
 
     def stream(self):
         return indicators_from_lines(stream_lines(self.spark, str(self.root / "in"), files_per_batch=1))
@@ -65,6 +70,7 @@ def test_closed_windows_come_once_and_late_events_are_dropped(source, rules):
     assert window_lengths(some) == [1, 2]
     source.add(("t", "a", 1, 10))
     source.add(("t", "a", 2, MINUTE + 600))
+    source.add(("t", "b", 2, MINUTE + 700))  # the watermark of a batch holds for lateness in the next but one
     source.add(("t", "a", 50, 20))
     source.run(closing_partials(source.stream(), some), mode="append")
     assert source.results() == {(1, ("a",), 0, "v-SUM"): 1}
@@ -85,6 +91,7 @@ def test_state_ends_after_the_allowed_lateness(source, rules):
     source.add(("t", "a", 1, DAY + 10 * MINUTE))
     source.add(("t", "a", 8, 20))  # late for its window, within the allowance
     source.add(("t", "a", 1, 4 * DAY))
+    source.add(("t", "a", 1, 4 * DAY + 1))
     source.add(("t", "a", 100, 30))  # days too late
     query = source.run(evicting_partials(source.stream(), some))
     assert source.results()[(1, ("a",), 0, "v-SUM")] == 9
