@@ -30,29 +30,25 @@ def mean(total: Column, count: Column) -> Column:
 
     A plain decimal division followed by ``round`` would round twice. In whole units of
     1e-8, ``floor((2 * units + 10000 * n) / (20000 * n))`` is the mean in units of 1/10000,
-    halves up. That fits a BIGINT for sums below 9e9, the usual case; larger sums split
-    off the whole part first. Means near 9.2e18, where ``div`` ends, take the plain way.
+    halves up; that fits a BIGINT for sums below 9e9, the usual case. The expression is
+    kept short: it shares a generated method with the aggregate, and the JVM does not
+    compile methods beyond 8000 bytes.
     """
-    n = F.greatest(count, F.lit(1)).cast("bigint")
+    n = F.greatest(count, F.lit(1))
     size = F.abs(total)
     units = (size.cast("decimal(18,8)") * F.lit(10**8)).cast("bigint")
     ticks = F.call_function("div", units * 2 + n * 10_000, n * 20_000)
-    near = (ticks.cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast(TOTAL)
-    usual = (size < F.lit("9e9").cast(TOTAL)) & (n < 10**12)
-    fits = (size.cast("double") < 9.0e18 * n.cast("double")) & (size < F.lit("1e28").cast(TOTAL))
-    rounded = (
-        F.when(usual, near)
-        .when(fits, _mean_of_large(size, n))
-        .otherwise(F.round(size / n.cast("decimal(19,0)"), 4).cast(TOTAL))
+    usual = ticks.cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(4,4)")
+    rounded = F.when(size < F.lit(9 * 10**9), usual.cast(TOTAL)).otherwise(
+        _mean_of_large(size, n.cast("decimal(19,0)"))
     )
-    signed = F.when(total < 0, -rounded).otherwise(rounded)
-    return F.when(count > 0, signed).otherwise(F.lit(0)).cast(TOTAL)
+    return F.when(total < 0, -rounded).otherwise(rounded)
 
 
 def _mean_of_large(size: Column, n: Column) -> Column:
-    # the casts leave every intermediate its eight decimals
-    n = n.cast("decimal(19,0)")
-    whole = F.call_function("div", size, n)
-    rest = size.cast("decimal(37,8)") - (whole.cast("decimal(19,0)") * n).cast("decimal(29,0)")
-    ticks = F.call_function("div", rest.cast("decimal(28,8)") * F.lit(20000) + n, n * F.lit(2))
-    return (whole.cast("decimal(23,4)") + (ticks.cast("decimal(9,4)") / F.lit(10000)).cast("decimal(9,4)")).cast(TOTAL)
+    """Take off what is left over after whole steps of 1/10000, divide the rest exactly, round up or not."""
+    step = (n * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(23,4)")
+    left = size % step
+    whole = ((size.try_cast("decimal(37,8)") - left) / n).cast("decimal(37,4)")
+    up = F.when(left * 2 >= step, F.lit("0.0001")).otherwise(F.lit("0")).cast("decimal(4,4)")
+    return F.coalesce((whole + up).cast(TOTAL), F.round(size / n, 4).cast(TOTAL))

@@ -101,27 +101,25 @@ def merge(parts: DataFrame, minutes: int | None = None) -> DataFrame:
 
 def finish(parts: DataFrame) -> DataFrame:
     """Long results: one row per metric the rule asks for."""
-    # fixed values: the closed set of functions
-    values = {
-        "SUM": F.col("total"),
-        "COUNT": F.col("n"),
-        "MIN": F.col("low"),
-        "MAX": F.col("high"),
-        "AVG": mean(F.col("total"), F.col("n")),
-    }
-    asked = F.array(
+    # the names for every combination of function bits, a constant
+    names = F.array(
         *[
-            F.when(
-                F.col("funcs").bitwiseAND(bit) != 0,
-                F.struct(F.lit(func).alias("func"), values[func].cast(TOTAL).alias("value")),
-            )
-            for func, bit in FUNC_BITS.items()
+            F.array(*[F.lit(func) for func, bit in FUNC_BITS.items() if bits & bit]).cast("array<string>")
+            for bits in range(2 * max(FUNC_BITS.values()))
         ]
     )
-    long = parts.select("*", F.explode(asked).alias("_m")).filter(F.col("_m").isNotNull())
+    long = parts.select("*", F.explode(F.get(names, F.col("funcs"))).alias("func"))
+    func = F.col("func")
+    # fixed values: the closed set of functions
+    value = (
+        F.when(func == "SUM", F.col("total"))
+        .when(func == "COUNT", F.col("n").cast(TOTAL))
+        .when(func == "MIN", F.col("low").cast(TOTAL))
+        .when(func == "MAX", F.col("high").cast(TOTAL))
+        .when(func == "AVG", mean(F.col("total"), F.col("n")))
+    )
     return long.select(
-        *GROUP, *WINDOW, metric_name(F.col("field"), F.col("_m.func")).alias("metric"),
-        F.col("_m.value").alias("value"), "n_overflow",
+        *GROUP, *WINDOW, metric_name(F.col("field"), func).alias("metric"), value.alias("value"), "n_overflow"
     ).select(*RESULTS.names)
 
 
