@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+MIN_SALTS, MAX_SALTS = 32, 1024
 
 
 class Size(NamedTuple):
@@ -48,20 +48,22 @@ def join_small(
     residual: Column,
     salt_of: Sequence[Column],
     small_enough: bool,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Inner join on ``key`` and ``residual``.
 
     A side that :func:`check_size` found small is broadcast. A larger one is joined by a shuffle in which every key
-    is spread over ``salts`` parts of ``big`` (by a hash of ``salt_of``, so a rerun
-    task puts each row in the same part) and ``small`` is repeated once per part: a
-    key with a third of all rows then still becomes many tasks. Either way each pair
+    is spread over as many parts of ``big`` as there are shuffle partitions (by a hash
+    of ``salt_of``, so a rerun task puts each row in the same part) and ``small`` is
+    repeated once per part: a key with a third of all rows then still keeps a third of
+    the cluster busy. Either way each pair
     comes out exactly once.
     """
     small = small.withColumnRenamed(key, "_key")
     match = (F.col(key) == F.col("_key")) & residual
     if small_enough:
         return big.join(F.broadcast(small), match).drop("_key")
+    partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(MIN_SALTS, min(MAX_SALTS, partitions))
     salt_values = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_of), F.lit(salts)))
     right = small.withColumn("_part", F.explode(salt_values))

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.model import RULES
+from tallyloom.operators.bounded import check_size
 
 
 def _last_command(changes: DataFrame, command: str) -> DataFrame:
@@ -60,12 +61,17 @@ def export_rules(rules: DataFrame) -> DataFrame:
 
 def without_rule(keyed: DataFrame, rules: DataFrame) -> DataFrame:
     """Keyed rows whose rule is gone: they are dropped from aggregation, and listed here."""
-    return keyed.join(rules.select("rule_id"), "rule_id", "left_anti")
+    return keyed.join(_ids(rules), "rule_id", "left_anti")
 
 
 def with_rule(keyed: DataFrame, rules: DataFrame) -> DataFrame:
     """Keyed rows whose rule still exists."""
-    return keyed.join(rules.select("rule_id"), "rule_id", "left_semi")
+    return keyed.join(_ids(rules), "rule_id", "left_semi")
+
+
+def _ids(rules: DataFrame) -> DataFrame:
+    ids = rules.select("rule_id")
+    return F.broadcast(ids) if check_size(ids).small else ids
 
 
 def rule_counts(rules: DataFrame) -> DataFrame:

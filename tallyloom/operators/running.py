@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.functions.numbers import mean
+from tallyloom.functions.windows import lookback_start
 from tallyloom.model import TOTAL
 from tallyloom.operators.aggregate import measured
 from tallyloom.session import materialise
@@ -89,12 +90,12 @@ def lookback_values(forked: DataFrame) -> DataFrame:
     the window length and however many events share a time.
     """
     size = F.col("window_end_ms") - F.col("window_start_ms")
-    rows = measured(forked, "event_ms").withColumn("_size", size)
-    series = [*_SERIES, "field"]
+    rows = measured(forked, "event_ms").withColumn("size_ms", size)
+    series = [*_SERIES, "field", "size_ms"]
     steps: list[Column] = [
         F.struct(F.col("event_ms").alias("at_ms"), F.col("value").cast(TOTAL).alias("v"), F.lit(1).alias("d"), F.lit(1).alias("own")),
         F.struct(
-            (F.col("event_ms") + F.col("_size") + 1).alias("at_ms"),
+            (F.col("event_ms") + F.col("size_ms") + 1).alias("at_ms"),
             (-F.col("value")).cast(TOTAL).alias("v"), F.lit(-1).alias("d"), F.lit(0).alias("own"),
         ),
     ]
@@ -105,7 +106,9 @@ def lookback_values(forked: DataFrame) -> DataFrame:
     )
     done = running(changes, series, ["at_ms"], {"total": ("sum", "v"), "n": ("sum", "d")})
     return done.filter(F.col("own") == 1).select(
-        *series,
+        *_SERIES,
+        "field",
+        lookback_start(F.col("at_ms"), F.col("size_ms")).alias("from_ms"),
         F.col("at_ms").alias("event_ms"),
         F.col("total").cast(TOTAL).alias("total"),
         "n",

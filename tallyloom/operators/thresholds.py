@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.functions.text import settled
+
 
 def passes(value: Column, operator: Column, limit: Column) -> Column:
     """``value operator limit`` with the operator as data; NULL for an unknown operator."""
@@ -18,4 +20,5 @@ def passes(value: Column, operator: Column, limit: Column) -> Column:
 
 def over_limit(results: DataFrame, operator: str, limit: str) -> DataFrame:
     """Results that pass the limit in their own row; ``operator`` and ``limit`` name columns."""
-    return results.filter(passes(F.col("value"), F.col(operator), F.col(limit)))
+    verdict = passes(F.col("value"), F.col(operator), F.col(limit))
+    return settled(results, results.columns, _passes=verdict).filter("_passes").drop("_passes")

@@ -293,7 +293,7 @@ def running_values_by_user(spark, sf_dir):
 each AS (SELECT event_type AS table_name, ms AS event_ms,
   CAST(sum(c) OVER w AS BIGINT) AS s, count(*) OVER w AS n
 FROM cents WINDOW w AS (PARTITION BY event_type ORDER BY ms RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW))
-SELECT DISTINCT table_name, event_ms, s / 100::DOUBLE AS total, n,
+SELECT DISTINCT table_name, event_ms - 3600000 AS from_ms, event_ms, s / 100::DOUBLE AS total, n,
   CAST((s * 200 + n) // (2 * n) AS DOUBLE) / 10000::DOUBLE AS average FROM each""",
 )
 def lookback_sum(spark, sf_dir):
@@ -302,6 +302,7 @@ def lookback_sum(spark, sf_dir):
     forked = fork(event_indicators(spark, sf_dir), rule_lines(spark, *lines))
     return lookback_values(forked).select(
         "table_name",
+        "from_ms",
         "event_ms",
         F.col("total").cast("double").alias("total"),
         "n",
@@ -440,17 +441,6 @@ def documents_by_label(spark, sf_dir):
 # --- documents ----------------------------------------------------------------------------
 
 
-def _sql_doc(minutes, columns):
-    size = minutes * 60000
-    start, end = f"(ms - ms % {size})", f"(ms - ms % {size} + {size})"
-    text = lambda bound: f"strftime(make_timestamp({bound} * 1000), '%Y-%m-%d %H:%M:%S:%g')"
-    return (
-        f"upper(event_type) AS table_name, event_type AS index_name, "
-        f"'{{' || user_id || '-' || {start} || '-' || {end} || '}}' AS doc_id, CAST(user_id AS VARCHAR) AS user_id, "
-        f"{text(start)} AS start_time, {text(end)} AS end_time, {columns}"
-    )
-
-
 @query(
     "result_docs",
     f"WITH {EV} SELECT event_type AS index_name, "

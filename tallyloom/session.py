@@ -14,6 +14,12 @@ def build_session(master: str | None = None, app: str = "tallyloom", **conf) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # state that outgrows the heap lives on disk; only its changes are checkpointed
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     if master:
         builder = builder.master(master)

@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from tallyloom.operators.aggregate import finish, partials
 from tallyloom.operators.fork import fork
-from tallyloom.plans.catalogue import QUERIES, event_indicators, rule_lines, table
+from tallyloom.plans.catalogue import event_indicators, rule_lines, table
 from tallyloom.plans.evaluate import evaluate_table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,8 +38,8 @@ def test_rules_beyond_the_bound_are_shuffled(spark, rules):
     assert "ShuffledHashJoin" in text and "NestedLoop" not in text
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in contract.queries() if not n.startswith("stream_")))
 def test_no_query_multiplies_rows(spark, name):
-    text = plan(QUERIES[name](spark, FOLDER))
+    text = plan(contract.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text
