@@ -168,14 +168,18 @@ def global_windowed(spark, sf_dir):
     )
 
 
-_DIRTY = """dirty AS (SELECT user_id, epoch_us(ts) // 1000 AS ms,
-  CASE event_type WHEN 'click' THEN value WHEN 'purchase' THEN value ELSE 0 END AS v FROM events)"""
+_DIRTY = f"""{EV}, dirty AS (SELECT 'dirty_' || left(CAST(k AS VARCHAR), 1) AS t, user_id, ms,
+  CASE event_type WHEN 'click' THEN value WHEN 'purchase' THEN value ELSE 0 END AS v FROM ev)"""
+_DIRTY_TABLES = [f"dirty_{digit}" for digit in range(10)]
 
 
 @query(
     "dirty_values_as_zero",
     f"WITH {_DIRTY} "
-    + sql_rule(1, "dirty", ["user_id"], [("v", f) for f in ("SUM", "COUNT", "MIN", "MAX", "AVG")], 1440, "true", "dirty"),
+    + " UNION ALL ".join(
+        sql_rule(i, t, ["user_id"], [("v", f) for f in ("SUM", "COUNT", "MIN", "MAX", "AVG")], 10080, f"t = '{t}'", "dirty")
+        for i, t in enumerate(_DIRTY_TABLES)
+    ),
 )
 def dirty_values_as_zero(spark, sf_dir):
     """Quotes are dropped; words, not-a-number and missing values count as 0."""
@@ -186,10 +190,10 @@ def dirty_values_as_zero(spark, sf_dir):
         .when(kind == "view", F.lit("NaN"))
         .when(kind == "error", F.concat(F.col("value").cast("string"), F.lit("i")))
     )
-    seen = indicators_from_table(
-        table(spark, sf_dir, "events"), F.lit("dirty"), "ts", {"user_id": "user_id", "v": text}
-    )
-    rules = rule_lines(spark, "1,dirty,active,user_id,v:sum&v:count&v:min&v:max&v:avg,1440")
+    name = F.concat(F.lit("dirty_"), F.left("k", F.lit(1)))
+    seen = indicators_from_table(events(spark, sf_dir), name, "ts", {"user_id": "user_id", "v": text})
+    funcs = "v:sum&v:count&v:min&v:max&v:avg"
+    rules = rule_lines(spark, *[f"{i},{t},active,user_id,{funcs},10080" for i, t in enumerate(_DIRTY_TABLES)])
     return flat(evaluate(seen, rules))
 
 
@@ -412,30 +416,33 @@ def lookup_multi_match(spark, sf_dir):
 
 _DOCS = """docs AS (SELECT lang, source, n_chars, quality, toxic, CAST(1704067200000 AS BIGINT) AS ms
   FROM documents LEFT JOIN labels USING (doc_id))"""
+_LANGS = ["en", "de", "fr", "es"]
 
 
 @query(
     "documents_by_label",
     f"WITH {_DOCS} "
-    + sql_rule(1, "documents", ["lang", "source", "quality"], [("n_chars", f) for f in ("SUM", "AVG", "MAX", "COUNT")], 60, "true", "docs")
-    + " UNION ALL "
-    + sql_rule(2, "documents", ["toxic"], [("n_chars", "AVG"), ("quality", "SUM")], 60, "toxic IS NOT NULL", "docs"),
+    + " UNION ALL ".join(
+        sql_rule(i, lang, ["source", "quality"], [("n_chars", f) for f in ("SUM", "AVG", "MAX", "COUNT")], 60, f"lang = '{lang}'", "docs")
+        + " UNION ALL "
+        + sql_rule(10 + i, lang, ["toxic"], [("n_chars", "AVG"), ("quality", "SUM")], 60, f"lang = '{lang}' AND toxic IS NOT NULL", "docs")
+        for i, lang in enumerate(_LANGS)
+    ),
 )
 def documents_by_label(spark, sf_dir):
     """Document lengths by language, source and a looked-up label."""
     docs = indicators_from_table(
-        table(spark, sf_dir, "documents"), F.lit("documents"), F.lit("2024-01-01").cast("timestamp"),
-        ["doc_id", "lang", "source", "n_chars"],
+        table(spark, sf_dir, "documents"), "lang", F.lit("2024-01-01").cast("timestamp"),
+        ["doc_id", "source", "n_chars"],
     )
     wide = widen(
         docs, table(spark, sf_dir, "labels"), {"doc_id": "doc_id"}, ["quality", "toxic"], unique=True
     )
-    rules = rule_lines(
-        spark,
-        "1,documents,active,lang&source&quality,n_chars:sum&n_chars:avg&n_chars:max&n_chars:count,60",
-        "2,documents,active,toxic,n_chars:avg&quality:sum,60",
-    )
-    return flat(evaluate(wide, rules))
+    lines = []
+    for i, lang in enumerate(_LANGS):
+        lines.append(f"{i},{lang},active,source&quality,n_chars:sum&n_chars:avg&n_chars:max&n_chars:count,60")
+        lines.append(f"{10 + i},{lang},active,toxic,n_chars:avg&quality:sum,60")
+    return flat(evaluate(wide, rule_lines(spark, *lines)))
 
 
 # --- documents ----------------------------------------------------------------------------
