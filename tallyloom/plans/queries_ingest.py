@@ -94,10 +94,16 @@ def ingest_dup_keys_last_wins(spark, sf_dir):
     )
 
 
-@query("ingestion_stamp")
+@query(
+    "ingestion_stamp",
+    f"WITH {EV} SELECT event_id, event_type AS table_name, ms AS event_ms, CAST(1 AS INTEGER) AS stamped FROM ev",
+)
 def ingestion_stamp(spark, sf_dir):
+    """The stamp itself depends on the clock; it lies after every event and not after now."""
+    stamp = F.col("ingestion_time")
+    sound = (stamp > F.col("event_time")) & (stamp <= F.current_timestamp())
     return stamp_ingestion(event_indicators(spark, sf_dir)).select(
-        "event_id", "table_name", "event_ms", "ingestion_time"
+        "event_id", "table_name", "event_ms", F.when(sound, 1).otherwise(0).alias("stamped")
     )
 
 

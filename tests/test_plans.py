@@ -8,6 +8,7 @@ from tallyloom.operators.aggregate import finish, partials
 from tallyloom.operators.fork import fork
 from tallyloom.plans.catalogue import event_indicators, rule_lines, table
 from tallyloom.plans.evaluate import evaluate_table
+from tallyloom.sources.tables import spread
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -43,3 +44,12 @@ def test_no_query_multiplies_rows(spark, name):
     text = plan(contract.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text
+
+
+def test_small_inputs_are_dealt_out_and_large_ones_left_alone(spark):
+    lines = table(spark, FOLDER, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(lines).rdd.getNumPartitions() == cores
+    assert spread(lines).count() == lines.count()
+    wide = spark.range(0, 1000, 1, cores * 2)
+    assert spread(wide) is wide

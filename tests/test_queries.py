@@ -12,7 +12,6 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
 ).split()
-ROWS_ONLY = {"ingestion_stamp"}
 
 
 @pytest.fixture(scope="module")
@@ -35,9 +34,6 @@ def test_query(spark, duck, name):
     frame = contract.queries()[name](spark, FOLDER)
     columns = sorted(frame.columns)
     got = [tuple(row[c] for c in columns) for row in frame.collect()]
-    if name in ROWS_ONLY:
-        assert got
-        return
     expected = duck.sql(contract.oracle_sql()[name])
     assert columns == sorted(expected.columns)
     kinds = dict(zip(expected.columns, map(str, expected.types)))
