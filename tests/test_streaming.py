@@ -10,6 +10,7 @@ from tallyloom.operators.aggregate import partials
 from tallyloom.operators.documents import current_results
 from tallyloom.operators.fork import fork
 from tallyloom.operators.health import with_latency
+from tallyloom.operators.lookup import widen
 from tallyloom.plans.evaluate import evaluate
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
 from tallyloom.streaming.job import (
@@ -173,3 +174,18 @@ def test_latency(events, rules):
     rows = events((0, "t", 10, {"v": "1", "k": "a"})).withColumn("ingestion_time", F.timestamp_millis(F.lit(1000)))
     forked = fork(rows, rules("1,t,active,k,v:sum,1"))
     assert with_latency(forked, F.timestamp_millis(F.lit(1250))).first().latency_ms == 250
+
+
+def test_a_stream_widened_from_a_dimension(source, spark, rules):
+    dim = spark.createDataFrame([("a", "old", 1), ("a", "new", 2), ("c", "x", 1)], "k string, owner string, at int")
+    wide = widen(source.stream(), dim, {"k": "k"}, ["owner"], order="at")
+    source.add(("t", "a", 1, 10), ("t", "b", 2, 10))
+    source.add(("t", "a", 5, 20))
+    source.run(update_partials(wide, rules("1,t,active,owner,v:sum,1")))
+    assert source.results() == {(1, ("new",), 0, "v-SUM"): 6, (1, ("null",), 0, "v-SUM"): 2}
+
+
+def test_rules_too_many_to_broadcast_join_a_stream_by_shuffle(source, rules):
+    source.add(*[("t", f"k{i % 3}", i, i) for i in range(30)])
+    source.run(update_partials(source.stream(), rules("1,t,active,k,v:sum,1"), small_rules=False))
+    assert source.results() == {(1, (f"k{j}",), 0, "v-SUM"): float(sum(range(j, 30, 3))) for j in range(3)}
