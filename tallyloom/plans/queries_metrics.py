@@ -592,5 +592,6 @@ def lineitem_metrics(spark, sf_dir):
 def lineitem_metrics_from_map(spark, sf_dir):
     """The same from a field map, as events of free form would come."""
     flag = F.concat(F.lit("li_"), F.col("l_returnflag"))
-    seen = indicators_from_table(table(spark, sf_dir, "lineitem"), flag, "l_shipdate", _LI_COLUMNS)
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate", *_LI_COLUMNS))
+    seen = indicators_from_table(lines, flag, "l_shipdate", _LI_COLUMNS)
     return flat(evaluate(seen, _line_rules(spark)))
