@@ -18,18 +18,15 @@ from tallyloom.session import materialise
 
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[list(b"#*$%&|<>")] = True
-LETTER = np.zeros(256, dtype=bool)
-LETTER[97:123] = LETTER[65:91] = LETTER[128:] = True
-DIGIT = np.zeros(256, dtype=bool)
-DIGIT[48:58] = True
+PLAIN = np.zeros(256, dtype=bool)
+PLAIN[97:123] = PLAIN[65:91] = PLAIN[48:58] = PLAIN[128:] = True
 
 COUNTS = (
-    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_digits",
-    "n_distinct",
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_plain",
 )
 #: Vector entries are integers, thousandths of the transformed statistic, so that sums are exact in any order.
 UNIT = 1000
-NAMES = ("x0", "x1", "x2", "x3", "x4", "x5")
+NAMES = ("x0", "x1", "x2", "x3", "x4")
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +56,6 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             stop = all_ends[np.searchsorted(all_ends, begin, "left")] if len(begin) else begin
             lines = hasher.of(begin, stop) ^ mix(line_doc.astype(np.uint64) + np.uint64(1))
             same = pd.Series(lines).duplicated().to_numpy() if len(lines) else np.zeros(0, bool)
-            new_word = ~pd.Series(words ^ salt).duplicated().to_numpy() if len(words) else np.zeros(0, bool)
             cut = lambda mask: np.diff(np.concatenate(([0], np.cumsum(mask)))[offsets])
             parts.append(
                 [
@@ -69,9 +65,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     per_document(line_doc[same], n),
                     per_document(docs[repeated[: len(words)]], n),
                     np.diff(end_of_line[offsets]) + 1,
-                    cut(LETTER[data] & begins),
-                    cut(DIGIT[data]),
-                    per_document(docs[new_word], n),
+                    cut(PLAIN[data] & begins),
                 ]
             )
         counts = [np.concatenate(c).astype(np.int64) for c in zip(*parts)] if parts else [np.zeros(0, np.int64)] * len(COUNTS)
@@ -104,13 +98,12 @@ def _share(part: str, whole: str, weight: float = 20.0) -> Column:
 
 
 def vector() -> list[Column]:
-    """The transformed statistics: word length, symbols, letters, digits, repeated words and lines."""
+    """The transformed statistics: word length, symbols, letters and digits, repeated words, repeated lines."""
     chars = F.greatest(F.col("word_chars"), F.lit(1))
     entries = [
         4 * F.log(chars / F.greatest(F.col("n_words"), F.lit(1))),
         4 * _share("n_symbols", "word_chars"),
-        4 * F.asin(F.sqrt(F.least(F.col("n_letters") / chars, F.lit(1.0)))),
-        4 * _share("n_digits", "word_chars"),
+        4 * F.asin(F.sqrt(F.least(F.col("n_plain") / chars, F.lit(1.0)))),
         _share("n_repeat_words", "n_words"),
         2 * _share("n_dup_lines", "n_lines", 10.0),
     ]
@@ -146,10 +139,10 @@ def _distance(n: int = len(NAMES)) -> Column:
     for i in range(n):
         for j in range(i, n):
             total = total + (1 if i == j else 2) * F.col("inv")[i * n + j] * gap[i] * gap[j]
-    return F.greatest(total, F.lit(0.0))
+    return F.when(F.col("inv").isNotNull(), F.greatest(total, F.lit(0.0)))
 
 
-FLOOR = (0.10, 0.15, 0.10, 0.10, 0.06, 0.10)
+FLOOR = (0.15, 0.15, 0.12, 0.08, 0.12)
 
 
 def _estimate(scale: float):
@@ -258,7 +251,7 @@ def outliers(
     lang: str = "lang",
     source: str = "source",
     confidence: float = 1 - 1e-9,
-    smallest_group: int = 200,
+    smallest_group: int = 100,
     share: float = 0.75,
 ) -> DataFrame:
     """Counts of every document, its squared distance ``d2``, ``base_failed`` and ``kept``.

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import decontaminate, quality
+from tallyloom.llm import decontaminate, line_dedup, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: Lower-case A-Z alone, as SQL.
 SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+SQL_LINES = """
+WITH split AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k
+  FROM documents
+), keyed AS (
+  SELECT doc_id, k, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM split
+), repeated AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT doc_id, k, line, last IS NOT NULL AND doc_id < last AS gone FROM keyed LEFT JOIN repeated USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
 SQL_CONTAMINATION = f"""
 WITH cut AS (
   SELECT doc_id, regexp_extract_all({SQL_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
@@ -58,6 +76,13 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM cut LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)"""
 
 
+@query("op2_line_dedup", SQL_LINES)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 @query("op4_benchmark_decontamination", SQL_CONTAMINATION)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
