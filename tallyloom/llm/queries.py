@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import decontaminate, line_dedup, quality
+from tallyloom.llm import decontaminate, line_dedup, ngram_join, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,6 +93,31 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SQL_JACCARD = f"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all({SQL_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM cut WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes s ON s.doc_id = a.doc_id JOIN sizes t ON t.doc_id = b.doc_id
+  GROUP BY 1, 2, s.n, t.n HAVING 100 * count(*) >= 75 * (s.n + t.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS c FROM documents
+  UNION
+  SELECT links.v, reach.c FROM reach JOIN links ON links.u = reach.doc_id
+)
+SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(c) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op7_ngram_jaccard_join", SQL_JACCARD)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.outliers(table(spark, sf_dir, "documents")).select(
