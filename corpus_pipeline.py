@@ -1,8 +1,68 @@
-"""The corpus pipeline: stages over the documents table, each written and read again."""
+"""The corpus pipeline: five stages over the documents table, each written and read again.
 
-STAGES = []
+Every stage takes what the one before it kept. All but the last return the columns of
+documents; the last returns the packed pieces.
+"""
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tallyloom.llm import decontaminate, line_dedup, ngram_join, packing, quality
+from tallyloom.session import scratch_folder
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is in ``ids``; rows without an id stay."""
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return _only(docs, quality.outliers(docs).where("kept"))
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that several documents hold; the length follows the text."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    kept = line_dedup.drop_repeated_lines(docs, keep=others)
+    texts = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return kept.select(*[texts[c].alias(c) if c in texts else F.col(c) for c in docs.columns])
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id."""
+    return _only(docs, ngram_join.near_duplicates(docs).where("doc_id = component_id"))
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no more than a trace of the benchmark."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contamination(docs, items)
+    return _only(docs, found.where(~decontaminate.is_contaminated()))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents that are left, in padded batches."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", repeated_lines),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", benchmark_passages),
+    ("packing", packed),
+]
+
+#: Robust estimates and a tokenizer are beyond SQL; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = scratch_folder(spark)
+    for k, (_, stage) in enumerate(STAGES):
+        path = f"{folder}/stage-{k}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import decontaminate, line_dedup, ngram_join, quality
+from tallyloom.llm import decontaminate, line_dedup, ngram_join, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op4_benchmark_decontamination", SQL_CONTAMINATION)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
