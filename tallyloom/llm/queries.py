@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import decontaminate, line_dedup, ngram_join, packing, quality
+from tallyloom.llm import decontaminate, line_dedup, ngram_join, packing, quality, separators, token_files
+from tallyloom.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +77,13 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM cut LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)"""
 
 
+@query("op1_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    separators.write_flat(table(spark, sf_dir, "documents"), folder)
+    return separators.count_tokens(spark, folder)
+
+
 @query("op2_line_dedup", SQL_LINES)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents")).select(
@@ -128,3 +136,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.outliers(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2"
     )
+
+
+@query("op9_token_binary_output")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder)
+    return token_files.read_tokens(spark, folder)
