@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import decontaminate, line_dedup, ngram_join, packing, quality, separators, token_files
+from tallyloom.llm import decontaminate, line_dedup, lm, ngram_join, packing, quality, separators, token_files, warc
 from tallyloom.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,11 @@ SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(c) AS comp
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
 
 
+@query("op6_warc_derivatives")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses_of(table(spark, sf_dir, "pages")), keep=("page_id",))
+
+
 @query("op7_ngram_jaccard_join", SQL_JACCARD)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -143,3 +148,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark)
     token_files.write_tokens(table(spark, sf_dir, "documents"), folder)
     return token_files.read_tokens(spark, folder)
+
+
+@query("op10_lm_scoring")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.backoff_scores(table(spark, sf_dir, "documents"))
