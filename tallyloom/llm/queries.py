@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import decontaminate, line_dedup, lm, ngram_join, packing, quality, separators, token_files, warc
+from tallyloom.llm import decontaminate, line_dedup, lm, ngram_join, packing, quality, separators, suffix_dedup, token_files, warc
 from tallyloom.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,14 @@ SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(c) AS comp
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
 
 
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op6_warc_derivatives")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses_of(table(spark, sf_dir, "pages")), keep=("page_id",))
