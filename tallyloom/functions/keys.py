@@ -22,9 +22,16 @@ def group_values(fields: Fields, keys: Column, max_keys: int | None = None) -> C
 
 
 def doc_id(values: Column, start_ms: Column, end_ms: Column) -> Column:
-    """``{v1-v2-start-end}``; ``{}`` for a running total, which has no window in its key."""
+    """``{v1-v2-start-end}``; ``{}`` for a running total, which has no window in its key.
+
+    A ``-`` inside a value is written ``\\-``, and a backslash twice, so that different groups
+    never print alike.
+    """
+    escaped = F.transform(
+        values, lambda v: F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit("-"), F.lit("\\-"))
+    )
     windowed = F.concat(
-        F.lit("{"), F.concat_ws("-", values, start_ms.cast("string"), end_ms.cast("string")), F.lit("}")
+        F.lit("{"), F.concat_ws("-", escaped, start_ms.cast("string"), end_ms.cast("string")), F.lit("}")
     )
     return F.when(F.size(values) == 0, F.lit("{}")).otherwise(windowed)
 

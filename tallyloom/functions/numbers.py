@@ -14,15 +14,16 @@ def number(decimal: Column) -> Column:
     """A field's number, where anything unreadable counts as 0.
 
     Not-a-number, infinities, missing values and plain words arrive as NULL and read as
-    0. So does a finite number too large for the type, which :func:`overflows` counts.
-    More than eight decimals have been rounded.
+    0. A finite number that the type cannot hold is for :func:`overflows`. More than
+    eight decimals have been rounded.
     """
     return F.coalesce(decimal, F.lit(0).cast(NUMBER))
 
 
 def overflows(decimal: Column, double: Column) -> Column:
-    """True for a finite number that the type cannot hold."""
-    return decimal.isNull() & F.coalesce(F.abs(double) < F.lit(float("inf")), F.lit(False))
+    """True for a finite number that the type cannot hold: too large, or so small that it reads as 0."""
+    finite = F.coalesce(F.abs(double) < F.lit(float("inf")), F.lit(False))
+    return finite & (decimal.isNull() | ((decimal == 0) & (double != 0)))
 
 
 def mean(total: Column, count: Column) -> Column:

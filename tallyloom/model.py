@@ -15,7 +15,7 @@ LIMIT_OPERATORS = ("=", "!=", ">=", "<=", ">", "<")
 PAYMENT_TYPES = ("CSH", "CRD")
 # ---------------------------------------------------------------------------
 
-# A number read from an event. Eight decimals, twenty integer digits.
+# A number read from an event. Eight decimals, twenty integer digits; others go on as doubles.
 NUMBER = T.DecimalType(28, 8)
 # What Spark gives for a sum of NUMBER.
 TOTAL = T.DecimalType(38, 8)
@@ -58,6 +58,30 @@ RULE_TABLE = T.StructType(
     ]
 )
 
+# Mergeable aggregates as a stream writes them, one row per group, window, field and part.
+PARTS = T.StructType(
+    [
+        T.StructField("rule_id", T.IntegerType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("grouping_keys", T.ArrayType(T.StringType())),
+        T.StructField("grouping_values", T.ArrayType(T.StringType())),
+        T.StructField("window_start_ms", T.LongType()),
+        T.StructField("window_end_ms", T.LongType()),
+        T.StructField("field", T.StringType()),
+        T.StructField("total", TOTAL),
+        T.StructField("n", T.LongType()),
+        T.StructField("low", NUMBER),
+        T.StructField("high", NUMBER),
+        T.StructField("funcs", T.IntegerType()),
+        T.StructField("n_overflow", T.LongType()),
+        T.StructField("wide_total", T.DoubleType()),
+        T.StructField("wide_low", T.DoubleType()),
+        T.StructField("wide_high", T.DoubleType()),
+        T.StructField("running", T.BooleanType()),
+        T.StructField("part", T.LongType()),
+    ]
+)
+
 # Long results: one row per group, window and metric.
 RESULTS = T.StructType(
     [
@@ -70,5 +94,6 @@ RESULTS = T.StructType(
         T.StructField("metric", T.StringType()),
         T.StructField("value", TOTAL),
         T.StructField("n_overflow", T.LongType()),
+        T.StructField("approx", T.DoubleType()),
     ]
 )

@@ -11,21 +11,23 @@ from tallyloom.operators.fork import FUNC_BITS
 
 GROUP = ["rule_id", "table_name", "grouping_keys", "grouping_values"]
 WINDOW = ["window_start_ms", "window_end_ms"]
-_MEASURES = ["total", "n", "low", "high", "funcs", "n_overflow"]
+_MEASURES = ["total", "n", "low", "high", "funcs", "n_overflow", "wide_total", "wide_low", "wide_high"]
 
 
 def measured(forked: DataFrame, *keep: str, fields: Fields = FieldMap()) -> DataFrame:
     """One row per forked event and distinct field of its rule, with the field's number.
 
-    Distinct fields, not specs: three functions of one field make one row, not three.
+    Distinct fields, not specs: three functions of one field make one row, not three. A
+    number that the decimal type cannot hold stands in ``wide`` as a double, and ``value`` is NULL.
     """
     rows = forked.select(*GROUP, *WINDOW, *keep, *fields.columns, F.inline("wanted"))
     field = F.col("field")
-    rows = rows.select("*", fields.decimal(field).alias("_number"))
+    rows = rows.select("*", fields.decimal(field).alias("_number"), fields.double(field).alias("_double"))
+    beyond = overflows(F.col("_number"), F.col("_double"))
     return rows.select(
         *GROUP, *WINDOW, *keep, "field", "funcs",
-        number(F.col("_number")).alias("value"),
-        overflows(F.col("_number"), fields.double(field)).alias("overflow"),
+        F.when(~beyond, number(F.col("_number"))).alias("value"),
+        F.when(beyond, F.col("_double")).alias("wide"),
     )
 
 
@@ -37,7 +39,11 @@ def _measures() -> list[Column]:
         F.min("value").alias("low"),
         F.max("value").alias("high"),
         F.bit_or("funcs").alias("funcs"),
-        F.count_if("overflow").alias("n_overflow"),
+        F.count("wide").alias("n_overflow"),
+        # only what the decimals leave out, so ordinary groups stay exact
+        F.sum("wide").alias("wide_total"),
+        F.min("wide").alias("wide_low"),
+        F.max("wide").alias("wide_high"),
     ]
 
 
@@ -54,7 +60,9 @@ def partials(
     ``keyless='running'``, one total over all time whose bounds are those of its latest
     window, and with ``'windowed'`` one total per window.
 
-    ``evict_by`` is a further group column a stream needs to let go of old state.
+    ``evict_by`` is a time window in whose parts the groups are kept, which a stream needs to let go of old
+    state. ``part`` then says which part of its group a row is (:func:`whole` puts them together);
+    ``running`` marks totals without a window in their key.
     """
     rows = measured(forked, *([] if evict_by is None else ["event_time"]), fields=fields)
     running = (F.size("grouping_keys") == 0) if keyless == "running" else F.lit(False)
@@ -65,12 +73,24 @@ def partials(
         "field",
     ]
     if evict_by is not None:
-        keys.append(evict_by)
+        keys.append(evict_by.alias("_kept"))
     done = rows.groupBy(*keys).agg(
         *_measures(),
         F.max("window_start_ms").alias("window_start_ms"),
         F.max("window_end_ms").alias("window_end_ms"),
     )
+    part = F.lit(None).cast("bigint") if evict_by is None else F.unix_millis("_kept.start")
+    return done.select(
+        *GROUP, *WINDOW, "field", *_MEASURES, F.col("_start").isNull().alias("running"), part.alias("part")
+    )
+
+
+def whole(parts: DataFrame) -> DataFrame:
+    """The parts of every group added up; a running total has the bounds of its latest window."""
+    key = [F.when(~F.col("running"), F.col(c)).alias(f"_{c}") for c in WINDOW]
+    done = parts.groupBy(*GROUP, *key, "field").agg(
+        *_sums_of_parts(), F.max("window_start_ms").alias("window_start_ms"), F.max("window_end_ms").alias("window_end_ms")
+    )
     return done.select(*GROUP, *WINDOW, "field", *_MEASURES)
 
 
@@ -89,18 +109,29 @@ def merge(parts: DataFrame, minutes: int | None = None) -> DataFrame:
                 F.raise_error(F.lit("a window does not lie within the coarser window"))
             ),
         ).withColumn("window_end_ms", F.col("window_start_ms") + size)
-    return parts.groupBy(*GROUP, *WINDOW, "field").agg(
+    return parts.groupBy(*GROUP, *WINDOW, "field").agg(*_sums_of_parts())
+
+
+def _sums_of_parts() -> list[Column]:
+    return [
         F.sum("total").cast(TOTAL).alias("total"),
         F.sum("n").alias("n"),
         F.min("low").alias("low"),
         F.max("high").alias("high"),
         F.bit_or("funcs").alias("funcs"),
         F.sum("n_overflow").alias("n_overflow"),
-    )
+        F.sum("wide_total").alias("wide_total"),
+        F.min("wide_low").alias("wide_low"),
+        F.max("wide_high").alias("wide_high"),
+    ]
 
 
 def finish(parts: DataFrame) -> DataFrame:
-    """Long results: one row per metric the rule asks for."""
+    """Long results: one row per metric the rule asks for.
+
+    Where a group holds numbers beyond the decimal type (``n_overflow`` says how many), ``approx``
+    has the metric as a double over all its numbers, and ``value`` the same as far as it fits.
+    """
     # the names for every combination of function bits, a constant
     names = F.array(
         *[
@@ -118,8 +149,20 @@ def finish(parts: DataFrame) -> DataFrame:
         .when(func == "MAX", F.col("high").cast(TOTAL))
         .when(func == "AVG", mean(F.col("total"), F.col("n")))
     )
+    total = F.coalesce(F.col("total").cast("double"), F.lit(0.0)) + F.col("wide_total")
+    wide = (
+        F.when(func == "SUM", total)
+        .when(func == "COUNT", F.col("n").cast("double"))
+        .when(func == "MIN", F.least(F.col("low").cast("double"), "wide_low"))
+        .when(func == "MAX", F.greatest(F.col("high").cast("double"), "wide_high"))
+        .when(func == "AVG", total / F.col("n"))
+    )
+    beyond = F.col("n_overflow") > 0
+    long = long.select("*", F.when(beyond, wide).alias("approx"))
     return long.select(
-        *GROUP, *WINDOW, metric_name(F.col("field"), func).alias("metric"), value.alias("value"), "n_overflow"
+        *GROUP, *WINDOW, metric_name(F.col("field"), func).alias("metric"),
+        F.when(beyond, F.col("approx").try_cast(TOTAL)).otherwise(value).alias("value"),
+        "n_overflow", "approx",
     ).select(*RESULTS.names)
 
 

@@ -31,7 +31,7 @@ def rule_versions(changes: DataFrame) -> DataFrame:
         ),
     )
     ends = (
-        running(steps, ["rule_id"], ["_at"], {"to_seq": ("min", "_next")})
+        running(steps, ["rule_id"], ["_at"], {"to_seq": ("min", "_next")}, F.shiftright("_at", 17))
         .filter("_asks")
         .select("rule_id", F.col("_seq").alias("from_seq"), "to_seq")
     )

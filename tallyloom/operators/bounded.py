@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-MIN_SALTS, MAX_SALTS = 32, 1024
+MIN_SALTS = 32
 
 
 class Size(NamedTuple):
@@ -63,7 +63,7 @@ def join_small(
     if small_enough:
         return big.join(F.broadcast(small), match).drop("_key")
     partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(MIN_SALTS, min(MAX_SALTS, partitions))
+    salts = max(MIN_SALTS, partitions)
     salt_values = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_of), F.lit(salts)))
     right = small.withColumn("_part", F.explode(salt_values))

@@ -1,13 +1,14 @@
 """Result documents and the versioned table they are kept in."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.functions.keys import doc_id, index_name
 from tallyloom.functions.windows import bound_text
-from tallyloom.model import RESULTS
+from tallyloom.model import PARTS, RESULTS
+from tallyloom.operators.aggregate import finish, whole
 
-# A document is one group in one window of one index. Its printed id joins the values
-# with '-', so two groups may print alike; the values themselves tell them apart.
+# A document is one group in one window of one index.
 _DOC = ["index", "doc_id", "grouping_values"]
 
 
@@ -26,18 +27,26 @@ def documents(results: DataFrame, time_zone: str | None = None) -> DataFrame:
 
     The number of rows of a document is bounded by the specs of the rules, so they are
     collected by one aggregate. If two rules give the same metric, the higher rule id holds.
+    ``approximate`` has the metrics over numbers beyond the decimal type, as doubles.
     """
     rows = addressed(results) if "doc_id" not in results.columns else results
     merged = rows.groupBy(*_DOC).agg(
         F.collect_set("grouping_keys").alias("_names"),
-        F.array_sort(F.collect_list(F.struct("metric", "rule_id", "value"))).alias("_all"),
+        F.array_sort(F.collect_list(F.struct("metric", "rule_id", "value", "approx"))).alias("_all"),
         *[F.max(b).alias(b) for b in ("window_start_ms", "window_end_ms")],
     )
     following = lambda i: F.get(F.col("_all.metric"), i + 1)
     merged = merged.withColumn(
         "_all",
         F.filter("_all", lambda e, i: following(i).isNull() | (following(i) != e["metric"])),
-    ).withColumn("metrics", F.map_from_arrays("_all.metric", "_all.value"))
+    ).withColumn("_wide", F.filter("_all", lambda e: e["approx"].isNotNull())).withColumn(
+        "_all", F.filter("_all", lambda e: e["approx"].isNull())
+    ).withColumns(
+        {
+            "metrics": F.map_from_arrays("_all.metric", "_all.value"),
+            "approximate": F.map_from_arrays("_wide.metric", "_wide.approx"),
+        }
+    )
     pairs = F.flatten(
         F.transform(
             F.array_sort("_names"),
@@ -62,6 +71,7 @@ def documents(results: DataFrame, time_zone: str | None = None) -> DataFrame:
         bound_text(F.col("window_start_ms"), time_zone).alias("startTime"),
         bound_text(F.col("window_end_ms"), time_zone).alias("endTime"),
         "metrics",
+        "approximate",
     )
 
 
@@ -70,7 +80,8 @@ def document_json(docs: DataFrame) -> DataFrame:
     inner = lambda column: F.regexp_replace(F.to_json(column), r"^\{|\}\z", "")
     bounds = inner(F.struct("startTime", "endTime"))
     members = F.filter(
-        F.array(inner(F.col("fields")), bounds, inner(F.col("metrics"))), lambda text: text != ""
+        F.array(inner(F.col("fields")), bounds, inner(F.col("metrics")), inner(F.col("approximate"))),
+        lambda text: text != "",
     )
     body = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
     return docs.select("index", "doc_id", body.alias("body"))
@@ -125,7 +136,7 @@ def latest(versions: DataFrame) -> DataFrame:
     ).agg(
         *[
             F.max_by(name, "version").alias(name)
-            for name in ("value", "window_start_ms", "window_end_ms", "n_overflow")
+            for name in ("value", "window_start_ms", "window_end_ms", "n_overflow", "approx")
         ]
     )
 
@@ -134,3 +145,69 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
     """Write the current results of ``path`` as the first version of a new table."""
     kept = current_results(spark, path).select(*RESULTS.names)
     write_versions(kept, target, batch=0)
+
+
+# --- the table of a stream: versions of mergeable parts -----------------------------------
+
+
+def _version() -> Column:
+    return F.col("generation").cast("bigint") * F.lit(1 << 40) + F.col("batch")
+
+
+def write_parts(parts: DataFrame, path: str, batch: int, generation: int = 0, folder: str = "batches") -> None:
+    """Put the aggregates that a batch changed into the table at ``path``.
+
+    As :func:`write_versions`, but parts are kept as they are, so those of one group can be added
+    up whatever window or day they belong to. A repeated batch replaces its own folder.
+    """
+    (
+        parts.withColumn("index", index_name(F.col("table_name")))
+        .hint("rebalance", "index")
+        .write.mode("overwrite")
+        .partitionBy("index")
+        .parquet(f"{path}/{folder}/generation={generation}/batch={batch}")
+    )
+
+
+def _read_parts(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    schema = T.StructType(list(PARTS.fields)).add("generation", T.IntegerType()).add("batch", T.LongType()).add("index", T.StringType())
+    return spark.read.schema(schema).parquet(f"{path}/{folder}").withColumn("version", _version())
+
+
+def live_parts(spark: SparkSession, path: str, until: int | None = None) -> DataFrame:
+    """The latest version of every part (up to version ``until``): the last compaction and the batches after it."""
+    versions = _read_parts(spark, path, "batches")
+    if until is not None:
+        versions = versions.filter(F.col("version") <= until)
+    try:
+        kept = _read_parts(spark, path, "compacted")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        last = kept.agg(F.max("version")).first()[0]
+        if last is not None:  # versions are made of folder names only: other folders are not read
+            versions = kept.filter(F.col("version") == last).unionByName(versions.filter(F.col("version") > last))
+    key = ["rule_id", "table_name", "grouping_keys", "grouping_values", "field", "running", "part"]
+    window = [F.when(~F.col("running"), F.col(c)).alias(f"_{c}") for c in ("window_start_ms", "window_end_ms")]
+    rest = [f.name for f in PARTS.fields if f.name not in key]
+    done = versions.groupBy(*key, *window).agg(*[F.max_by(c, "version").alias(c) for c in rest])
+    return done.select(*PARTS.names)
+
+
+def live_results(spark: SparkSession, path: str) -> DataFrame:
+    """What a stream has computed so far, as long results: parts of a group added up."""
+    return finish(whole(live_parts(spark, path)))
+
+
+def compact_parts(spark: SparkSession, path: str) -> None:
+    """Gather all versions so far in one folder of the same table; the stream may go on meanwhile.
+
+    Readers take the newest folder, which shows only when it is complete, and the batches after it.
+    """
+    last = _read_parts(spark, path, "batches").select("generation", "batch").agg(
+        F.max(F.struct("generation", "batch")).alias("m")
+    ).first()["m"]
+    if last is not None:
+        until = (last["generation"] << 40) + last["batch"]
+        write_parts(live_parts(spark, path, until), path, last["batch"], last["generation"], "compacted")

@@ -6,7 +6,7 @@ from tallyloom.functions.fields import FieldMap, Fields
 from tallyloom.functions.keys import group_values
 from tallyloom.functions.windows import MINUTE_MS, window_start
 from tallyloom.operators.bounded import check_size, join_small
-from tallyloom.operators.rules import active
+from tallyloom.operators.rules import active, last_per_id
 
 # The functions a rule asks of one field, as bits, so that they travel as one integer.
 FUNC_BITS = {"SUM": 1, "COUNT": 2, "MIN": 4, "MAX": 8, "AVG": 16}
@@ -15,7 +15,10 @@ _MAX_SLOTS = 16
 
 
 def matcher(rules: DataFrame, *more: str) -> DataFrame:
-    """Active rules as the fork join needs them: per distinct field the functions asked for."""
+    """Active rules as the fork join needs them: per distinct field the functions asked for.
+
+    An id that comes twice is one rule, the last one (see :func:`last_per_id`).
+    """
     asked = lambda field: sum(
         (
             F.when(F.array_contains("aggs", F.struct(field.alias("field"), F.lit(func).alias("func"))), bit).otherwise(0)
@@ -24,7 +27,7 @@ def matcher(rules: DataFrame, *more: str) -> DataFrame:
         F.lit(0),
     )
     names = F.array_distinct("aggs.field")
-    return active(rules).select(
+    return active(last_per_id(rules, *more)).select(
         "rule_id",
         "table_name",
         "grouping_keys",

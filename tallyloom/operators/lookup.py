@@ -33,7 +33,8 @@ def widen(
     ``on`` maps event fields to dimension columns; all are compared as text, and a
     missing or NULL field matches nothing. A match overwrites equal names, with NULLs
     too; no match leaves the event as it is. ``unique`` says the keys are unique, which
-    spares the reduction to the last row.
+    spares the reduction to the last row. It is not checked: where it is wrong, events
+    are multiplied.
 
     No hint: Spark broadcasts the dimension when it knows it to be below
     ``spark.sql.autoBroadcastJoinThreshold`` (from statistics, or at run time from the
@@ -50,7 +51,13 @@ def widen(
         side = text.dropna(subset=keys).select(*keys, F.struct(*columns).alias("_ext"))
     else:
         side = last_rows(text, keys, columns, "_order" if order else None)
-    matches = [F.col("fields")[left] == F.col(key) for key, left in zip(keys, on)]
+    # events without a value match nothing, but in a shuffled join they would all meet in one task:
+    # they are dealt out by their content instead
+    content = F.xxhash64("event_ms", F.map_values("fields")).cast("string")
+    asked = [F.col("fields")[left] for left in on]
+    matches = [
+        (F.coalesce(value, content) == F.col(key)) & value.isNotNull() for key, value in zip(keys, asked)
+    ]
     condition = matches[0]
     for match in matches[1:]:
         condition = condition & match
@@ -69,11 +76,15 @@ def widen(
 
 def read_dimension(
     spark: SparkSession, url: str, table: str, on: Mapping[str, str], extend: Sequence[str],
-    properties: dict[str, str],
+    properties: dict[str, str], order: str | None = None,
 ) -> DataFrame:
-    """The key and extend columns of a database table; the source reads no others.
+    """The key, extend and order columns of a database table; the source reads no others.
+
+    ``order`` is the column by which ``widen`` takes the last of several rows.
 
     A stream joined with it reads it again in every micro-batch, so a change shows
     within one trigger interval.
     """
-    return spark.read.jdbc(url, table, properties=properties).select(*on.values(), *extend)
+    return spark.read.jdbc(url, table, properties=properties).select(
+        *dict.fromkeys([*on.values(), *extend, *([order] if order else [])])
+    )

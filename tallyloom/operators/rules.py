@@ -1,9 +1,8 @@
 """The rule relation: current set, export, commands, counts."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.model import RULES
-from tallyloom.operators.bounded import check_size
 
 
 def _last_command(changes: DataFrame, command: str) -> DataFrame:
@@ -39,6 +38,40 @@ def clear_state(events: DataFrame, changes: DataFrame) -> DataFrame:
     return _after_command(events, changes, "CLEAR_STATE_ALL")
 
 
+def last_per_id(rules: DataFrame, *more: str) -> DataFrame:
+    """One row per rule id (and per value of ``more``): the last by ``seq``, if there is such a column.
+
+    Of rows that nothing puts in order, a delete holds before a pause and a pause before an
+    active rule; then the larger by value holds. Equal rows count once.
+    """
+    values = [n for n in RULES.names if n != "rule_id"]
+    state = F.col("rule_state")
+    rank = F.when(state == "DELETE", 2).when(state == "PAUSE", 1).otherwise(0)
+    order = F.struct(*(["seq"] if "seq" in rules.columns else []), rank, *values)
+    last = rules.filter(F.col("rule_id").isNotNull()).groupBy("rule_id", *more).agg(
+        F.max_by(F.struct(*values), order).alias("_last")
+    )
+    return last.select("rule_id", "_last.*", *more)
+
+
+def repeated_ids(rules: DataFrame) -> DataFrame:
+    """Ids that come in several rows, of which :func:`last_per_id` keeps one."""
+    counted = rules.filter(F.col("rule_id").isNotNull()).groupBy("rule_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.filter("n_rows > 1")
+
+
+def current_rules(changes: DataFrame) -> DataFrame:
+    """As :func:`fold_changes`, reading ``changes`` once: for a source that may change between two reads.
+
+    Finding the last command brings all changes into one task, so it is for sources that
+    hold to a bound.
+    """
+    is_command = (F.col("rule_state") == "CONTROL") & (F.col("control_type") == "DELETE_RULES_ALL")
+    cut = F.max(F.when(is_command, F.col("seq"))).over(Window.partitionBy(F.lit(0)))
+    live = changes.withColumn("_cut", cut).filter(F.col("_cut").isNull() | (F.col("seq") > F.col("_cut")))
+    return last_per_id(live.filter(F.col("rule_state") != "CONTROL")).filter(F.col("rule_state") != "DELETE")
+
+
 def active(rules: DataFrame) -> DataFrame:
     return rules.filter(F.col("rule_state") == "ACTIVE")
 
@@ -59,19 +92,24 @@ def export_rules(rules: DataFrame) -> DataFrame:
     return rules.select("rule_id", F.to_json(named).alias("json"))
 
 
+def flag_rules(keyed: DataFrame, rules: DataFrame) -> DataFrame:
+    """Keyed rows with ``has_rule``: whether their rule still exists. One join for both outcomes.
+
+    No hint: Spark broadcasts the ids when it finds them small, and splits an id that
+    holds very many rows otherwise.
+    """
+    ids = rules.select("rule_id").distinct().withColumn("_found", F.lit(True))
+    return keyed.join(ids, "rule_id", "left").withColumn("has_rule", F.coalesce("_found", F.lit(False))).drop("_found")
+
+
 def without_rule(keyed: DataFrame, rules: DataFrame) -> DataFrame:
     """Keyed rows whose rule is gone: they are dropped from aggregation, and listed here."""
-    return keyed.join(_ids(rules), "rule_id", "left_anti")
+    return flag_rules(keyed, rules).filter(~F.col("has_rule")).drop("has_rule")
 
 
 def with_rule(keyed: DataFrame, rules: DataFrame) -> DataFrame:
     """Keyed rows whose rule still exists."""
-    return keyed.join(_ids(rules), "rule_id", "left_semi")
-
-
-def _ids(rules: DataFrame) -> DataFrame:
-    ids = rules.select("rule_id")
-    return F.broadcast(ids) if check_size(ids).small else ids
+    return flag_rules(keyed, rules).filter("has_rule").drop("has_rule")
 
 
 def rule_counts(rules: DataFrame) -> DataFrame:

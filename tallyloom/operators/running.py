@@ -1,9 +1,10 @@
 """Running values after each event, and look-back sums, without one task per group.
 
-A window function over a whole group sorts the group in one task. Here the rows are
-range-partitioned by group and order, so that a large group spans several partitions;
-within a partition a window function does the work, and each partition then adds what
-the partitions before it hold for the same group.
+A window function over a whole group sorts the group in one task. Here each group is cut into
+parts by a function of the row that rises with the order, a stretch of time say, so that a
+large group spans many tasks; within a part a window function does the work, and each part
+then adds what the parts before it hold for the same group. A row's part is the same in every
+run, so nothing is sampled or written down, and a lost executor changes nothing.
 """
 
 from collections.abc import Mapping, Sequence
@@ -12,9 +13,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.functions.numbers import mean
 from tallyloom.functions.windows import lookback_start
-from tallyloom.model import TOTAL
+from tallyloom.model import NUMBER, TOTAL
 from tallyloom.operators.aggregate import measured
-from tallyloom.session import materialise
+
+# into how many parts a group's window is cut
+STRETCHES = 256
+
+
+def stretch(ms: Column, size_ms: Column) -> Column:
+    """Number of the stretch of time that holds ``ms``, :data:`STRETCHES` to a window."""
+    return F.floor(ms * STRETCHES / size_ms).cast("bigint")
+
 
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -24,16 +33,14 @@ def running(
     group: Sequence[str],
     order: Sequence[str],
     totals: Mapping[str, tuple[str, str]],
+    part_of: Column,
 ) -> DataFrame:
     """Add running totals in ``order`` within ``group``; ``totals`` is name -> (sum|min|max, column).
 
-    ``order`` must be unique within a group. The number of a row's part is that of its
-    range partition. It has to be the same wherever the rows are read again, so the
-    partitioned rows are written to the checkpoint folder first.
+    ``order`` must be unique within a group, and ``part_of`` must never fall along it. The rows are shuffled once,
+    by group and part; totals of parts (one row per group and part) are all that moves after that.
     """
-    placed = materialise(
-        df.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id())
-    )
+    placed = df.withColumn("_part", part_of).repartition(*group, "_part")
     part = [*group, "_part"]
     within = (
         Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -41,7 +48,6 @@ def running(
     before = (
         Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # at most one row per group and range partition
     per_part = placed.groupBy(*part).agg(
         *[_MERGE[how](column).alias(f"_all_{name}") for name, (how, column) in totals.items()]
     )
@@ -67,18 +73,24 @@ def running(
 _SERIES = ["rule_id", "table_name", "grouping_keys", "grouping_values"]
 
 
+def _exact(rows: DataFrame) -> DataFrame:
+    """Values as decimals; one beyond the type counts as 0 in running totals."""
+    return rows.withColumn("value", F.coalesce("value", F.lit(0).cast(NUMBER)))
+
+
 def running_values(forked: DataFrame, event_id: str) -> DataFrame:
     """What every group holds after each of its events, in order of time, then id."""
-    rows = measured(forked, "event_ms", event_id).withColumn("_one", F.lit(1).cast("bigint"))
+    rows = _exact(measured(forked, "event_ms", event_id)).withColumn("_one", F.lit(1).cast("bigint"))
     done = running(
         rows,
         [*_SERIES, "window_start_ms", "window_end_ms", "field"],
         ["event_ms", event_id],
         {"total": ("sum", "value"), "n": ("sum", "_one"), "low": ("min", "value"), "high": ("max", "value")},
+        stretch(F.col("event_ms") - F.col("window_start_ms"), F.col("window_end_ms") - F.col("window_start_ms")),
     )
     return done.withColumn("total", F.col("total").cast(TOTAL)).withColumn(
         "average", mean(F.col("total"), F.col("n"))
-    ).drop("_one", "overflow", "funcs")
+    ).drop("_one", "wide", "funcs")
 
 
 def lookback_values(forked: DataFrame) -> DataFrame:
@@ -90,7 +102,7 @@ def lookback_values(forked: DataFrame) -> DataFrame:
     the window length and however many events share a time.
     """
     size = F.col("window_end_ms") - F.col("window_start_ms")
-    rows = measured(forked, "event_ms").withColumn("size_ms", size)
+    rows = _exact(measured(forked, "event_ms")).withColumn("size_ms", size)
     series = [*_SERIES, "field", "size_ms"]
     steps: list[Column] = [
         F.struct(F.col("event_ms").alias("at_ms"), F.col("value").cast(TOTAL).alias("v"), F.lit(1).alias("d"), F.lit(1).alias("own")),
@@ -104,7 +116,9 @@ def lookback_values(forked: DataFrame) -> DataFrame:
         .groupBy(*series, "at_ms")
         .agg(F.sum("v").cast(TOTAL).alias("v"), F.sum("d").alias("d"), F.max("own").alias("own"))
     )
-    done = running(changes, series, ["at_ms"], {"total": ("sum", "v"), "n": ("sum", "d")})
+    done = running(
+        changes, series, ["at_ms"], {"total": ("sum", "v"), "n": ("sum", "d")}, stretch(F.col("at_ms"), F.col("size_ms"))
+    )
     return done.filter(F.col("own") == 1).select(
         *_SERIES,
         "field",

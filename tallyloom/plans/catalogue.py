@@ -61,7 +61,7 @@ def flat(results: DataFrame, *more) -> DataFrame:
         "window_start_ms",
         "window_end_ms",
         "metric",
-        F.col("value").cast("double").alias("value"),
+        F.coalesce("approx", F.col("value").cast("double")).alias("value"),
         *more,
     )
 

@@ -247,6 +247,72 @@ _ALL_FUNCS = "value:sum&value:count&value:min&value:max&value:avg"
 _ALL_SPECS = [("value", f) for f in ("SUM", "COUNT", "MIN", "MAX", "AVG")]
 
 
+# fixed values of the test: powers of two, whose sums are exact in any order
+_BIG, _HUGE = 2**90, "8.452712498170644e270"
+_WIDE = f"""CASE WHEN event_id % 7 = 0 THEN {_BIG}::DOUBLE WHEN event_id % 11 = 0 THEN -{_BIG}::DOUBLE
+  WHEN event_id % 113 = 0 THEN {_HUGE}::DOUBLE END"""
+
+
+def _sql_huge(func):
+    total = "CAST(coalesce(sum(cents), 0) AS BIGINT) / 100::DOUBLE"
+    wide_or = lambda wide, plain: f"CASE WHEN count(wide) > 0 THEN {wide} ELSE {plain} END"
+    low = lambda f, g: f"{f}(CAST(coalesce(wide, value) AS DOUBLE))"
+    rounded = "CAST((CAST(sum(cents) AS BIGINT) * 200 + count(*)) // (2 * count(*)) AS DOUBLE) / 10000::DOUBLE"
+    value = {
+        "SUM": f"{total} + coalesce(sum(wide), 0)",
+        "COUNT": "CAST(count(*) AS DOUBLE)",
+        "MIN": low("min", "least"),
+        "MAX": low("max", "greatest"),
+        "AVG": wide_or(f"({total} + sum(wide)) / count(*)", rounded),
+    }[func]
+    return (
+        f"SELECT event_type AS table_name, CAST(user_id AS VARCHAR) AS grp, ms - ms % 3600000 AS window_start_ms, "
+        f"'value-{func}' AS metric, {value} AS value, count(wide) AS n_overflow FROM w GROUP BY 1, 2, 3"
+    )
+
+
+@query(
+    "huge_values",
+    f"""WITH {EV}, marked AS (SELECT *, {_WIDE} AS wide FROM ev),
+w AS (SELECT *, CASE WHEN wide IS NULL THEN CAST(round(value * 100) AS BIGINT) END AS cents FROM marked) """
+    + " UNION ALL ".join(map(_sql_huge, ["SUM", "COUNT", "MIN", "MAX", "AVG"])),
+)
+def huge_values(spark, sf_dir):
+    """Numbers far beyond twenty digits among ordinary ones: none is lost, ordinary groups stay exact."""
+    at = lambda n: F.col("event_id") % n == 0
+    text = (
+        F.when(at(7), F.lit(str(_BIG))).when(at(11), F.lit(str(-_BIG))).when(at(113), F.lit(_HUGE))
+        .otherwise(F.col("value").cast("string"))
+    )
+    seen = event_indicators(spark, sf_dir, value=text)
+    lines = [f"{i},{kind},active,user_id,{_ALL_FUNCS},60" for i, kind in enumerate(TYPES)]
+    return flat(evaluate(seen, rule_lines(spark, *lines)), "n_overflow").drop("rule_id", "window_end_ms")
+
+
+@query(
+    "document_ids_unique",
+    f"""WITH {EV}, parted AS (SELECT *, CASE WHEN k % 2 = 0 THEN user_id || '-' || k % 5 ELSE CAST(user_id AS VARCHAR) END AS a,
+  CASE WHEN k % 2 = 0 THEN CAST(k % 3 AS VARCHAR) ELSE k % 5 || '-' || k % 3 END AS b FROM ev)
+SELECT event_type AS index_name, '{{' || replace(a, '-', '\\-') || '-' || replace(b, '-', '\\-') || '-' || (ms - ms % 86400000)
+  || '-' || (ms - ms % 86400000 + 86400000) || '}}' AS doc_id, CAST(count(*) AS DOUBLE) AS n, CAST(1 AS BIGINT) AS n_documents
+FROM parted GROUP BY event_type, a, b, ms - ms % 86400000""",
+)
+def document_ids_unique(spark, sf_dir):
+    """Groups such as (a-b, c) and (a, b-c), whose values joined plainly would give one id."""
+    even = F.col("k").cast("int") % 2 == 0
+    user, five, three = F.col("user_id").cast("string"), (F.col("k") % 5).cast("int"), (F.col("k") % 3).cast("int")
+    seen = event_indicators(
+        spark, sf_dir,
+        a=F.when(even, F.concat_ws("-", user, five)).otherwise(user),
+        b=F.when(even, three.cast("string")).otherwise(F.concat_ws("-", five, three)),
+    )
+    lines = [f"{i},{kind},active,a&b,value:count,1440" for i, kind in enumerate(TYPES)]
+    docs = documents(evaluate(seen, rule_lines(spark, *lines)))
+    return docs.groupBy(F.col("index").alias("index_name"), "doc_id").agg(
+        F.max(F.col("metrics")["value-COUNT"]).cast("double").alias("n"), F.count(F.lit(1)).alias("n_documents")
+    )
+
+
 @query(
     "rollup_10_to_60",
     f"WITH {EV} "

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from tallyloom.operators.aggregate import finish, partials
 from tallyloom.operators.fork import fork
 from tallyloom.operators.rules import (
-    clear_state, export_rules, fold_changes, rule_counts, with_rule, without_rule,
+    clear_state, export_rules, flag_rules, fold_changes, rule_counts,
 )
 from tallyloom.plans.catalogue import (
     EV, event_indicators, events, flat, query, rule_lines, sql_rule, table,
 )
-from tallyloom.plans.evaluate import replay
+from tallyloom.plans.evaluate import evaluate, replay
 from tallyloom.sources.json_rows import to_json_rows
 from tallyloom.sources.rules import changed_rows, parse_rules, rules_from_table, unusable, usable
 
@@ -212,9 +212,61 @@ def rows_of_missing_rules(spark, sf_dir):
     """Rows keyed by a rule that has been deleted since, told from those whose rule is there."""
     keyed = events(spark, sf_dir).select("event_id", F.col("user_id").cast("int").alias("rule_id"))
     rules = _current_rules(spark, sf_dir)
-    kept = with_rule(keyed, rules).withColumn("outcome", F.lit("kept"))
-    dropped = without_rule(keyed, rules).withColumn("outcome", F.lit("dropped"))
-    return kept.unionByName(dropped)
+    return flag_rules(keyed, rules).select(
+        "event_id", "rule_id", F.when(F.col("has_rule"), "kept").otherwise("dropped").alias("outcome")
+    )
+
+
+_TWICE = [
+    # seq, rule line: versions of one rule that were never folded; the last one counts
+    (1, "1,click,active,k,value:max,10"), (2, "1,click,active,user_id,value:sum&value:count,60"),
+    (3, "1,click,active,user_id,value:sum&value:count,60"), (1, "2,view,pause,user_id,value:sum,60"),
+    (2, "2,view,active,user_id&k,value:sum,1440"), (1, "3,error,active,user_id,value:count,60"),
+    (2, "3,error,active,user_id,value:count,60"), (1, "4,purchase,active,user_id,value:sum,60"),
+    (2, "4,purchase,delete,user_id,value:sum,60"), (1, "5,signup,active,k,value:min&value:max,30"),
+    (2, "6,purchase,active,k,value:avg,60"),
+]
+
+
+@query(
+    "rules_duplicate_ids",
+    f"WITH {EV} "
+    + " UNION ALL ".join(
+        [
+            sql_rule(1, "click", ["user_id"], [("value", "SUM"), ("value", "COUNT")], 60, "event_type = 'click'"),
+            sql_rule(2, "view", ["user_id", "k"], [("value", "SUM")], 1440, "event_type = 'view'"),
+            sql_rule(3, "error", ["user_id"], [("value", "COUNT")], 60, "event_type = 'error'"),
+            sql_rule(5, "signup", ["k"], [("value", "MIN"), ("value", "MAX")], 30, "event_type = 'signup'"),
+            sql_rule(6, "purchase", ["k"], [("value", "AVG")], 60, "event_type = 'purchase'"),
+        ]
+    ),
+)
+def rules_duplicate_ids(spark, sf_dir):
+    """Rules that come in several versions: each id is one rule, the last one."""
+    lines = spark.createDataFrame(_TWICE, "seq bigint, line string")
+    rules = usable(parse_rules(lines)).drop("line")
+    return flat(evaluate(event_indicators(spark, sf_dir), rules))
+
+
+@query(
+    "rules_table_out_of_range",
+    """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'bad id' WHEN 1 THEN 'bad window' ELSE 'usable' END AS outcome
+  FROM part""",
+)
+def rules_table_out_of_range(spark, sf_dir):
+    """Rule rows with numbers that do not fit: each is rejected alone."""
+    third = F.col("p_partkey") % 3
+    far = F.lit(3_000_000_000)
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(third == 0, F.col("p_partkey") + far).otherwise(F.col("p_partkey")).alias("id"),
+        F.col("p_brand").alias("table_name"),
+        F.lit("active").alias("rule_state"),
+        F.col("p_type").alias("grouping_key_names"),
+        F.lit("p_size:sum").alias("agg_fields"),
+        F.when(third == 1, far).otherwise(F.col("p_size").cast("bigint")).alias("window_minutes"),
+    )
+    return rules_from_table(rows).select("p_partkey", F.coalesce("error", F.lit("usable")).alias("outcome"))
 
 
 _CHANGES = [

@@ -1,12 +1,12 @@
 """Streaming queries over the events, compared with the batch SQL where the outcome is fixed."""
 
-from tallyloom.operators.documents import compact, current_results
+from tallyloom.operators.documents import compact_parts, live_results
 from tallyloom.operators.fork import fork
 from tallyloom.operators.aggregate import partials
 from tallyloom.plans.catalogue import EV, event_indicators, flat, query, rule_lines, sql_rule
 from tallyloom.plans.queries_metrics import KEYED_SQL, MULTI_RULES, RUNNING_SQL
 from tallyloom.session import scratch_folder
-from tallyloom.streaming.job import closing_partials, evicting_partials, start, update_partials
+from tallyloom.streaming.job import closing_partials, start, update_partials
 from tallyloom.streaming.rule_feed import live_rules
 
 
@@ -30,6 +30,7 @@ def _run(parts, folder, **options):
     start(parts, f"{folder}/results", f"{folder}/checkpoint", **options).awaitTermination()
 
 
+_ODD, _EVEN = "event_id % 2 = 1", "event_id % 2 = 0"  # both pieces go into the same groups
 _EARLY = "table_name IN ('click', 'view')"
 _LATE = "table_name NOT IN ('click', 'view')"
 
@@ -37,12 +38,12 @@ _LATE = "table_name NOT IN ('click', 'view')"
 @query("stream_update_equals_batch", f"WITH {EV} {KEYED_SQL} UNION ALL {RUNNING_SQL}")
 def stream_update_equals_batch(spark, sf_dir):
     """All events through the stream; the table ends up as the batch results."""
-    folder, stream, put = _staged(spark, sf_dir, [_EARLY, _LATE])
+    folder, stream, put = _staged(spark, sf_dir, [_ODD, _EVEN])
     rules = rule_lines(spark, *MULTI_RULES)
     for piece in put:
         piece()
-        _run(update_partials(stream, rules), folder)
-    return flat(current_results(spark, f"{folder}/results"))
+        _run(update_partials(stream, rules, None), folder)
+    return flat(live_results(spark, f"{folder}/results"))
 
 
 @query("stream_late_refire", f"WITH {EV} {KEYED_SQL} UNION ALL {RUNNING_SQL}")
@@ -53,29 +54,46 @@ def stream_late_refire(spark, sf_dir):
     rules = rule_lines(spark, *MULTI_RULES)
     for piece in put:
         piece()
-        _run(update_partials(stream, rules), folder)
-    return flat(current_results(spark, f"{folder}/results"))
+        _run(update_partials(stream, rules, None), folder)
+    return flat(live_results(spark, f"{folder}/results"))
 
 
 @query("stream_compacted", f"WITH {EV} {KEYED_SQL} UNION ALL {RUNNING_SQL}")
 def stream_compacted(spark, sf_dir):
-    """As above, with the versions compacted into a new table afterwards."""
-    folder, stream, put = _staged(spark, sf_dir, [_EARLY, _LATE])
+    """The table is compacted in place between two runs of the stream, and again after them."""
+    folder, stream, put = _staged(spark, sf_dir, [_ODD, _EVEN])
     rules = rule_lines(spark, *MULTI_RULES)
     for piece in put:
         piece()
-        _run(update_partials(stream, rules), folder)
-    compact(spark, f"{folder}/results", f"{folder}/compacted")
-    return flat(current_results(spark, f"{folder}/compacted"))
+        _run(update_partials(stream, rules, None), folder)
+        compact_parts(spark, f"{folder}/results")
+    return flat(live_results(spark, f"{folder}/results"))
+
+
+_LONG_RULES = ["9,view,active,user_id,value:sum&value:avg,7", "10,purchase,active,k,value:max&value:count,10080"]
+_LONG_SQL = " UNION ALL ".join(
+    [
+        sql_rule(9, "view", ["user_id"], [("value", "SUM"), ("value", "AVG")], 7, "event_type = 'view'"),
+        sql_rule(10, "purchase", ["k"], [("value", "MAX"), ("value", "COUNT")], 10080, "event_type = 'purchase'"),
+    ]
+)
 
 
-@query("stream_ttl", f"WITH {EV} {KEYED_SQL}")
+@query("stream_ttl", f"WITH {EV} {KEYED_SQL} UNION ALL {RUNNING_SQL} UNION ALL {_LONG_SQL}")
 def stream_ttl(spark, sf_dir):
-    """State that ends a day after its day: nothing here is late enough to be lost."""
-    folder, stream, put = _staged(spark, sf_dir, ["true"])
-    put[0]()
-    _run(evicting_partials(stream, rule_lines(spark, *MULTI_RULES)), folder)
-    return flat(current_results(spark, f"{folder}/results"))
+    """State that ends a day after its day, over events that come in four pieces by time.
+
+    The rules have windows of seven minutes, which cross midnight, of a week, and none at all. By
+    the later pieces the state of earlier days is gone; nothing comes late enough to be lost.
+    """
+    cuts = event_indicators(spark, sf_dir).selectExpr("percentile_approx(event_ms, array(0.25, 0.5, 0.75)) AS p").first()["p"]
+    edges = [0, *cuts, 1 << 62]
+    pieces = [f"event_ms >= {a} AND event_ms < {b}" for a, b in zip(edges, edges[1:])]
+    folder, stream, put = _staged(spark, sf_dir, pieces)
+    for piece in put:
+        piece()
+        _run(update_partials(stream, rule_lines(spark, *MULTI_RULES, *_LONG_RULES)), folder)
+    return flat(live_results(spark, f"{folder}/results"))
 
 
 @query(
@@ -87,7 +105,7 @@ def stream_on_close(spark, sf_dir):
     folder, stream, put = _staged(spark, sf_dir, ["true"])
     put[0]()
     _run(closing_partials(stream, rule_lines(spark, *MULTI_RULES)), folder, mode="append")
-    return flat(current_results(spark, f"{folder}/results"))
+    return flat(live_results(spark, f"{folder}/results"))
 
 
 @query(
@@ -131,4 +149,54 @@ def stream_hot_rules(spark, sf_dir):
         running.processAllAvailable()
     finally:
         running.stop()
-    return flat(current_results(spark, f"{folder}/results"))
+    return flat(live_results(spark, f"{folder}/results"))
+
+
+_CHANGED_SQL = " UNION ALL ".join(
+    [
+        sql_rule(1, "click", ["user_id"], [("value", "SUM"), ("value", "COUNT")], 60, "event_type = 'click' AND event_id % 2 = 1"),
+        sql_rule(1, "click", ["k"], [("value", "MAX")], 30, "event_type = 'click' AND event_id % 2 = 0"),
+        sql_rule(2, "view", ["user_id"], [("value", "MAX")], 60, "event_type = 'view' AND event_id % 2 = 1"),
+        sql_rule(3, "error", ["user_id"], [("value", "SUM")], 60, "event_type = 'error' AND event_id % 2 = 1"),
+        sql_rule(4, "purchase", ["user_id"], [("value", "MIN")], 60, "event_type = 'purchase'"),
+        sql_rule(5, "signup", ["k"], [("value", "AVG")], 1440, "event_type = 'signup' AND event_id % 2 = 0"),
+    ]
+)
+
+
+@query("stream_rule_changes", f"WITH {EV} {_CHANGED_SQL}")
+def stream_rule_changes(spark, sf_dir):
+    """Rules of all five types changed by lines added to the folder while the stream runs.
+
+    Between the two pieces rule 1 is edited, 2 is paused, 3 is deleted, 4 is repeated and 5 appears.
+    """
+    folder, stream, put = _staged(spark, sf_dir, [_ODD, _EVEN])
+
+    def publish(name, *lines):
+        spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1).write.mode("append").text(
+            f"{folder}/rules/{name}"
+        )
+
+    publish(
+        "version=1", "1,click,active,user_id,value:sum&value:count,60", "2,view,active,user_id,value:max,60",
+        "3,error,active,user_id,value:sum,60", "4,purchase,active,user_id,value:min,60",
+    )
+    put[0]()
+    parts = update_partials(stream, live_rules(spark, f"{folder}/rules"), None, small_rules=True)
+    running = start(
+        parts, f"{folder}/results", f"{folder}/checkpoint", trigger={"processingTime": "0 seconds"}
+    )
+    try:
+        running.processAllAvailable()
+        # the next version begins with the lines of the last one: changes are added, not edited in
+        publish(
+            "version=2", "1,click,active,user_id,value:sum&value:count,60", "2,view,active,user_id,value:max,60",
+            "3,error,active,user_id,value:sum,60", "4,purchase,active,user_id,value:min,60",
+            "1,click,active,k,value:max,30", "2,view,pause,user_id,value:max,60", "3,error,delete,user_id,value:sum,60",
+            "4,purchase,active,user_id,value:min,60", "5,signup,active,k,value:avg,1440",
+        )
+        put[1]()
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return flat(live_results(spark, f"{folder}/results"))

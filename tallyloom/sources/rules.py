@@ -107,19 +107,20 @@ def parse_rules(lines: DataFrame, column: str = "line") -> DataFrame:
 def rules_from_table(table: DataFrame) -> DataFrame:
     """Rule columns plus ``error`` from a rule table; columns beyond its own are kept (``seq``).
 
-    Read by column name and type: a NULL grouping column means no grouping.
+    Read by column name and type: a NULL grouping column means no grouping. A number that
+    does not fit is no number, so its row is rejected and the others are read.
     """
     known = {"id", "table_name", "rule_state", "grouping_key_names", "agg_fields", "window_minutes"}
     others = [c for c in table.columns if c not in known and c != "control_type"]
     control = F.col("control_type") if "control_type" in table.columns else F.lit(None)
     step = table.select(
         *others,
-        F.col("id").cast("int").alias("rule_id"),
+        F.col("id").try_cast("int").alias("rule_id"),
         "table_name",
         F.upper("rule_state").alias("rule_state"),
         grouping_keys(F.col("grouping_key_names")).alias("grouping_keys"),
         F.array_distinct(agg_specs(F.col("agg_fields"))).alias("aggs"),
-        F.col("window_minutes").cast("int").alias("window_minutes"),
+        F.col("window_minutes").try_cast("int").alias("window_minutes"),
         control.cast("string").alias("control_type"),
     )
     return _checked(step, others, F.lit(None).cast("string"))

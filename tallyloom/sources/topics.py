@@ -1,6 +1,6 @@
 """Topics as sources and sinks. Needs Spark's Kafka package on the cluster."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.sources.rules import parse_rules, usable
@@ -15,6 +15,10 @@ def topic_options(host: str, port: int, topic: str) -> dict[str, str]:
     }
 
 
+def topic_order(timestamp: Column, offset: Column) -> Column:
+    return F.unix_millis(timestamp) * F.lit(1 << 20) + F.pmod(offset, F.lit(1 << 20))
+
+
 def topic_lines(spark: SparkSession, host: str, port: int, topic: str) -> DataFrame:
     """The records of a topic as a stream of text lines."""
     reader = spark.readStream.format("kafka").options(**topic_options(host, port, topic))
@@ -24,13 +28,15 @@ def topic_lines(spark: SparkSession, host: str, port: int, topic: str) -> DataFr
 def topic_rules(spark: SparkSession, host: str, port: int, topic: str) -> DataFrame:
     """The rules in a topic, read whole and again each time, with ``seq`` in arrival order.
 
-    A batch read, so that it can be folded to the current rules. The order is that of
-    the record time, then partition and offset.
+    A batch read, so that it can be folded to the current rules. ``seq`` is one number, as
+    rule versions need it: the record time in milliseconds, then the lower digits of the offset.
+    The order of records that share a millisecond is that of their offsets, which holds in a
+    topic of one partition.
     """
     reader = spark.read.format("kafka").options(**topic_options(host, port, topic))
     records = reader.load().select(
         F.col("value").cast("string").alias("line"),
-        F.struct("timestamp", "partition", "offset").alias("seq"),
+        topic_order(F.col("timestamp"), F.col("offset")).alias("seq"),
     )
     return usable(parse_rules(records)).drop("line")
 

@@ -1,6 +1,6 @@
 """Streaming evaluation into a versioned table of results.
 
-Update mode (the default) writes every result that changed in a micro-batch: a late
+Update mode (the default) writes every aggregate that changed in a micro-batch: a late
 event corrects results that were written before. On-close mode writes a result once,
 when the watermark has passed the end of its window; later events are dropped.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.operators.aggregate import finish, partials
-from tallyloom.operators.documents import write_versions
+from tallyloom.operators.documents import write_parts
 from tallyloom.operators.fork import fork
 from tallyloom.operators.rules import active
 
@@ -30,44 +30,24 @@ def _keyed(rules: DataFrame) -> DataFrame:
 
 
 def update_partials(
-    events: DataFrame, rules: DataFrame, small_rules: bool | None = None
-) -> DataFrame:
-    """Partial aggregates in update mode. State is kept for good: no late event is lost."""
-    return partials(fork(events, rules, small_rules))
-
-
-def evicting_partials(
     events: DataFrame,
     rules: DataFrame,
-    allowed_lateness: str = ALLOWED_LATENESS,
+    allowed_lateness: str | None = ALLOWED_LATENESS,
     small_rules: bool | None = None,
 ) -> DataFrame:
-    """Partial aggregates in update mode with state that ends.
+    """Partial aggregates in update mode, with state that ends: any rule, any window length.
 
     Spark lets go of a group when the watermark has passed a window in its key, and the
     length of such a window is part of the plan, while rules bring their own lengths.
-    So the key also holds the day of the event, for that purpose only. It splits no
-    group as long as every rule window lies within a day, which holds for the lengths
-    that divide one; rules with another length are refused at this point by an error
-    in the micro-batch, and are for :func:`closing_partials`. Rules without keys have
-    no window and belong to :func:`update_partials`; here they are left out.
+    So every group is kept in parts, one per day of its events; a day's parts leave the state
+    when it is over by more than ``allowed_lateness``, and readers add a group's parts up. A window over
+    several days, one that crosses midnight, and a total without a window are as right as any.
+    Events later than that are dropped. With ``None`` state is kept for good and no event is too late.
     """
+    if allowed_lateness is None:
+        return partials(fork(events, rules, small_rules))
     day = F.window("event_time", f"{_DAY_MINUTES} minutes")
-    return partials(
-        fork(events.withWatermark("event_time", allowed_lateness), _nested(_keyed(rules)), small_rules),
-        evict_by=day,
-    )
-
-
-def _nested(rules: DataFrame) -> DataFrame:
-    fits = F.lit(_DAY_MINUTES) % F.col("window_minutes") == 0
-    message = F.concat(F.lit("window does not divide a day, rule "), F.col("rule_id").cast("string"))
-    return rules.withColumn(
-        "window_minutes",
-        F.when((F.col("rule_state") != "ACTIVE") | fits, F.col("window_minutes")).otherwise(
-            F.raise_error(message).cast("int")
-        ),
-    )
+    return partials(fork(events.withWatermark("event_time", allowed_lateness), rules, small_rules), evict_by=day)
 
 
 def window_lengths(rules: DataFrame) -> list[int]:
@@ -86,13 +66,20 @@ def closing_partials(
     """Partial aggregates in append mode: each once, when its window has closed.
 
     One branch per distinct window length, because the length of a closing window is
-    part of the plan. A rule with a new length needs a restart, any other edit does not.
+    part of the plan. A rule that gets a new length while the stream runs stops it with an
+    error, and a restart takes the length in; any other edit needs none. A rule without keys has
+    a running total, which never closes: it is for :func:`update_partials`.
     """
     if lengths is None:
         lengths = window_lengths(rules)
     if not lengths:
         raise ValueError("no active rule with grouping keys")
     marked = events.withWatermark("event_time", delay)
+    known = F.col("window_minutes").isin(lengths) | (F.col("rule_state") != "ACTIVE") | (F.size("grouping_keys") == 0)
+    message = F.concat(F.lit("restart the stream for the window of rule "), F.col("rule_id").cast("string"))
+    rules = rules.withColumn(
+        "window_minutes", F.when(known, F.col("window_minutes")).otherwise(F.raise_error(message).cast("int"))
+    )
     branches = []
     for minutes in lengths:
         of_length = _keyed(rules).filter(F.col("window_minutes") == minutes)
@@ -111,23 +98,23 @@ def start(
     side_output: SideOutput | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Write finished results of streaming ``parts`` into the versioned table at ``path``.
+    """Write streaming ``parts`` into the versioned table at ``path``; ``live_results`` reads it.
 
     State is recovered from ``checkpoint``; a batch that is repeated after a failure
     replaces its own folder, so every result counts once. ``side_output`` is called
-    with the results of each batch, for latency, alerts or exports.
+    with the results of what each batch changed, for latency, alerts or exports; a group that is
+    kept in several parts shows the changed one.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        results = finish(batch)
         if side_output is None:
-            write_versions(results, path, number, generation)
+            write_parts(batch, path, number, generation)
             return
         # read twice, so keep the batch's aggregates; Spark recomputes lost parts of it
         batch.persist()
         try:
-            write_versions(results, path, number, generation)
-            side_output(results, number)
+            write_parts(batch, path, number, generation)
+            side_output(finish(batch), number)
         finally:
             batch.unpersist()
 

@@ -6,6 +6,7 @@ Only the small rules side goes through it; events stay with Spark's own sources.
 """
 
 import sys
+import time
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tallyloom.operators.bounded import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
+from tallyloom.operators.rules import current_rules
 from tallyloom.sources.rules import parse_rules, usable
 
 FORMAT = "rule_lines"
@@ -22,33 +24,69 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class _FolderReader(DataSourceReader):
-    def __init__(self, path: str, max_rows: int, max_bytes: int):
-        self.path, self.max_rows, self.max_bytes = path, max_rows, max_bytes
+    def __init__(self, path: str, max_rows: int | None, max_bytes: int | None, patience: float):
+        self.path, self.max_rows, self.max_bytes, self.patience = path, max_rows, max_bytes, patience
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(0)]
 
+    def _files(self, system, root: str) -> list | None:
+        """The files of a complete set in their order, or None while it is being rewritten."""
+        from pyarrow import fs
+
+        found = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        name = lambda info: info.path.rsplit("/", 1)[-1]
+        if any(name(f) == "_temporary" for f in found):
+            return None
+        versions = sorted(
+            (int(name(f)[8:]), f.path) for f in found if not f.is_file and name(f)[:8] == "version=" and name(f)[8:].isdigit()
+        )
+        for _, folder in reversed(versions):
+            inside = system.get_file_info(fs.FileSelector(folder))
+            if any(name(f) == "_SUCCESS" for f in inside):
+                found = inside
+                break
+        else:
+            if versions:
+                return None
+        if system.get_file_info(root).type == fs.FileType.NotFound:
+            return None
+        kept = [f for f in found if f.is_file and not name(f).startswith((".", "_"))]
+        return sorted(kept, key=lambda f: f.path)
+
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         from pyarrow import fs
 
         system, root = fs.FileSystem.from_uri(self.path)
-        files = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
-        rows = read = 0
-        for info in sorted(files, key=lambda f: f.path):
-            name = info.path.rsplit("/", 1)[-1]
-            if not info.is_file or name.startswith((".", "_")):
-                continue
-            read += info.size
-            if read > self.max_bytes:
-                raise ValueError(f"rules in {self.path} exceed {self.max_bytes} bytes")
-            with system.open_input_stream(info.path) as stream:
-                text = stream.read().decode("utf-8")
-            for line in text.split("\n"):
-                if line:
-                    rows += 1
-                    if rows > self.max_rows:
-                        raise ValueError(f"rules in {self.path} exceed {self.max_rows} rows")
-                    yield (line,)
+        give_up = time.monotonic() + self.patience
+        while True:
+            lines = self._lines(system, root)
+            if lines is not None:
+                yield from enumerate(lines)
+                return
+            if time.monotonic() > give_up:
+                raise FileNotFoundError(f"no complete set of rules in {self.path}")
+            time.sleep(0.05)
+
+    def _lines(self, system, root: str) -> list[str] | None:
+        files = self._files(system, root)
+        if files is None:
+            return None
+        if self.max_bytes is not None and sum(f.size for f in files) > self.max_bytes:
+            raise ValueError(f"rules in {self.path} exceed {self.max_bytes} bytes")
+        lines = []
+        try:
+            for info in files:
+                with system.open_input_stream(info.path) as stream:
+                    lines += [line for line in stream.read().decode("utf-8").split("\n") if line]
+        except FileNotFoundError:
+            return None  # rewritten meanwhile
+        again = self._files(system, root)
+        if again is None or [(f.path, f.size, f.mtime) for f in again] != [(f.path, f.size, f.mtime) for f in files]:
+            return None
+        if self.max_rows is not None and len(lines) > self.max_rows:
+            raise ValueError(f"rules in {self.path} exceed {self.max_rows} rows")
+        return lines
 
 
 class RuleFolder(DataSource):
@@ -59,32 +97,38 @@ class RuleFolder(DataSource):
         return FORMAT
 
     def schema(self) -> str:
-        return "line string"
+        return "seq bigint, line string"
 
     def reader(self, schema) -> DataSourceReader:
+        limit = lambda name: int(self.options[name]) if name in self.options else None
         return _FolderReader(
-            self.options["path"],
-            int(self.options.get("maxRows", MAX_BROADCAST_ROWS)),
-            int(self.options.get("maxBytes", MAX_BROADCAST_BYTES)),
+            self.options["path"], limit("maxRows"), limit("maxBytes"), float(self.options.get("patience", 30))
         )
 
 
 def live_rules(
-    spark: SparkSession, path: str, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+    spark: SparkSession,
+    path: str,
+    max_rows: int | None = MAX_BROADCAST_ROWS,
+    max_bytes: int | None = MAX_BROADCAST_BYTES,
+    patience: float = 30,
 ) -> DataFrame:
-    """The usable rules now in the folder ``path`` (a URI or an absolute path).
-
-    The reader holds to the bounds itself, at every read: the rules may safely be
-    broadcast while a stream runs, however they grow. A folder beyond the bounds stops
-    the stream with an error; started again with higher bounds and
-    ``small_rules=False`` it goes on from its checkpoint with the salted join.
+    """The current rules of the folder ``path`` (a URI or an absolute path).
+
+    The lines of its files, in the order of file names, are changes: the last one of an id
+    holds, a delete takes the rule away, and a ``DELETE_RULES_ALL`` command voids what comes before
+    it. So rules are changed by adding a file. To replace the whole set, write it to a subfolder
+    ``version=<n>`` with Spark: the highest one with a ``_SUCCESS`` marker is read, and nothing else then. A
+    folder that is missing, or in the middle of being rewritten, is waited for, ``patience`` seconds at
+    most; then it is an error, since a batch that saw no rules would lose its events for good.
+
+    The reader holds to its bounds at every read, so the rules may safely be broadcast
+    while a stream runs. A set beyond them stops the stream; with ``None`` there is no
+    bound, and the stream has to join with ``small_rules=False``.
     """
     spark.dataSource.register(RuleFolder)
-    lines = (
-        spark.read.format(FORMAT)
-        .option("path", path)
-        .option("maxRows", max_rows)
-        .option("maxBytes", max_bytes)
-        .load()
-    )
-    return usable(parse_rules(lines)).drop("line")
+    reader = spark.read.format(FORMAT).option("path", path).option("patience", patience)
+    for name, limit in (("maxRows", max_rows), ("maxBytes", max_bytes)):
+        if limit is not None:
+            reader = reader.option(name, limit)
+    return current_rules(usable(parse_rules(reader.load())).drop("line"))

@@ -1,5 +1,6 @@
 """The evaluation: matching, values, windows, documents, look-ups, running values."""
 
+import json
 import random
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
@@ -17,6 +18,7 @@ from tallyloom.operators.documents import (
 )
 from tallyloom.operators.fork import fork
 from tallyloom.operators.lookup import widen
+from tallyloom.operators.rules import repeated_ids
 from tallyloom.operators.running import lookback_values, running_values
 from tallyloom.operators.thresholds import passes
 from tallyloom.plans.evaluate import evaluate, evaluate_table, replay
@@ -26,7 +28,10 @@ ALL = "v:sum&v:count&v:avg&v:min&v:max"
 
 
 def values(results):
-    return {(r.rule_id, tuple(r.grouping_values), r.window_start_ms, r.metric): float(r.value) for r in results.collect()}
+    return {
+        (r.rule_id, tuple(r.grouping_values), r.window_start_ms, r.metric): float(r.value if r.approx is None else r.approx)
+        for r in results.collect()
+    }
 
 
 def test_dirty_values(events, rules):
@@ -38,10 +43,54 @@ def test_dirty_values(events, rules):
     assert metric("AVG") == 0.3125
 
 
-def test_numbers_too_large_are_counted_not_hidden(events, rules):
-    rows = [(0, "t", 10, {"v": "1e25", "k": "a"}), (1, "t", 10, {"v": "3", "k": "a"})]
-    row = evaluate(events(*rows), rules("1,t,active,k,v:sum,1")).first()
-    assert (float(row.value), row.n_overflow) == (3, 1)
+def test_numbers_beyond_the_decimal_type_count_in_full(events, rules):
+    rows = [
+        (i, "t", 10, {"v": v, "k": k})
+        for i, (k, v) in enumerate(
+            [("a", "1e25"), ("a", "2"), ("a", "4e-9"), ("b", "-1e300"), ("b", "7"), ("c", "3"), ("c", "4.5"), ("d", "4e-9")]
+        )
+    ]
+    done = evaluate(events(*rows), rules(f"1,t,active,k,{ALL},1"))
+    got = {(k[1][0], k[3][2:]): v for k, v in values(done).items()}
+    assert got[("a", "SUM")] == 1e25 + 2 and got[("a", "MIN")] == 4e-9 and got[("a", "MAX")] == 1e25
+    assert got[("a", "COUNT")] == 3 and got[("a", "AVG")] == (1e25 + 2) / 3
+    assert got[("b", "SUM")] == -1e300 and got[("b", "MIN")] == -1e300 and got[("b", "MAX")] == 7
+    assert got[("c", "SUM")] == 7.5 and got[("d", "MAX")] == 4e-9
+    rows = {(r.grouping_values[0], r.metric): r for r in done.collect()}
+    assert rows[("a", "v-SUM")].n_overflow == 2 and rows[("c", "v-SUM")].approx is None
+    assert rows[("b", "v-SUM")].value is None and float(rows[("a", "v-MAX")].value) == 1e25
+    bodies = {d.doc_id[1]: json.loads(d.body) for d in document_json(documents(done)).collect()}
+    assert bodies["b"]["v-SUM"] == -1e300 and bodies["b"]["v-COUNT"] == 2 and bodies["c"]["v-SUM"] == 7.5
+
+
+def test_partials_of_large_numbers_merge(events, rules):
+    rows = [(0, "t", 10, {"v": "1e25", "k": "a"}), (1, "t", 90_000, {"v": "3", "k": "a"}), (2, "t", 95_000, {"v": "-1e26", "k": "a"})]
+    some = rules(f"1,t,active,k,{ALL},1")
+    merged = values(finish(merge(partials(fork(events(*rows), some)), 10)))
+    assert merged == values(evaluate(events(*rows), rules(f"1,t,active,k,{ALL},10")))
+
+
+def test_a_rule_id_that_comes_twice_is_one_rule(spark, events, rules):
+    rows = events(*[(i, "t", 10, {"v": str(i), "k": "a"}) for i in (1, 2)])
+    line = "1,t,active,k,v:sum&v:count,1"
+    want = {(1, ("a",), 0, "v-SUM"): 3, (1, ("a",), 0, "v-COUNT"): 2}
+    assert values(evaluate(rows, rules(line, line))) == want
+    assert evaluate(rows, rules(line, "1,t,delete,k,v:sum&v:count,1")).count() == 0
+    log = spark.createDataFrame([(1, line.replace("active", "pause")), (2, line)], "seq bigint, line string")
+    ordered = usable(parse_rules(log)).drop("line")
+    assert values(evaluate(rows, ordered)) == want
+    assert [(r.rule_id, r.n_rows) for r in repeated_ids(ordered).collect()] == [(1, 2)]
+
+
+def test_missing_lookup_values_are_dealt_out(spark, events):
+    rows = events(*[(i, "t", i, {"x": str(i)}) for i in range(50)])
+    dim = spark.createDataFrame([("h", "o")], "h string, owner string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = widen(rows, dim, {"host": "h"}, ["owner"])
+        assert wide.count() == 50 and "coalesce" in wide._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_matching(events, rules):
@@ -67,7 +116,7 @@ def test_values_that_print_alike_stay_apart(events, rules):
     results = evaluate(events(*rows), rules("1,t,active,a&b,v:sum,1"))
     assert sorted(values(results).values()) == [1, 2]
     docs = documents(results).collect()
-    assert len(docs) == 2 and len({d.doc_id for d in docs}) == 1
+    assert {d.doc_id for d in docs} == {"{x\\-y-z-0-60000}", "{x-y\\-z-0-60000}"}
 
 
 def test_window_bounds(spark):
@@ -186,7 +235,7 @@ def test_column_values_as_zero(spark, rules):
         [(float("nan"), "a"), (float("inf"), "b"), (None, "c"), (1e25, "d"), (2.5, "e")], "v double, w string"
     ).withColumn("ts", F.timestamp_millis(F.lit(10)))
     got = evaluate_table(frame, F.lit("t"), "ts", ["v", "w"], rules("1,t,active,,v:sum&v:count&w:sum,1")).collect()
-    assert {r.metric: float(r.value) for r in got} == {"v-SUM": 2.5, "v-COUNT": 5, "w-SUM": 0}
+    assert {r.metric: float(r.value) for r in got} == {"v-SUM": 1e25, "v-COUNT": 5, "w-SUM": 0}
     assert {r.metric: r.n_overflow for r in got}["v-SUM"] == 1
 
 

@@ -7,14 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregate import partials
-from tallyloom.operators.documents import current_results
+from tallyloom.operators.documents import compact_parts, live_results
 from tallyloom.operators.fork import fork
 from tallyloom.operators.health import with_latency
 from tallyloom.operators.lookup import widen
 from tallyloom.plans.evaluate import evaluate
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
 from tallyloom.streaming.job import (
-    closing_partials, evicting_partials, heartbeat, observed, start, update_partials, window_lengths,
+    closing_partials, heartbeat, observed, start, update_partials, window_lengths,
 )
 from tallyloom.streaming.rule_feed import live_rules
 
@@ -45,7 +45,7 @@ class Source:
         return query
 
     def results(self):
-        rows = current_results(self.spark, str(self.root / "out")).collect()
+        rows = live_results(self.spark, str(self.root / "out")).collect()
         return {(r.rule_id, tuple(r.grouping_values), r.window_start_ms, r.metric): float(r.value) for r in rows}
 
 
@@ -94,17 +94,70 @@ def test_state_ends_after_the_allowed_lateness(source, rules):
     source.add(("t", "a", 1, 4 * DAY))
     source.add(("t", "a", 1, 4 * DAY + 1))
     source.add(("t", "a", 100, 30))  # days too late
-    query = source.run(evicting_partials(source.stream(), some))
+    query = source.run(update_partials(source.stream(), some))
     assert source.results()[(1, ("a",), 0, "v-SUM")] == 9
     operators = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
     assert sum(o["numRowsDroppedByWatermark"] for o in operators) == 1
     assert operators[-1]["numRowsTotal"] == 1
 
 
-def test_a_window_that_does_not_fit_a_day_is_refused(source, rules):
+def test_any_window_and_none_with_state_that_ends(source, rules):
+    """Seven minutes across midnight, three days, no keys: the parts of each day are added up."""
+    some = rules("1,t,active,k,v:sum&v:max,7", "2,t,active,k,v:count&v:avg,4320", "3,t,active,,v:sum,60")
+    times = [DAY - 2 * MINUTE, DAY - 1, DAY, DAY + MINUTE, 2 * DAY + 5, 5 * DAY, 9 * DAY]
+    for n, at in enumerate(times):
+        source.add(("t", "a", n + 1, at))
+    query = source.run(update_partials(source.stream(), some))
+    size = 7 * MINUTE
+    assert source.results()[(1, ("a",), DAY // size * size, "v-SUM")] == 1 + 2 + 3 + 4
+    assert source.results()[(1, ("a",), DAY // size * size, "v-MAX")] == 4
+    assert source.results()[(2, ("a",), 0, "v-COUNT")] == 5 and source.results()[(2, ("a",), 0, "v-AVG")] == 3
+    assert source.results()[(3, (), 9 * DAY, "v-SUM")] == 28
+    operators = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    assert operators[-1]["numRowsTotal"] <= 6 and sum(o["numRowsRemoved"] for o in operators) > 0
+
+
+def test_compaction_in_place(source, spark, rules):
+    some, path = rules("1,t,active,k,v:sum,1", "2,t,active,,v:max,1"), str(source.root / "out")
+    for n in range(3):
+        source.add(("t", "a", n + 1, 10 + n), ("t", f"b{n}", 1, 10))
+        source.run(update_partials(source.stream(), some))
+        before = source.results()
+        compact_parts(spark, path)
+        assert source.results() == before
+    assert before[(1, ("a",), 0, "v-SUM")] == 6 and len(before) == 5
+    compact_parts(spark, path)
+    assert source.results() == before
+
+
+def test_a_new_length_stops_closing_windows(source, rules):
     source.add(("t", "a", 1, 10))
-    with pytest.raises(Exception, match="divide a day"):
-        source.run(evicting_partials(source.stream(), rules("1,t,active,k,v:sum,7")))
+    with pytest.raises(Exception, match="restart the stream"):
+        source.run(closing_partials(source.stream(), rules("1,t,active,k,v:sum,7"), lengths=[5]), mode="append")
+
+
+def test_rule_lines_are_changes(spark, tmp_path):
+    (tmp_path / "1.txt").write_text("1,t,active,k,v:sum,1\n1,t,delete,k,v:sum,1\n2,t,active,k,v:sum,1\n2,t,pause,k,v:sum,1\n3,t,active,k,v:sum,1\n")
+    got = lambda: {(r.rule_id, r.rule_state) for r in live_rules(spark, str(tmp_path), patience=0.3).collect()}
+    assert got() == {(2, "PAUSE"), (3, "ACTIVE")}
+    (tmp_path / "2.txt").write_text('2,t,active,k,v:sum,1\n{"ruleState": "CONTROL", "controlType": "EXPORT_RULES_CURRENT"}\n')
+    assert got() == {(2, "ACTIVE"), (3, "ACTIVE")}
+    (tmp_path / "3.txt").write_text('{"ruleState": "CONTROL", "controlType": "DELETE_RULES_ALL"}\n4,t,active,k,v:sum,1\n')
+    assert got() == {(4, "ACTIVE")}
+    (tmp_path / "_temporary").mkdir()
+    with pytest.raises(Exception, match="no complete set"):
+        got()
+
+
+def test_only_complete_sets_of_rules_are_read(spark, tmp_path):
+    with pytest.raises(Exception, match="no complete set"):
+        live_rules(spark, str(tmp_path / "nowhere"), patience=0.1).count()
+    for n, done in ((1, True), (2, True), (10, False)):
+        (tmp_path / f"version={n}").mkdir()
+        (tmp_path / f"version={n}" / "part-0").write_text(f"{n},t,active,k,v:sum,1\n")
+        if done:
+            (tmp_path / f"version={n}" / "_SUCCESS").write_text("")
+    assert [r.rule_id for r in live_rules(spark, str(tmp_path)).collect()] == [2]
 
 
 def test_rules_change_while_the_stream_runs(source, spark, tmp_path):
