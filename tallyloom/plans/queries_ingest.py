@@ -164,16 +164,18 @@ def json_roundtrip(spark, sf_dir):
 
 @query(
     "latency_stats",
-    f"""WITH {EV} SELECT CAST(CASE event_type WHEN 'click' THEN 1 ELSE 2 END AS INTEGER) AS rule_id,
+    f"""WITH {EV} SELECT CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'error' THEN 3 WHEN 'purchase' THEN 4
+  ELSE 5 END AS INTEGER) AS rule_id,
   count(*) AS events, min(k) AS min_ms, max(k) AS max_ms, sum(k) / count(*)::DOUBLE AS avg_ms,
   quantile_disc(k, 0.5) AS p50_ms, quantile_disc(k, 0.99) AS p99_ms
-FROM ev WHERE event_type IN ('click', 'view') GROUP BY 1""",
+FROM ev GROUP BY 1""",
 )
 def latency_stats_by_rule(spark, sf_dir):
     """Latency with a 'now' that lies ``k`` milliseconds after each event was read."""
     read = event_indicators(spark, sf_dir).withColumn("ingestion_time", F.col("event_time"))
     rules = rule_lines(
-        spark, "1,click,active,user_id,value:sum,60", "2,view,active,user_id&k,value:sum,10"
+        spark, "1,click,active,user_id,value:sum,60", "2,view,active,user_id&k,value:sum,10",
+        "3,error,active,,value:sum,10", "4,purchase,active,k,value:sum,5", "5,signup,active,user_id,value:max,1440",
     )
     now = F.timestamp_millis(F.unix_millis("ingestion_time") + F.col("fields")["k"].cast("bigint"))
     return latency_stats(with_latency(fork(read, rules), now), "rule_id").withColumns(

@@ -224,16 +224,18 @@ def signed_balances(spark, sf_dir):
 
 @query(
     "metric_map",
-    f"""WITH {EV} SELECT CAST(user_id AS VARCHAR) AS grp, ms - ms % 3600000 AS window_start_ms,
+    f"""WITH {EV} SELECT event_type AS table_name, CAST(user_id AS VARCHAR) AS grp, ms - ms % 3600000 AS window_start_ms,
   {sql_aggregate('SUM', 'value')} AS value_sum, {sql_aggregate('AVG', 'value')} AS value_avg,
   {sql_aggregate('MAX', 'k')} AS k_max, CAST(3 AS INTEGER) AS n_metrics
-  FROM ev WHERE event_type = 'click' GROUP BY 1, 2""",
+  FROM ev GROUP BY 1, 2, 3""",
 )
 def metrics_of_group(spark, sf_dir):
-    rules = rule_lines(spark, "1,click,active,user_id,value:sum&value:avg&k:max,60")
+    lines = [f"{i},{kind},active,user_id,value:sum&value:avg&k:max,60" for i, kind in enumerate(TYPES)]
+    rules = rule_lines(spark, *lines)
     maps = metric_map(evaluate(event_indicators(spark, sf_dir), rules))
     pick = lambda name: F.col("metrics")[name].cast("double")
     return maps.select(
+        "table_name",
         F.array_join("grouping_values", "|").alias("grp"),
         "window_start_ms",
         pick("value-SUM").alias("value_sum"),
@@ -565,19 +567,21 @@ def document_body(spark, sf_dir):
 
 @query(
     "upsert_merge",
-    f"WITH {EV} SELECT '{{' || user_id || '-' || (ms - ms % 3600000) || '-' || (ms - ms % 3600000 + 3600000) || '}}' AS doc_id, "
+    f"WITH {EV} SELECT event_type AS index_name, '{{' || user_id || '-' || (ms - ms % 3600000) || '-' || (ms - ms % 3600000 + 3600000) || '}}' AS doc_id, "
     f"{sql_aggregate('SUM', 'value')} AS value_sum, {sql_aggregate('MAX', 'k')} AS k_max, CAST(2 AS INTEGER) AS n_metrics "
-    "FROM ev WHERE event_type = 'click' GROUP BY user_id, ms - ms % 3600000",
+    "FROM ev GROUP BY event_type, user_id, ms - ms % 3600000",
 )
 def upsert_merge(spark, sf_dir):
-    """Two rules, two versions: one document holds the latest version of both metrics."""
+    """Two rules per type, two versions: one document holds the latest version of both metrics."""
     seen = event_indicators(spark, sf_dir)
-    first = rule_lines(spark, "1,click,active,user_id,value:sum,60", "2,click,active,user_id,k:max,60")
+    lines = [f"{i}1,{kind},active,user_id,value:sum,60" for i, kind in enumerate(TYPES)]
+    first = rule_lines(spark, *lines, *[f"{i}2,{kind},active,user_id,k:max,60" for i, kind in enumerate(TYPES)])
     results = addressed(evaluate(seen, first))
     stale = results.withColumn("value", F.lit(-1).cast("decimal(38,8)")).withColumn("version", F.lit(0))
     versions = stale.unionByName(results.withColumn("version", F.lit(1)))
     docs = documents(latest(versions))
     return docs.select(
+        F.col("index").alias("index_name"),
         "doc_id",
         F.col("metrics")["value-SUM"].cast("double").alias("value_sum"),
         F.col("metrics")["k-MAX"].cast("double").alias("k_max"),
@@ -590,13 +594,15 @@ _LIMITS = {"value-SUM": (">", 50), "value-MIN": ("<=", 1), "value-COUNT": ("=",
 
 @query(
     "threshold_filter",
-    f"""WITH {EV}, r AS ({sql_rule(1, 'click', ['user_id'], [('value', f) for f in ('SUM', 'MIN', 'COUNT', 'MAX', 'AVG')], 1440, "event_type = 'click'")})
+    f"""WITH {EV}, r AS ({" UNION ALL ".join(
+        sql_rule(i, kind, ['user_id'], _ALL_SPECS, 1440, f"event_type = '{kind}'") for i, kind in enumerate(TYPES)
+    )})
 SELECT * FROM r WHERE (metric = 'value-SUM' AND value > 50) OR (metric = 'value-MIN' AND value <= 1)
   OR (metric = 'value-COUNT' AND value = 3) OR (metric = 'value-MAX' AND value <> 9.99)""",
 )
 def threshold_filter(spark, sf_dir):
     """Each metric against its own limit; one with an unknown operator passes nothing."""
-    rules = rule_lines(spark, f"1,click,active,user_id,{_ALL_FUNCS},1440")
+    rules = rule_lines(spark, *[f"{i},{kind},active,user_id,{_ALL_FUNCS},1440" for i, kind in enumerate(TYPES)])
     metric = F.col("metric")
     operator, limit = F.when(metric == "value-AVG", F.lit("~")), F.when(metric == "value-AVG", F.lit(0.0))
     for name, (op, bound) in _LIMITS.items():
@@ -610,13 +616,11 @@ def threshold_filter(spark, sf_dir):
 @query(
     "event_rate",
     f"""WITH {EV} SELECT ms - ms % 60000 AS minute_ms, count(*) AS events, count(*) / 60::DOUBLE AS per_second
-FROM ev WHERE event_type IN ('click', 'view') GROUP BY 1""",
+FROM ev GROUP BY 1""",
 )
 def event_rate_per_minute(spark, sf_dir):
-    rules = rule_lines(
-        spark, "1,click,active,user_id,value:sum,60", "2,view,active,user_id,value:sum,10",
-        "3,error,pause,user_id,value:sum,10",
-    )
+    lines = [f"{i},{kind},active,user_id,value:sum,{10 + i}" for i, kind in enumerate(TYPES)]
+    rules = rule_lines(spark, *lines, "9,error,pause,user_id,value:sum,10")
     return event_rate(fork(event_indicators(spark, sf_dir), rules))
 
 

@@ -157,10 +157,12 @@ def active_rules(spark, sf_dir):
     return rule_counts(_current_rules(spark, sf_dir))
 
 
-def _commands(spark, sf_dir, command, is_command):
-    """Change records in which some events are commands instead."""
+def _commands(spark, sf_dir, command):
+    """Change records with commands among them, every so often in the first two fifths of the events."""
     feed = usable(rules_from_table(changed_rows(_change_feed(spark, sf_dir))))
-    at = events(spark, sf_dir).filter(is_command).select("event_id")
+    seen = events(spark, sf_dir)
+    cut = seen.agg(F.call_function("div", F.max("event_id") * 2, F.lit(5))).scalar()
+    at = seen.filter((F.col("event_id") <= cut) & ((F.col("event_id") == cut) | (F.col("event_id") % 97 == 0))).select("event_id")
     commands = at.select(
         F.col("event_id").alias("seq"),
         F.lit(None).cast("int").alias("id"),
@@ -176,29 +178,32 @@ def _commands(spark, sf_dir, command, is_command):
 
 @query(
     "rules_delete_all",
-    f"""WITH {_FEED}, cut AS (SELECT max(event_id) AS seq FROM events WHERE event_type = 'signup' AND value > 150),
+    f"""WITH {_FEED}, cut AS (SELECT max(event_id) AS seq FROM events WHERE event_id <= (SELECT max(event_id) * 2 // 5 FROM events)),
 ranked AS (SELECT feed.*, row_number() OVER (PARTITION BY rule_id ORDER BY feed.seq DESC) AS rn
   FROM feed, cut WHERE cut.seq IS NULL OR feed.seq > cut.seq)
 SELECT rule_id, table_name, rule_state, grouping_keys, aggs, window_minutes FROM ranked
 WHERE rn = 1 AND rule_state <> 'DELETE'""",
 )
 def rules_delete_all(spark, sf_dir):
-    is_command = (F.col("event_type") == "signup") & (F.col("value") > 150)
-    return _readable(fold_changes(_commands(spark, sf_dir, "DELETE_RULES_ALL", is_command)))
+    return _readable(fold_changes(_commands(spark, sf_dir, "DELETE_RULES_ALL")))
 
 
-_CLEARED = sql_rule(
-    1, "click", ["user_id"], [("value", "SUM"), ("value", "COUNT")], 60,
-    "event_type = 'click' AND event_id > (SELECT coalesce(max(event_id), -1) FROM events WHERE event_type = 'signup' AND value > 150)",
+_KINDS = ["click", "view", "error", "purchase", "signup"]
+_CLEARED = " UNION ALL ".join(
+    sql_rule(
+        i, kind, ["user_id"], [("value", "SUM"), ("value", "COUNT")], 60,
+        f"event_type = '{kind}' AND event_id > (SELECT max(event_id) * 2 // 5 FROM events)",
+    )
+    for i, kind in enumerate(_KINDS)
 )
 
 
 @query("state_clear_all", f"WITH {EV} {_CLEARED}")
 def state_clear_all(spark, sf_dir):
-    is_command = (F.col("event_type") == "signup") & (F.col("value") > 150)
-    changes = _commands(spark, sf_dir, "CLEAR_STATE_ALL", is_command)
+    changes = _commands(spark, sf_dir, "CLEAR_STATE_ALL")
     seen = event_indicators(spark, sf_dir).withColumn("seq", F.col("event_id"))
-    rules = rule_lines(spark, "1,click,active,user_id,value:sum&value:count,60")
+    lines = [f"{i},{kind},active,user_id,value:sum&value:count,60" for i, kind in enumerate(_KINDS)]
+    rules = rule_lines(spark, *lines)
     return flat(finish(partials(fork(clear_state(seen, changes), rules))))
 
 
@@ -270,14 +275,26 @@ def rules_table_out_of_range(spark, sf_dir):
 
 
 _CHANGES = [
-    # seq, rule line; seq shares the events' order
+    # when, as a tenth of the events; rule line
     (-1, "1,click,active,user_id,value:sum&value:count,60"),
-    (200, "1,click,pause,user_id,value:sum&value:count,60"),
-    (400, "1,click,active,user_id&k,value:sum&value:max,10"),
+    (2, "1,click,pause,user_id,value:sum&value:count,60"),
+    (4, "1,click,active,user_id&k,value:sum&value:max,10"),
     (-1, "2,view,active,user_id,value:avg,1440"),
-    (700, "2,view,delete,user_id,value:avg,1440"),
-    (300, "3,click,active,user_id,k:sum,60"),
+    (7, "2,view,delete,user_id,value:avg,1440"),
+    (3, "3,click,active,user_id,k:sum,60"),
+    (-1, "4,error,active,user_id,value:max,60"),
+    (5, "4,error,active,user_id,value:min,30"),
+    (-1, "5,purchase,active,k,value:sum,1440"),
+    (6, "6,signup,active,user_id,value:count,60"),
+    (9, "6,signup,pause,user_id,value:count,60"),
 ]
+_TENTH = "(SELECT max(event_id) + 1 FROM events) * {} // 10"
+
+
+def _during(kind, low=None, high=None):
+    since = f" AND event_id >= {_TENTH.format(low)}" if low is not None else ""
+    until = f" AND event_id < {_TENTH.format(high)}" if high is not None else ""
+    return f"event_type = '{kind}'{since}{until}"
 
 
 @query(
@@ -285,16 +302,25 @@ _CHANGES = [
     f"WITH {EV} "
     + " UNION ALL ".join(
         [
-            sql_rule(1, "click", ["user_id"], [("value", "SUM"), ("value", "COUNT")], 60, "event_type = 'click' AND event_id < 200"),
-            sql_rule(1, "click", ["user_id", "k"], [("value", "SUM"), ("value", "MAX")], 10, "event_type = 'click' AND event_id >= 400"),
-            sql_rule(2, "view", ["user_id"], [("value", "AVG")], 1440, "event_type = 'view' AND event_id < 700"),
-            sql_rule(3, "click", ["user_id"], [("k", "SUM")], 60, "event_type = 'click' AND event_id >= 300"),
+            sql_rule(1, "click", ["user_id"], [("value", "SUM"), ("value", "COUNT")], 60, _during("click", high=2)),
+            sql_rule(1, "click", ["user_id", "k"], [("value", "SUM"), ("value", "MAX")], 10, _during("click", low=4)),
+            sql_rule(2, "view", ["user_id"], [("value", "AVG")], 1440, _during("view", high=7)),
+            sql_rule(3, "click", ["user_id"], [("k", "SUM")], 60, _during("click", low=3)),
+            sql_rule(4, "error", ["user_id"], [("value", "MAX")], 60, _during("error", high=5)),
+            sql_rule(4, "error", ["user_id"], [("value", "MIN")], 30, _during("error", low=5)),
+            sql_rule(5, "purchase", ["k"], [("value", "SUM")], 1440, _during("purchase")),
+            sql_rule(6, "signup", ["user_id"], [("value", "COUNT")], 60, _during("signup", 6, 9)),
         ]
     ),
 )
 def asof_rules(spark, sf_dir):
-    """All events against rules that change on the way: a pause, an edit, a delete, a late start."""
-    lines = spark.createDataFrame(_CHANGES, "seq bigint, line string")
-    changes = usable(parse_rules(lines)).drop("line")
+    """All events against rules that change on the way: a pause, edits, a delete, late starts."""
     seen = event_indicators(spark, sf_dir).withColumn("seq", F.col("event_id"))
+    events_seen = seen.agg(F.max("seq") + 1).scalar()
+    lines = spark.createDataFrame(_CHANGES, "tenth int, line string")
+    lines = lines.select(
+        F.when(F.col("tenth") < 0, F.lit(-1)).otherwise(F.call_function("div", events_seen * F.col("tenth"), F.lit(10))).alias("seq"),
+        "line",
+    )
+    changes = usable(parse_rules(lines)).drop("line")
     return flat(replay(seen, changes))

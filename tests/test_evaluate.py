@@ -131,6 +131,7 @@ def test_window_bounds(spark):
 
 
 def test_sample_document(events, rules):
+    # fixed values: the published sample document, whose printed form results must equal
     start, host, key = 1623283800000, "18.18.1.113", "246181c7b2e4401bb52b0e30eb7fa56f"
     rows = [
         (i, "esb_as_ProcBizFuncLibs", start + i, {"host": host, "monitorKey": key, "cur_excCount": v})

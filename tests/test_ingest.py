@@ -12,10 +12,8 @@ from tallyloom.sources.lines import (
 from tallyloom.sources.transactions import parse_transactions
 
 SAMPLE = (
-    "esb_as_ProcBizFuncLibs,func_caption=AS_Q,func_no=2275001,host=18.18.1.113,"
-    "monitorKey=86cc74d02e0542a8a7528fd8a9f5c43a ave_time=0.0,createtime=1623285118247.0,"
-    'cur_avgExcCount=0.0,cur_avgTime=0.5,cur_excCount=20.0,cur_excTime=10.0,cur_que_ave_time="0",'
-    'curr_queue_ave_time="0",max_time=3.0,min_time=0.0,time_see=370.0,total=913.0 1623285118549000009'
+    "loom_Room,shift=early,loom_no=42,hall=north-2,cloth=7f3a ends_broken=1,rpm=412.5,picks=90210,warp_tension=3.25,"
+    'weft_left="18",stops="0",humidity=61.0,lint=0.004,width_cm=160,beam=12,oil=0.75,defects=2 1700000000123000007'
 )
 
 
@@ -27,9 +25,9 @@ def parse(spark, *lines):
 def test_sample_line(spark):
     row = parse(spark, SAMPLE)[0]
     assert row.error is None
-    assert (row.table_name, row.event_ms, len(row.fields)) == ("esb_as_ProcBizFuncLibs", 1623285118549, 16)
-    assert row.fields["cur_que_ave_time"] == '"0"'
-    assert row.fields["host"] == "18.18.1.113"
+    assert (row.table_name, row.event_ms, len(row.fields)) == ("loom_Room", 1700000000123, 16)
+    assert row.fields["stops"] == '"0"'
+    assert row.fields["hall"] == "north-2"
 
 
 @pytest.mark.parametrize(
