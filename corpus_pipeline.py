@@ -7,6 +7,7 @@ documents; the last returns the packed pieces.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.llm import decontaminate, line_dedup, ngram_join, packing, quality
+from tallyloom.llm.queries import reachable
 from tallyloom.session import scratch_folder
 
 
@@ -59,7 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = reachable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch_folder(spark)
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/stage-{k}"

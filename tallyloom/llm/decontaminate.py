@@ -49,15 +49,13 @@ def _automaton(key: str, shared, size: int):
 
 
 def _scan(machine, text: str | None):
-    """(words, hit words, items, spans of hits in code points of the text)."""
-    raw = (text or "").encode()
-    flat = raw.translate(NORMAL)
-    words = flat.split()
+    """(words, which words are hit or None, items)."""
+    words = (text or "").encode().translate(NORMAL).split()
     if not words or not len(machine):
-        return len(words), None, (), ()
+        return len(words), None, ()
     found = list(machine.iter((b" " + b" ".join(words) + b" ").decode("latin-1")))
     if not found:
-        return len(words), None, (), ()
+        return len(words), None, ()
     joined = np.cumsum([0] + [len(w) + 1 for w in words])  # positions of the spaces
     change = np.zeros(len(words) + 1, dtype=np.int64)
     items = set()
@@ -66,16 +64,22 @@ def _scan(machine, text: str | None):
         change[end - length] += 1
         change[end] -= 1
         items.update(owners)
-    hit = np.cumsum(change[:-1]) > 0
-    # normalising keeps every byte's place, so word k of the scan is run k of the original
-    inside = np.frombuffer(flat, dtype=np.uint8) != 32
+    return len(words), np.cumsum(change[:-1]) > 0, items
+
+
+def _spans(text: str, hit: np.ndarray) -> list[dict]:
+    """Runs of hit words, in code points of the text.
+
+    Normalising keeps every byte's place, so word k of the scan is run k of the original.
+    """
+    raw = text.encode()
+    inside = np.frombuffer(raw.translate(NORMAL), dtype=np.uint8) != 32
     edges = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
     starts, stops = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     points = np.concatenate(([0], np.cumsum((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)))
     turn = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
     first, last = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1) - 1
-    spans = list(zip(points[starts[first]].tolist(), points[stops[last]].tolist()))
-    return len(words), hit, items, spans
+    return [{"start": a, "end": b} for a, b in zip(points[starts[first]].tolist(), points[stops[last]].tolist())]
 
 
 def _scan_with(shared, size: int, text_at: int):
@@ -86,11 +90,12 @@ def _scan_with(shared, size: int, text_at: int):
         for batch in batches:
             n_words, n_hit, items, spans = [], [], [], []
             for text in batch.column(text_at):
-                words, hit, owners, where = _scan(machine, text.as_py())
+                text = text.as_py()
+                words, hit, owners = _scan(machine, text)
                 n_words.append(words)
                 n_hit.append(0 if hit is None else int(hit.sum()))
                 items.append(sorted(owners))
-                spans.append([{"start": a, "end": b} for a, b in where])
+                spans.append([] if hit is None else _spans(text, hit))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
@@ -119,8 +124,8 @@ def contamination(
 
     Per row of ``docs``: its id, ``n_words``, ``n_hit`` (words inside any occurrence of an
     item's window of ``size`` words), ``items`` (ids as strings, sorted as strings) and
-    ``spans`` (runs of hit words, as code point offsets into the original text; with more
-    than one block of items, runs of different blocks may overlap). Scanning takes no shuffle.
+    ``spans`` (runs of hit words, as code point offsets into the original text). Scanning takes
+    no shuffle.
 
     The automaton of a block of items is broadcast. A block holds at most ``block_bytes`` of
     item text (one item at least); a larger benchmark is scanned block by block, each pass
@@ -158,15 +163,15 @@ def _union_with(shared, size: int):
         for batch in batches:
             n_words, bits, items, spans = [], [], [], []
             for text, b, i, s in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4, 5))):
-                words, hit, owners, where = _scan(machine, text)
+                words, hit, owners = _scan(machine, text)
                 if hit is not None:
-                    b = np.packbits(hit).tobytes() if not b else (
-                        np.frombuffer(b, np.uint8) | np.packbits(hit)
-                    ).tobytes()
+                    if b:
+                        hit |= np.unpackbits(np.frombuffer(b, np.uint8), count=words).astype(bool)
+                    b, s = np.packbits(hit).tobytes(), _spans(text, hit)
                 n_words.append(words)
                 bits.append(b or b"")
                 items.append(sorted({*i, *owners}))
-                spans.append(s + [{"start": x, "end": y} for x, y in where])
+                spans.append(s)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

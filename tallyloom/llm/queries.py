@@ -1,5 +1,6 @@
 """The operators over whole tables, and SQL for those that SQL can express."""
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,9 +14,19 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it, if it is not installed there."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    held = spark.sparkContext.environment
+    paths = [p for p in held.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        held["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[name] = run
+        QUERIES[name] = lambda spark, sf_dir: run(reachable(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return run

@@ -77,7 +77,7 @@ def value_of(headers: list[tuple[str, str]], name: str) -> str | None:
 
 def plain_text(page: str) -> str:
     """Text of a page: no scripts, styles, comments or head; a line per block; single spaces."""
-    body = _TAG.sub("", _BLOCK.sub("\n", _HEAD.sub("", _GONE.sub(" ", page))))
+    body = _TAG.sub("", _BLOCK.sub("\n", _HEAD.sub("", _GONE.sub("", page))))
     lines = (" ".join(line.split()) for line in html.unescape(body).split("\n"))
     return "\n".join(line for line in lines if line)
 

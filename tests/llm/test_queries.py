@@ -1,0 +1,73 @@
+"""The registered queries against their SQL, and the pipeline against a plain version."""
+
+import duckdb
+import pytest
+
+import brute
+import corpus_pipeline
+from tallyloom.llm.queries import ORACLES, QUERIES
+from tallyloom.llm.tokens import encoder, vocabulary
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark", "pages"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query(spark, duck, name):
+    want = duck.sql(ORACLES[name])
+    columns = sorted(want.columns)
+    got = QUERIES[name](spark, FOLDER).select(*columns).collect()
+    order = [want.columns.index(c) for c in columns]
+    assert sorted(map(tuple, got)) == sorted(tuple(row[k] for k in order) for row in want.fetchall())
+
+
+def test_one_query_of_each_operator():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality rules", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "packing"]
+    frames = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        frames.append(stage(spark, frames[-1], FOLDER))
+    rows = [{r.doc_id: r for r in f.collect()} for f in frames[:5]]
+    assert all(f.columns == docs.columns and dict(f.dtypes) == dict(docs.dtypes) for f in frames[1:5])
+    assert rows[1].keys() <= rows[0].keys() and 0 < len(rows[1]) < len(rows[0])
+    kept = {k: t for k, _, t, _, _ in brute.line_dedup([(k, r.text) for k, r in rows[1].items()])}
+    assert {k: r.text for k, r in rows[2].items()} == kept
+    assert all(r.n_chars == len(r.text) and r.lang == rows[0][k].lang for k, r in rows[2].items())
+    groups = brute.components(sorted(kept.items()))
+    assert rows[3].keys() == {k for k, (_, c) in groups.items() if k == c}
+    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    clean = set()
+    for k, r in rows[3].items():
+        n, hit, _ = brute.contamination(r.text, items)
+        if not (hit and 20 * hit >= n):
+            clean.add(k)
+    assert rows[4].keys() == clean
+    packed = frames[5].collect()
+    coder = encoder(vocabulary())
+    want = {k: len(coder.one(r.text)) // 4 + 1 for k, r in rows[4].items()}
+    got = {}
+    for r in packed:
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_tokens
+    assert got == want
+
+
+def test_pipeline_stages_take_odd_rows(spark, docs):
+    frame = spark.createDataFrame(
+        [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "no id " * 60, "en", "s", 5), (3, "same words " * 60, "en", "s", 9)],
+        docs((1, "x")).select("doc_id", "text", "lang", "source").schema.add("n_chars", "long"),
+    )
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, frame, FOLDER).collect() is not None
+        assert stage(spark, frame.where("doc_id > 99"), FOLDER).collect() == []
