@@ -21,9 +21,12 @@ def number(decimal: Column) -> Column:
 
 
 def overflows(decimal: Column, double: Column) -> Column:
-    """True for a finite number that the type cannot hold: too large, or so small that it reads as 0."""
+    """True for a finite number that the type cannot hold: too large, or so small that it reads as 0.
+
+    The double is not looked at for an ordinary number.
+    """
     finite = F.coalesce(F.abs(double) < F.lit(float("inf")), F.lit(False))
-    return finite & (decimal.isNull() | ((decimal == 0) & (double != 0)))
+    return (decimal.isNull() | (decimal == 0)) & finite & (decimal.isNull() | (double != 0))
 
 
 def mean(total: Column, count: Column) -> Column:

@@ -22,12 +22,13 @@ def measured(forked: DataFrame, *keep: str, fields: Fields = FieldMap()) -> Data
     """
     rows = forked.select(*GROUP, *WINDOW, *keep, *fields.columns, F.inline("wanted"))
     field = F.col("field")
-    rows = rows.select("*", fields.decimal(field).alias("_number"), fields.double(field).alias("_double"))
-    beyond = overflows(F.col("_number"), F.col("_double"))
+    rows = rows.select("*", fields.decimal(field).alias("_number"))
+    double = fields.double(field)
+    beyond = overflows(F.col("_number"), double)
     return rows.select(
         *GROUP, *WINDOW, *keep, "field", "funcs",
         F.when(~beyond, number(F.col("_number"))).alias("value"),
-        F.when(beyond, F.col("_double")).alias("wide"),
+        F.when(beyond, double).alias("wide"),
     )
 
 
