@@ -1,12 +1,15 @@
 """Streaming queries over the events, compared with the batch SQL where the outcome is fixed."""
 
+from pyspark.sql import functions as F
+
 from tallyloom.operators.documents import compact_parts, live_results
 from tallyloom.operators.fork import fork
 from tallyloom.operators.aggregate import partials
-from tallyloom.plans.catalogue import EV, event_indicators, flat, query, rule_lines, sql_rule
+from tallyloom.plans.catalogue import EV, event_indicators, events, flat, query, rule_lines, sql_rule
 from tallyloom.plans.queries_metrics import KEYED_SQL, MULTI_RULES, RUNNING_SQL
 from tallyloom.session import scratch_folder
-from tallyloom.streaming.job import closing_partials, start, update_partials
+from tallyloom.sources.lines import indicators_from_lines, stream_lines
+from tallyloom.streaming.job import closing_partials, heartbeat, start, update_partials
 from tallyloom.streaming.rule_feed import live_rules
 
 
@@ -200,3 +203,48 @@ def stream_rule_changes(spark, sf_dir):
     finally:
         running.stop()
     return flat(live_results(spark, f"{folder}/results"))
+
+
+@query("stream_from_line_files", f"WITH {EV} {KEYED_SQL} UNION ALL {RUNNING_SQL}")
+def stream_from_line_files(spark, sf_dir):
+    """Event lines in text files, read as a stream and parsed on the way."""
+    folder = scratch_folder(spark)
+    text = lambda c: F.col(c).cast("string")
+    pairs = [F.concat(F.lit(f"{c}="), text(c)) for c in ("user_id", "value", "k")]
+    nanos = (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).cast("string")
+    lines = events(spark, sf_dir).select(
+        F.concat_ws(" ", F.concat_ws(",", "event_type", pairs[0]), F.concat_ws(",", *pairs[1:]), nanos)
+    )
+    lines.write.text(f"{folder}/lines")
+    seen = indicators_from_lines(stream_lines(spark, f"{folder}/lines"))
+    _run(update_partials(seen, rule_lines(spark, *MULTI_RULES), None), folder)
+    return flat(live_results(spark, f"{folder}/results"))
+
+
+@query("stream_idle_source", f"WITH {EV} {KEYED_SQL}")
+def stream_idle_source(spark, sf_dir):
+    """The source falls silent; a heartbeat a week on closes every window that is still open."""
+    folder, stream, put = _staged(spark, sf_dir, ["true"])
+    put[0]()
+    last = event_indicators(spark, sf_dir).agg(F.max("event_time").alias("t"))
+    last.select((F.col("t") + F.expr("INTERVAL 7 DAYS")).alias("event_time")).write.parquet(f"{folder}/beats")
+    beats = spark.readStream.schema("event_time timestamp").parquet(f"{folder}/beats")
+    closing = closing_partials(heartbeat(stream, beats), rule_lines(spark, *MULTI_RULES))
+    _run(closing, folder, mode="append")
+    return flat(live_results(spark, f"{folder}/results"))
+
+
+@query(
+    "stream_side_output",
+    f"WITH {EV}, r AS ({KEYED_SQL} UNION ALL {RUNNING_SQL}) SELECT * FROM r WHERE value >= 100",
+)
+def stream_side_output(spark, sf_dir):
+    """Alerts on large values, put aside batch by batch while the results are written."""
+    folder, stream, put = _staged(spark, sf_dir, ["true"])
+    put[0]()
+
+    def alert(results, number):
+        results.filter("value >= 100").write.mode("overwrite").parquet(f"{folder}/alerts/batch={number}")
+
+    _run(update_partials(stream, rule_lines(spark, *MULTI_RULES), None), folder, side_output=alert)
+    return flat(spark.read.parquet(f"{folder}/alerts").drop("batch"))
