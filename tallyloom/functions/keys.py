@@ -8,7 +8,7 @@ from tallyloom.functions.fields import Fields
 def group_values(fields: Fields, keys: Column, max_keys: int | None = None) -> Column:
     """The values of ``keys`` in the event, a missing one as the text ``null``.
 
-    With ``max_keys`` (a checked upper bound on the length of ``keys``) the values are
+    With ``max_keys`` (an upper bound on the length of ``keys`` found when the job was planned) the values are
     picked position by position, which stays inside generated code; without it a
     ``transform`` is used.
     """
@@ -18,7 +18,10 @@ def group_values(fields: Fields, keys: Column, max_keys: int | None = None) -> C
     if max_keys == 0:
         return F.array().cast("array<string>")
     slots = [value(F.get(keys, F.lit(i))) for i in range(max_keys)]
-    return F.slice(F.array(*slots), F.lit(1), F.size(keys))
+    picked = F.slice(F.array(*slots), F.lit(1), F.size(keys))
+    # rules that were edited after their size was checked must not lose a key
+    changed = F.raise_error(F.lit("a rule got more grouping keys while the job was planned: run it again"))
+    return F.when(F.size(keys) <= max_keys, picked).otherwise(changed.cast("array<string>"))
 
 
 def doc_id(values: Column, start_ms: Column, end_ms: Column) -> Column:
