@@ -2,9 +2,9 @@
 
 Rows of the matrix are sets of word n-grams (one row per different set, so exact copies never
 meet), columns are n-grams, blocks are ranges of n-gram hashes. Only the columns of a row's prefix
-enter: with columns in one fixed order, frequent ones last, two similar sets share a column among
-their first ones. The product adds up how many prefix columns two rows share; pairs
-that cannot reach the wanted overlap by their sizes are dropped, the rest is compared exactly.
+enter: with columns in one fixed order, frequent ones last, two similar sets share columns among
+their first ones. The product adds up how many of them two rows share; pairs that cannot
+reach the wanted overlap by their sizes are dropped, the rest is compared exactly.
 """
 
 from collections.abc import Iterator
@@ -91,8 +91,8 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
 
-_TILE = "block long, h binary, node binary, n binary"
-_TILE_NAMES = ["block", "h", "node", "n"]
+_TILE = "block long, h binary, node binary, n binary, pos binary"
+_TILE_NAMES = ["block", "h", "node", "n", "pos"]
 
 
 def _tiles(size: int, percent: int, blocks: int, hot):
@@ -121,23 +121,25 @@ def _tiles(size: int, percent: int, blocks: int, hot):
                 docs, hashes, common = docs[order], hashes[order], common[order]
                 sizes_left = np.where(new, sizes, 0)
                 begin = np.cumsum(sizes_left) - sizes_left
-                keep = np.arange(len(docs)) - begin[docs] < prefix_length(sizes, percent)[docs]
+                place = np.arange(len(docs)) - begin[docs]
+                keep = place < prefix_length(sizes, percent)[docs]
                 docs = docs[keep]
-                held.append((hashes[keep], nodes[docs], sizes[docs], common[keep]))
+                held.append((hashes[keep], nodes[docs], sizes[docs], place[keep], common[keep]))
             if not held:
                 continue
-            h, node, n, common = (np.concatenate(x) for x in zip(*held))
+            h, node, n, place, common = (np.concatenate(x) for x in zip(*held))
             block = (h >> np.uint64(16)) % np.uint64(blocks)
             block = np.where(common, blocks + (mix(h) ^ node) % np.uint64(4 * blocks), block).astype(np.int64)
             order = np.lexsort((h, block))
-            block, h, node, n = block[order], h[order], node[order], n[order].astype(np.int32)
+            block, h, node = block[order], h[order], node[order]
+            n, place = n[order].astype(np.int32), place[order].astype(np.int32)
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)])) if len(block) else [0]
             rows = [
-                (int(block[a]), h[a:b].tobytes(), node[a:b].tobytes(), n[a:b].tobytes())
+                (int(block[a]), h[a:b].tobytes(), node[a:b].tobytes(), n[a:b].tobytes(), place[a:b].tobytes())
                 for a, b in zip(cuts, cuts[1:])
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3))],
+                [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3, 4))],
                 names=_TILE_NAMES,
             )
 
@@ -152,20 +154,20 @@ def _shared_columns(blocks: int):
             h, node = (
                 np.frombuffer(b"".join(tiles.column(c).to_pylist()), dtype=np.uint64) for c in ("h", "node")
             )
-            n = np.frombuffer(b"".join(tiles.column("n").to_pylist()), dtype=np.int32)
+            n, place = (np.frombuffer(b"".join(tiles.column(c).to_pylist()), dtype=np.int32) for c in ("n", "pos"))
             order = np.lexsort((node, h))
-            h, node, n = h[order], node[order], n[order]
+            h, node, n, place = h[order], node[order], n[order], place[order]
             new = np.ones(len(h), dtype=bool)
             new[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
-            h, node, n = h[new], node[new], n[new]
+            h, node, n, place = h[new], node[new], n[new], place[new]
             if tiles.column("block")[0].as_py() < blocks:
                 same = h[1:] == h[:-1]
                 keep = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-                h, node, n = h[keep], node[keep], n[keep]
+                h, node, n, place = h[keep], node[keep], n[keep], place[keep]
         else:
             h = node = np.zeros(0, np.uint64)
-            n = np.zeros(0, np.int32)
-        return pa.table({"h": h.view(np.int64), "node": node.view(np.int64), "n": n})
+            n = place = np.zeros(0, np.int32)
+        return pa.table({"h": h.view(np.int64), "node": node.view(np.int64), "n": n, "pos": place})
 
     return run
 
@@ -175,13 +177,26 @@ def need(a: str, b: str, percent: int):
     return F.ceil(F.lit(percent) * (F.col(a) + F.col(b)) / F.lit(100 + percent))
 
 
-def bounded(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, na, nb, shared) that may still reach the wanted overlap.
+def shared_least(percent: int):
+    """How many columns two rows of sizes na and nb must share among the first ones looked at.
 
-    Columns beyond the prefix of one of the two rows can add no more than that row has there.
+    With overlap ``need`` or more, two rows share at least k columns among the first
+    n - need + k of each: what lies behind them in the row whose first ones end earlier adds
+    less than the rest. k is about a hundredth of the smaller row, as far as the prefixes reach: a larger
+    one would leave fewer pairs to compare, but the product would look at more columns.
     """
-    rest = lambda c: F.ceil(F.lit(percent) * F.col(c) / 100) - 1
-    return pairs.where(F.col("shared") + F.greatest(rest("na"), rest("nb")) >= need("na", "nb", percent))
+    first = lambda c: F.ceil(F.lit(percent) * F.col(c) / 100)
+    reach = need("na", "nb", percent) - F.greatest(first("na"), first("nb"))
+    return 1 + F.least(F.floor(F.least("na", "nb") / 100), reach)
+
+
+def product(left: DataFrame, right: DataFrame, percent: int, condition) -> DataFrame:
+    """Pairs (a, b, na, nb) of rows that share enough columns to be similar, by adding up columns."""
+    first = shared_least(percent) - need("na", "nb", percent)
+    looked_at = (F.col("pa") < F.col("na") + first) & (F.col("pb") < F.col("nb") + first)
+    pairs = left.join(right, "h").where(condition & _sizes_fit("na", "nb", percent) & looked_at)
+    pairs = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("shared"))
+    return pairs.where(F.col("shared") >= shared_least(percent))
 
 
 def _sizes_fit(a: str, b: str, percent: int):
@@ -280,18 +295,19 @@ def near_duplicates(
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total // block_rows) + 1)
     incidence = materialise(
         frame.select("text").mapInArrow(_tiles(size, percent, blocks, hot), _TILE)
-        .groupBy("block").applyInArrow(_shared_columns(blocks), "h long, node long, n int")
+        .groupBy("block").applyInArrow(_shared_columns(blocks), "h long, node long, n int, pos int")
     )
 
     nodes = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
-    leaders = incidence.groupBy("h").agg(F.min(F.struct("node", "n")).alias("first"))
-    first = (
-        incidence.join(leaders, "h").where("node <> first.node")
-        .select(F.col("first.node").alias("a"), F.col("first.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
-        .where(_sizes_fit("na", "nb", percent))
-        .groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("shared"))
+    # the row of a column that shares most of its columns stands for the others: of near copies,
+    # that is the one they were copied from
+    weight = incidence.groupBy("node").agg((F.count(F.lit(1)) * 1000 / F.first("n")).cast("long").alias("weight"))
+    leaders = incidence.join(weight, "node").groupBy("h").agg(F.max(F.struct("weight", "node", "n", "pos")).alias("first"))
+    leaders = leaders.select(
+        "h", F.col("first.node").alias("a"), F.col("first.n").alias("na"), F.col("first.pos").alias("pa")
     )
-    first = materialise(bounded(first, percent))
+    right = incidence.select("h", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    first = materialise(product(leaders, right, percent, F.col("a") != F.col("b")))
     packed = frame.where("doc_id is not null").mapInArrow(_pack, "doc_id long, z binary, z_len long")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
@@ -303,17 +319,16 @@ def near_duplicates(
     groups = components(near)
 
     grouped = incidence.join(groups, "node", "left").select(
-        "h", "node", "n", F.coalesce("component", "node").alias("component")
+        "h", "node", "n", "pos", F.coalesce("component", "node").alias("component")
     )
     mixed = grouped.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     grouped = materialise(grouped.join(mixed.select("h"), "h"))
-    left = grouped.select("h", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = grouped.select("h", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = (
-        left.join(right, "h").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent))
-        .groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("shared"))
+    left, right = (
+        grouped.select("h", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("pos").alias(f"p{c}"), F.col("component").alias(f"c{c}"))
+        for c in "ab"
     )
-    rest = bounded(rest, percent).join(
+    rest = product(left, right, percent, (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
+    rest = rest.join(
         first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
     )
     rest = materialise(rest)
