@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, mix, per_document, pieces, runs, windows
+from tallyloom.operators.bounded import check_size
 from tallyloom.session import materialise
 
 SYMBOL = np.zeros(256, dtype=bool)
@@ -53,7 +54,8 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = line_from[held] if len(held) else np.zeros(0, np.int64)
             line_doc = np.searchsorted(offsets, begin, "right") - 1
             all_ends = np.sort(np.concatenate((np.flatnonzero(data == 10), offsets[1:])))
-            stop = all_ends[np.searchsorted(all_ends, begin, "left")] if len(begin) else begin
+            # a line with a word ends behind its beginning, which may be where the document before ended
+            stop = all_ends[np.searchsorted(all_ends, begin, "right")] if len(begin) else begin
             lines = hasher.of(begin, stop) ^ mix(line_doc.astype(np.uint64) + np.uint64(1))
             same = pd.Series(lines).duplicated().to_numpy() if len(lines) else np.zeros(0, bool)
             cut = lambda mask: np.diff(np.concatenate(([0], np.cumsum(mask)))[offsets])
@@ -195,14 +197,27 @@ def _sums(frame: DataFrame, scale: float) -> DataFrame:
     return frame.groupBy("grp").agg(*out).mapInArrow(_estimate(scale), PARAMETERS)
 
 
-def minimum_covariance(vectors: DataFrame, share: float = 0.75, steps: int = 6) -> DataFrame:
+def _attach(rows: DataFrame, groups: DataFrame, key: str, small: bool, how: str = "inner") -> DataFrame:
+    """Rows with what belongs to their group. A group may hold a third of all rows, so rows are
+    never dealt out by group alone: groups are broadcast if their number has been checked,
+    and repeated per salt otherwise."""
+    if small:
+        return rows.join(F.broadcast(groups), key, how)
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts).cast("long")))
+    return rows.join(salted, [key, "_salt"], how).drop("_salt")
+
+
+def minimum_covariance(vectors: DataFrame, share: float = 0.75, steps: int = 6, small: bool = False) -> DataFrame:
     """Minimum covariance determinant parameters of each ``grp``.
 
     ``vectors`` has grp, size (rows of its group) and the vector's integers. The start is the
     median and quartile range of every entry; a concentration step measures all rows,
     keeps the ``share`` nearest of each group (whole bins of the distance, so the choice does not
     hang on the order of rows) and estimates anew. A step never enlarges the determinant.
-    All rows take part in every step; what is gathered is one row per group and bin.
+    All rows take part in every step; what is gathered is one row per group and bin. ``small`` says that
+    the number of groups has been checked.
     """
     n = len(NAMES)
     cut = chi_square_point(share, n)
@@ -221,7 +236,7 @@ def minimum_covariance(vectors: DataFrame, share: float = 0.75, steps: int = 6)
     )
     for _ in range(steps):
         params = materialise(params)
-        measured = vectors.join(params.select("grp", "mu", "inv"), "grp").withColumn(
+        measured = _attach(vectors, params.select("grp", "mu", "inv"), "grp", small).withColumn(
             "bin", F.floor(F.log1p(_distance()) * 200).cast("int")
         )
         bins = measured.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("k"), F.first("size").alias("size"))
@@ -240,7 +255,7 @@ def minimum_covariance(vectors: DataFrame, share: float = 0.75, steps: int = 6)
                 lambda a: a["last"],
             ).alias("last"),
         )
-        params = _sums(measured.join(limit, "grp").where("bin <= last"), scale)
+        params = _sums(_attach(measured, limit, "grp", small).where("bin <= last"), scale)
     return materialise(params)
 
 
@@ -271,10 +286,12 @@ def outliers(
     named = per_source.withColumn("grp", F.when(alone, F.col("pair")).otherwise(F.to_json(F.struct(F.struct("lang").alias("rest")))))
     sizes = named.groupBy("grp").agg(F.sum("size").alias("size")).where(F.col("size") >= smallest_group)
     named = materialise(named.select("pair", "grp").join(sizes, "grp"))
-    vectors = stats.select("doc_id", "lang", "source", "base_failed", "pair", *COUNTS, *vector()).join(named, "pair", "left")
-    params = minimum_covariance(vectors.where("grp is not null and not base_failed").select("grp", "size", *NAMES), share)
+    small = check_size(named).small
+    vectors = stats.select("doc_id", "lang", "source", "base_failed", "pair", *COUNTS, *vector())
+    vectors = _attach(vectors, named, "pair", small, "left")
+    params = minimum_covariance(vectors.where("grp is not null and not base_failed").select("grp", "size", *NAMES), share, small=small)
     cutoff = chi_square_point(confidence, len(NAMES))
-    judged = vectors.join(params.select("grp", "mu", "inv"), "grp", "left")
+    judged = _attach(vectors, params.select("grp", "mu", "inv"), "grp", small, "left")
     return judged.select(
         "doc_id", "lang", "source", *COUNTS, "base_failed",
         F.when(~F.col("base_failed"), _distance()).alias("d2"),
