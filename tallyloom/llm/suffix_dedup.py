@@ -294,10 +294,9 @@ def remove_repeated_strings(
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // bucket_rows + 1)
     key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.col("copy").alias("c")]
     packed = frame.mapInArrow(_pack, "doc_id long, copy long, z binary, z_len long").select("*", *key)
-    wanted = (
-        places.join(often, "gram").distinct().groupBy(*key)
-        .agg(F.collect_list(F.struct("pos", "gram", "n")).alias("places"))
-    )
+    # a set, since repeated rows bring equal places; nothing between join and shuffle needs a gram's
+    # places together, so that Spark can split a gram that a third of all documents hold
+    wanted = places.join(often, "gram").groupBy(*key).agg(F.collect_set(F.struct("pos", "gram", "n")).alias("places"))
     around = packed.join(wanted, ["k", "c"]).select("doc_id", "copy", "z", "z_len", "places")
     cuts = (
         around.mapInArrow(_around(length, buckets, limit), _AROUND)
