@@ -27,7 +27,7 @@ _BYTES = 5
 _TILE = "block long, words binary, runs binary, before binary, after binary, doc binary, docs binary"
 
 
-def _words(texts: pa.Array, rows: int = 1 << 24):
+def _words(texts: pa.Array, most: int = 1 << 23):
     """(first row, number of rows, hashes of words, row of each word), some megabytes at a time."""
     held, first, size = [], 0, 0
     for row, data, offsets in pieces(texts):
@@ -36,7 +36,7 @@ def _words(texts: pa.Array, rows: int = 1 << 24):
         held.append((Hasher(lower).of(starts, ends), docs + row - first))
         size += len(data)
         last = row + len(offsets) - 1
-        if size >= rows or last == len(texts):
+        if size >= most or last == len(texts):
             yield first, last - first, *(np.concatenate(x) for x in zip(*held))
             held, first, size = [], last, 0
 
@@ -128,8 +128,11 @@ def _counts(keys: np.ndarray) -> np.ndarray:
     return counts[inverse]
 
 
-def _score(frequent, total: int, backoff: float, least: int):
-    """Sums per document of what a block knows about its places."""
+_SUMS = "bucket long, docs binary, sums binary"
+
+
+def _score(frequent, total: int, backoff: float, least: int, buckets: int):
+    """Sums per document of what a block knows about its places, packed by buckets of documents."""
 
     def run(tiles: pa.Table) -> pa.Table:
         hot_counts = np.log(np.maximum(frequent.value[1], 1).astype(np.float64)) if len(frequent.value[1]) else np.zeros(1)
@@ -139,6 +142,7 @@ def _score(frequent, total: int, backoff: float, least: int):
             docs = np.frombuffer(t["docs"], "<i8")[np.frombuffer(t["doc"], f"<u{len(t['doc']) // len(words)}")]
             held.append((words, docs, _unpack(t["before"]), _unpack(t["after"])))
         words, docs, before, after = (np.concatenate(x) for x in zip(*held))
+        docs = docs.astype(np.int64)
         back = np.log(backoff / total)
         own = np.log(_counts(words))
         salt = mix(words)
@@ -156,11 +160,30 @@ def _score(frequent, total: int, backoff: float, least: int):
             hot, np.where(often, np.log(pair) - own, next_count + back), np.where(often & (after != NONE), -own, 0.0)
         )
         ids, inverse = np.unique(docs, return_inverse=True)
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "part": pa.array(np.bincount(inverse, weights=sums))})
+        sums = np.bincount(inverse, weights=sums)
+        bucket = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, ids, sums = bucket[order], ids[order], sums[order]
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
+        return pa.table(
+            {
+                "bucket": pa.array(bucket[cuts[:-1]], pa.int64()),
+                "docs": pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                "sums": pa.array([sums[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            }
+        )
 
     return run
 
 
+def _add_up(parts: pa.Table) -> pa.Table:
+    """Sums per document of one bucket over all blocks."""
+    docs = np.frombuffer(b"".join(parts.column("docs").to_pylist()), "<i8")
+    sums = np.frombuffer(b"".join(parts.column("sums").to_pylist()), "<f8")
+    ids, inverse = np.unique(docs, return_inverse=True)
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "part": pa.array(np.bincount(inverse, weights=sums, minlength=len(ids)))})
+
+
 def _direct(frequent, pairs, total: int, backoff: float, least: int):
     """Per row: words, and the terms of frequent words at a start or after a frequent word."""
 
@@ -208,7 +231,7 @@ def backoff_scores(
     backoff: float = 0.4,
     least: int = 2,
     most_frequent: int = 512,
-    block_rows: int = 2_000_000,
+    block_rows: int = 1_000_000,
 ) -> DataFrame:
     """Per doc_id: n_words, log_prob (natural logarithm, summed over the words) and perplexity.
 
@@ -239,7 +262,10 @@ def backoff_scores(
     # rows without an id still count: their places are dealt out under an id that is dropped again
     nobody = -(1 << 63)
     tiles = frame.select(F.coalesce("doc_id", F.lit(nobody)).alias("doc_id"), "text").mapInArrow(_tiles(frequent, blocks), _TILE)
-    parts = tiles.groupBy("block").applyInArrow(_score(frequent, total, backoff, least), "doc_id long, part double")
+    # a document has a sum in every block that holds one of its words: packed, they are a row per block
+    # and bucket, and a bucket has about as many sums as a block has places
+    parts = tiles.groupBy("block").applyInArrow(_score(frequent, total, backoff, least, blocks), _SUMS)
+    parts = parts.groupBy("bucket").applyInArrow(_add_up, "doc_id long, part double")
     direct = keyed.mapInArrow(_direct(frequent, pairs, total, backoff, least), "doc_id long, part double, n_words long")
     every = direct.unionByName(parts.where(F.col("doc_id") != nobody).withColumn("n_words", F.lit(0).cast("long")))
     summed = every.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.round(F.sum("part"), 6).alias("log_prob"))
