@@ -18,7 +18,7 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _only(docs, quality.outliers(docs).where("kept"))
+    return _only(docs, quality.outliers(docs, judge_all=True).where("kept"))
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

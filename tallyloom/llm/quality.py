@@ -181,6 +181,9 @@ def _estimate(scale: float):
     return run
 
 
+#: Groups beside those of a language and source, or of a language: the languages left over, and the whole table.
+LANGUAGES, EVERY = '{"rest":"languages"}', '{"rest":"table"}'
+
 PARAMETERS = "grp string, size long, mu array<double>, inv array<double>, log_det double"
 
 
@@ -268,12 +271,15 @@ def outliers(
     confidence: float = 1 - 1e-9,
     smallest_group: int = 100,
     share: float = 0.75,
+    judge_all: bool = False,
 ) -> DataFrame:
     """Counts of every document, its squared distance ``d2``, ``base_failed`` and ``kept``.
 
     Groups are (language, source); sources with fewer than ``smallest_group`` usable documents are
-    taken together per language, and if that is still fewer, there is no distance (null) and the
-    document stays. Documents that fail the base rules have no part in the estimates. A null
+    taken together per language. If that is still fewer, ``judge_all`` takes the languages that are
+    left over together, and if even they are fewer, measures them against the estimate over all usable documents
+    of the table, however few: every document that passes the base rules has a distance. Without
+    ``judge_all`` such a document has no distance (null) and stays. Documents that fail the base rules have no part in the estimates. A null
     language or source is a group of its own. Null, empty and white-space texts fail the base rules.
     Repeated rows count as often as they come and get the same verdict; an empty table gives an
     empty result. Other columns are ignored, whatever their names.
@@ -284,12 +290,27 @@ def outliers(
     per_source = stats.where(~F.col("base_failed")).groupBy("pair", "lang").agg(F.count(F.lit(1)).alias("size"))
     alone = F.col("size") >= smallest_group
     named = per_source.withColumn("grp", F.when(alone, F.col("pair")).otherwise(F.to_json(F.struct(F.struct("lang").alias("rest")))))
-    sizes = named.groupBy("grp").agg(F.sum("size").alias("size")).where(F.col("size") >= smallest_group)
-    named = materialise(named.select("pair", "grp").join(sizes, "grp"))
+    totals = named.groupBy("grp").agg(F.sum("size").alias("size"))
+    sizes = totals.where(F.col("size") >= smallest_group).withColumn("to", F.col("grp"))
+    against_all = False
+    if judge_all:
+        usable = totals.agg(
+            F.coalesce(F.sum("size"), F.lit(0)).alias("every"),
+            F.coalesce(F.sum(F.when(F.col("size") < smallest_group, F.col("size"))), F.lit(0)).alias("left"),
+        ).first()
+        against_all = 0 < usable["left"] < smallest_group
+        to, size = (EVERY, usable["every"]) if against_all else (LANGUAGES, usable["left"])
+        left = totals.where(F.col("size") < smallest_group)
+        sizes = sizes.unionByName(left.select("grp", F.lit(size).cast("long").alias("size"), F.lit(to).alias("to")))
+    named = materialise(named.select("pair", "grp").join(sizes, "grp").select("pair", F.col("to").alias("grp"), "size"))
     small = check_size(named).small
     vectors = stats.select("doc_id", "lang", "source", "base_failed", "pair", *COUNTS, *vector())
     vectors = _attach(vectors, named, "pair", small, "left")
-    params = minimum_covariance(vectors.where("grp is not null and not base_failed").select("grp", "size", *NAMES), share, small=small)
+    usable_rows = vectors.where("grp is not null and not base_failed").select("grp", "size", *NAMES)
+    if against_all:
+        every = usable_rows.withColumn("grp", F.lit(EVERY)).withColumn("size", F.lit(size).cast("long"))
+        usable_rows = usable_rows.where(F.col("grp") != EVERY).unionByName(every)
+    params = minimum_covariance(usable_rows, share, small=small)
     cutoff = chi_square_point(confidence, len(NAMES))
     judged = _attach(vectors, params.select("grp", "mu", "inv"), "grp", small, "left")
     return judged.select(

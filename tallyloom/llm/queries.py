@@ -157,7 +157,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.outliers(table(spark, sf_dir, "documents")).select(
+    return quality.outliers(table(spark, sf_dir, "documents"), judge_all=True).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2"
     )
 

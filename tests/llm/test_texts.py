@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import brute
 from tallyloom.llm import decontaminate, line_dedup, lm, ngram_join, quality, suffix_dedup
+from tallyloom.llm.queries import QUERIES
 
 VOCABULARY = ["The", "the", "of", "é", "ÀB", "x", "and", "lorem", "ipsum", "dolor", "a1", "0", "--", "sit,", "ǅ"]
 
@@ -185,6 +186,33 @@ def test_outliers(spark, docs, small, monkeypatch):
     assert got[3000].kept and got[3000].d2 is None  # a group of its own, too small to judge
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_outliers_of_small_languages(docs, small, monkeypatch):
+    """Languages too small for an estimate are judged together, or by the whole table."""
+    if not small:
+        monkeypatch.setattr(quality, "check_size", lambda df: type("S", (), {"small": False}))
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("aeioubcdfg") for _ in range(rng.randint(2, 8)))
+    plain = lambda k: (k, " ".join(word() for _ in range(rng.randint(60, 300))))
+    junk = lambda k: (k, " ".join(word() + "###" for _ in range(120)))
+    whole = docs(*map(plain, range(300)))
+    for languages in (["de", None], ["de", "fr", "es", "it", None]):
+        frame = whole
+        for k, lang in enumerate(languages):
+            low = 1000 * (k + 1)
+            frame = frame.unionByName(docs(*map(plain, range(low, low + 30)), *map(junk, range(low + 500, low + 502)), lang=lang, source=None))
+        got = {r.doc_id: r for r in quality.outliers(frame, judge_all=True).collect()}
+        assert len(got) == 300 + 32 * len(languages) and all(r.d2 is not None for r in got.values())
+        assert all(r.kept == (k < 1000 or k % 1000 < 500) for k, r in got.items())
+    one = quality.outliers(docs(plain(1)), judge_all=True).first()
+    assert one.kept and one.d2 is not None
+
+
+def test_registered_quality_rules_judge_every_document(spark):
+    rows = QUERIES["op8_quality_rules"](spark, "/root/testdata/sf0.001").where("not base_failed").collect()
+    assert rows and all(r.d2 is not None for r in rows)
+
+
 def test_chi_square():
     # fixed values: published points of the distribution
     for p, df, x in ((0.95, 1, 3.841459), (0.975, 5, 12.832502), (0.99, 7, 18.475307)):
