@@ -1,15 +1,19 @@
-"""Language-model scores: stupid backoff over bigrams, computed by joining counts to n-grams by hash.
+"""Language-model scores: stupid backoff over n-grams, computed by joining counts to n-grams by hash.
 
-score(word | word before) is count(pair) / count(word before) for pairs seen at least
-``least`` times, else ``backoff`` * count(word) / N; a first word has count(word) / N.
+score(word | two words before) is count(triple) / count(pair before) for triples seen at least
+``least`` times, else ``backoff`` * score(word | word before), which is count(pair) / count(word before)
+for pairs seen as often, else ``backoff`` * count(word) / N; a first word has count(word) / N.
+Order 2 begins at the pairs.
 
 Counts come from the whole corpus. The count of every word is an aggregate of sums made per batch.
-The pairs are dealt out by the hash of a word, so that a word's count, the counts of its pairs
-with the words on either side, and all places where they are to be joined are in one block. A pair
-of two words is seen from the blocks of both, and each adds the part of the logarithm that it
-knows. The most frequent words would make blocks without bound: their counts are broadcast (a few hundred
-numbers), they have no blocks, and their terms are added where their neighbours are, or, for
-a pair of two of them, right where the text is read.
+The n-grams are dealt out by the hash of a word, so that a word's count, the counts of its pairs
+with the words on either side, of the triples around it, and all places where they are to be joined are in one block.
+The block of a word adds what it gives to the next word; only the count of a next word seen too rarely
+after it comes from the next word's block. The most frequent words would make blocks without bound: their counts are
+broadcast (a few hundred numbers), they have no blocks, and their terms are added where their neighbours are,
+or, for a pair of two of them, right where the text is read. A triple around a frequent word is in the blocks of
+its other words, and each adds the part of the logarithm that it knows. Triples of three frequent words have blocks
+of their own, but for the most frequent ones, which are counted first and broadcast.
 """
 
 from collections.abc import Iterator
@@ -24,7 +28,10 @@ from tallyloom.session import materialise
 #: Marks of neighbours: none, one of the frequent words (its number added), or another word's hash.
 NONE, FREQUENT, OTHER = 0, 1, 1 << 20
 _BYTES = 5
-_TILE = "block long, words binary, runs binary, before binary, after binary, doc binary, docs binary"
+_TILE = (
+    "block long, words binary, runs binary, before binary, after binary, before_hot binary, after_hot binary, doc binary, docs binary"
+)
+_TRIPLES = "block long, words binary, runs binary, doc binary, docs binary"
 
 
 def _words(texts: pa.Array, most: int = 1 << 23):
@@ -70,6 +77,37 @@ def _count_pairs(frequent):
     return run
 
 
+def _triples(words: np.ndarray, docs: np.ndarray, hot: np.ndarray):
+    """Places whose word and the two before it are frequent, and the triple's number."""
+    at = _places(words, hot)
+    all_hot = (at[2:] >= 0) & (at[1:-1] >= 0) & (at[:-2] >= 0) & (docs[2:] == docs[:-2])
+    place = np.flatnonzero(all_hot) + 2
+    return place, (at[place - 2] * len(hot) + at[place - 1]) * len(hot) + at[place]
+
+
+def _found(keys: np.ndarray, table: tuple) -> np.ndarray:
+    """Counts of sorted keys, 0 for others."""
+    known, counts = table
+    at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+    return np.where(known[at] == keys, counts[at], 0) if len(known) else np.zeros(len(keys), np.int64)
+
+
+def _count_triples(frequent, pairs, bound: int):
+    """Counts of triples of frequent words whose pairs are both seen ``bound`` times: others are rarer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = frequent.value[0]
+        for batch in batches:
+            for _, _, words, docs in _words(batch.column(0)):
+                _, triple = _triples(words, docs, hot)
+                size = max(len(hot), 1)
+                often = (_found(triple // size, pairs.value) >= bound) & (_found(triple % size**2, pairs.value) >= bound)
+                values, counts = np.unique(triple[often], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["triple", "n"])
+
+    return run
+
+
 def _pack(values: np.ndarray) -> bytes:
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes()
 
@@ -80,7 +118,22 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _tiles(frequent, blocks: int):
+def _cuts(values: np.ndarray) -> np.ndarray:
+    """Edges of the runs of equal values."""
+    return np.concatenate(([0], np.flatnonzero(np.diff(values)) + 1, [len(values)])) if len(values) else np.zeros(1, np.int64)
+
+
+def _local(docs: np.ndarray, ids: np.ndarray) -> tuple[bytes, bytes]:
+    """Rows as numbers among the rows of a tile, and the ids of these."""
+    here, local = np.unique(docs, return_inverse=True)
+    return local.astype("<u2" if len(here) <= 1 << 16 else "<u4").tobytes(), ids[here].astype("<i8").tobytes()
+
+
+def _is_frequent(marks: np.ndarray) -> np.ndarray:
+    return (marks >= FREQUENT) & (marks < OTHER)
+
+
+def _tiles(frequent, blocks: int, order: int):
     """Places of words that are not frequent, with their neighbours, in tiles by the word's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,27 +149,63 @@ def _tiles(frequent, blocks: int):
                 before, after = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
                 before[1:][same] = mark[:-1][same]
                 after[:-1][same] = mark[1:][same]
+                # the word on the other side of a frequent neighbour
+                far_before, far_after = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+                far_before[1:][same] = before[:-1][same]
+                far_after[:-1][same] = after[1:][same]
                 own = np.flatnonzero(at < 0)
+                block = ((words[own] >> np.uint64(20)) % np.uint64(blocks)).astype(np.int64)
+                by = np.lexsort((words[own], block))
+                block, own = block[by], own[by]
                 words, docs, before, after = words[own], docs[own], before[own], after[own]
-                block = ((words >> np.uint64(20)) % np.uint64(blocks)).astype(np.int64)
-                order = np.lexsort((words, block))
-                words, docs, before, after, block = words[order], docs[order], before[order], after[order], block[order]
-                cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)])) if len(block) else [0]
+                far_before, far_after = far_before[own], far_after[own]
+                cuts = _cuts(block)
                 out = []
                 for a, b in zip(cuts, cuts[1:]):
-                    edge = np.concatenate(([0], np.flatnonzero(np.diff(words[a:b])) + 1))
-                    here, local = np.unique(docs[a:b], return_inverse=True)
+                    edge = _cuts(words[a:b])
+                    far = (b"", b"")
+                    if order > 2:
+                        far = (_pack(far_before[a:b][_is_frequent(before[a:b])]), _pack(far_after[a:b][_is_frequent(after[a:b])]))
                     out.append(
                         (
-                            int(block[a]), words[a:b][edge].tobytes(),
-                            np.diff(np.concatenate((edge, [b - a]))).astype("<u4").tobytes(),
-                            _pack(before[a:b]), _pack(after[a:b]),
-                            local.astype("<u2" if len(here) <= 1 << 16 else "<u4").tobytes(), ids[row + here].astype("<i8").tobytes(),
+                            int(block[a]), words[a:b][edge[:-1]].tobytes(), np.diff(edge).astype("<u4").tobytes(),
+                            _pack(before[a:b]), _pack(after[a:b]), *far, *_local(docs[a:b], ids[row : row + n_rows]),
                         )
                     )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[k] for r in out], pa.binary()) for k in range(1, 7))],
-                    names=["block", "words", "runs", "before", "after", "doc", "docs"],
+                    [pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[k] for r in out], pa.binary()) for k in range(1, 9))],
+                    names=["block", "words", "runs", "before", "after", "before_hot", "after_hot", "doc", "docs"],
+                )
+
+    return run
+
+
+def _triple_tiles(frequent, often, blocks: int):
+    """Places of triples of frequent words that are not broadcast, in tiles by the triple's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, n_rows, words, docs in _words(batch.column(1)):
+                place, triple = _triples(words, docs, frequent.value[0])
+                own = _found(triple, often.value) == 0
+                docs, triple = docs[place[own]], triple[own]
+                block = (mix(triple.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+                by = np.lexsort((triple, block))
+                docs, triple, block = docs[by], triple[by], block[by]
+                cuts = _cuts(block)
+                out = []
+                for a, b in zip(cuts, cuts[1:]):
+                    edge = _cuts(triple[a:b])
+                    out.append(
+                        (
+                            int(block[a]), triple[a:b][edge[:-1]].astype("<i8").tobytes(), np.diff(edge).astype("<u4").tobytes(),
+                            *_local(docs[a:b], ids[row : row + n_rows]),
+                        )
+                    )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[k] for r in out], pa.binary()) for k in range(1, 5))],
+                    names=["block", "words", "runs", "doc", "docs"],
                 )
 
     return run
@@ -131,51 +220,113 @@ def _counts(keys: np.ndarray) -> np.ndarray:
 _SUMS = "bucket long, docs binary, sums binary"
 
 
-def _score(frequent, total: int, backoff: float, least: int, buckets: int):
+def _packed_sums(docs: np.ndarray, sums: np.ndarray, buckets: int) -> pa.Table:
+    """Sums per document, a row per bucket of documents."""
+    ids, inverse = np.unique(docs, return_inverse=True)
+    sums = np.bincount(inverse, weights=sums)
+    bucket = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    by = np.argsort(bucket, kind="stable")
+    bucket, ids, sums = bucket[by], ids[by], sums[by]
+    cuts = _cuts(bucket)
+    return pa.table(
+        {
+            "bucket": pa.array(bucket[cuts[:-1]], pa.int64()),
+            "docs": pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            "sums": pa.array([sums[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        }
+    )
+
+
+def _logs(counts: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(counts, 1).astype(np.float64)) if len(counts) else np.zeros(1)
+
+
+def _frequent_pair(first, second, log_counts, pairs, total: int, backoff: float, least: int) -> np.ndarray:
+    """Score of a frequent word after a frequent word, both by number."""
+    n = _found(first * len(log_counts) + second, pairs)
+    return np.where(n >= least, _logs(n) - log_counts[first], log_counts[second] + np.log(backoff / total))
+
+
+def _score(frequent, pairs, total: int, backoff: float, least: int, buckets: int, order: int):
     """Sums per document of what a block knows about its places, packed by buckets of documents."""
 
     def run(tiles: pa.Table) -> pa.Table:
-        hot_counts = np.log(np.maximum(frequent.value[1], 1).astype(np.float64)) if len(frequent.value[1]) else np.zeros(1)
-        held = []
+        hot_counts = _logs(frequent.value[1])
+        held, far = [], []
         for t in tiles.to_pylist():
             words = np.repeat(np.frombuffer(t["words"], np.uint64), np.frombuffer(t["runs"], "<u4"))
             docs = np.frombuffer(t["docs"], "<i8")[np.frombuffer(t["doc"], f"<u{len(t['doc']) // len(words)}")]
             held.append((words, docs, _unpack(t["before"]), _unpack(t["after"])))
+            far.append((_unpack(t["before_hot"]), _unpack(t["after_hot"])))
         words, docs, before, after = (np.concatenate(x) for x in zip(*held))
+        far_before, far_after = (np.concatenate(x) for x in zip(*far))
+        del held, far
         docs = docs.astype(np.int64)
-        back = np.log(backoff / total)
+        lower, whole = np.log(backoff), np.log(total)
         own = np.log(_counts(words))
         salt = mix(words)
-        pair = _counts(mix(before ^ salt))
-        # the word itself: known here, but for the count of a word before that has a block of its own
-        hot = (before >= FREQUENT) & (before < OTHER)
-        seen = np.log(pair) - np.where(hot, hot_counts[np.where(hot, before - np.uint64(FREQUENT), 0).astype(np.int64)], 0.0)
-        sums = np.where(before == NONE, own - np.log(total), np.where(pair >= least, seen, own + back))
-        # the next word: this word's count, and all of it if the next word is frequent
-        pair = _counts(mix(after ^ salt) + np.uint64(1))
-        hot = (after >= FREQUENT) & (after < OTHER)
-        next_count = hot_counts[np.where(hot, after - np.uint64(FREQUENT), 0).astype(np.int64)]
-        often = pair >= least
-        sums += np.where(
-            hot, np.where(often, np.log(pair) - own, next_count + back), np.where(often & (after != NONE), -own, 0.0)
-        )
-        ids, inverse = np.unique(docs, return_inverse=True)
-        sums = np.bincount(inverse, weights=sums)
-        bucket = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        bucket, ids, sums = bucket[order], ids[order], sums[order]
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
-        return pa.table(
-            {
-                "bucket": pa.array(bucket[cuts[:-1]], pa.int64()),
-                "docs": pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                "sums": pa.array([sums[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            }
-        )
+        pair_before, pair_after = mix(before ^ salt), mix(after ^ salt) + np.uint64(1)
+        n_before, n_after = _counts(pair_before), _counts(pair_after)
+        hot_before, hot_after = _is_frequent(before), _is_frequent(after)
+        number = lambda marks: (marks - np.uint64(FREQUENT)).astype(np.int64)
+        # the word itself, if nothing comes before it, or only its count is missing where the word before is
+        sums = np.where((before == NONE) | (n_before < least), own - whole, 0.0)
+        # after a frequent word, which has no block
+        k = np.flatnonzero(hot_before)
+        seen = n_before[k] >= least
+        term = np.where(seen, np.log(n_before[k]) - hot_counts[number(before[k])], own[k] + lower - whole)
+        if order > 2 and len(k):
+            further = far_before != NONE
+            n = _counts(mix(far_before ^ pair_before[k]))
+            term = np.where(further, np.where(n >= least, np.log(n), lower + term), term)
+            known = np.flatnonzero(_is_frequent(far_before) & (n >= least))
+            pair = number(far_before[known]) * len(frequent.value[0]) + number(before[k[known]])
+            term[known] -= _logs(_found(pair, pairs.value))
+        sums[k] = term
+        # the next word
+        k = np.flatnonzero(after != NONE)
+        rare = np.full(len(k), lower)
+        rare[hot_after[k]] += hot_counts[number(after[k][hot_after[k]])] - whole
+        term = np.where(n_after[k] >= least, np.log(n_after[k]) - own[k], rare)
+        if order > 2:
+            n = _counts(mix(before[k] ^ pair_after[k]))
+            term = np.where(before[k] == NONE, term, np.where(n >= least, np.log(n) - np.log(n_before[k]), lower + term))
+        sums[k] += term
+        # the word after a frequent next word: all of it if it is frequent, else what its block does not know
+        k = np.flatnonzero(hot_after)
+        if order > 2 and len(k):
+            n = _counts(mix(far_after ^ pair_after[k]))
+            sums[k] -= np.where((far_after != NONE) & (n >= least), np.log(n_after[k]), 0.0)
+            both = np.flatnonzero(_is_frequent(far_after))
+            pair = _frequent_pair(number(after[k[both]]), number(far_after[both]), hot_counts, pairs.value, total, backoff, least)
+            sums[k[both]] += np.where(n[both] >= least, np.log(n[both]), lower + pair)
+        return _packed_sums(docs, sums, buckets)
+
+    return run
+
+
+def _score_triples(frequent, pairs, total: int, backoff: float, least: int, buckets: int):
+    """Sums per document of the triples of frequent words of a block."""
+
+    def run(tiles: pa.Table) -> pa.Table:
+        held = []
+        for t in tiles.to_pylist():
+            triple = np.repeat(np.frombuffer(t["words"], "<i8"), np.frombuffer(t["runs"], "<u4"))
+            held.append((triple, np.frombuffer(t["docs"], "<i8")[np.frombuffer(t["doc"], f"<u{len(t['doc']) // len(triple)}")]))
+        triple, docs = (np.concatenate(x) for x in zip(*held))
+        terms = _triple_terms(triple, _counts(triple), frequent, pairs, total, backoff, least)
+        return _packed_sums(docs.astype(np.int64), terms, buckets)
 
     return run
 
 
+def _triple_terms(triple: np.ndarray, n: np.ndarray, frequent, pairs, total: int, backoff: float, least: int) -> np.ndarray:
+    """Scores of the last words of triples of frequent words, seen ``n`` times."""
+    size = len(frequent.value[0])
+    lower = _frequent_pair(triple // size % size, triple % size, _logs(frequent.value[1]), pairs.value, total, backoff, least)
+    return np.where(n >= least, _logs(n) - _logs(_found(triple // size, pairs.value)), np.log(backoff) + lower)
+
+
 def _add_up(parts: pa.Table) -> pa.Table:
     """Sums per document of one bucket over all blocks."""
     docs = np.frombuffer(b"".join(parts.column("docs").to_pylist()), "<i8")
@@ -184,13 +335,13 @@ def _add_up(parts: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "part": pa.array(np.bincount(inverse, weights=sums, minlength=len(ids)))})
 
 
-def _direct(frequent, pairs, total: int, backoff: float, least: int):
-    """Per row: words, and the terms of frequent words at a start or after a frequent word."""
+def _direct(frequent, pairs, often, total: int, backoff: float, least: int, order: int):
+    """Per row: words, and the terms of frequent words at a start or after a frequent word (order 3: that is
+    first, or in a triple that is broadcast)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, counts = frequent.value
-        log_counts = np.log(np.maximum(counts, 1).astype(np.float64)) if len(counts) else np.zeros(1)
-        keys, values = pairs.value
+        log_counts = _logs(counts)
         for batch in batches:
             sums, sizes = [], []
             for _, n_rows, words, docs in _words(batch.column(1)):
@@ -202,13 +353,16 @@ def _direct(frequent, pairs, total: int, backoff: float, least: int):
                 score[lone] = log_counts[at[lone]] - np.log(total)
                 both = np.zeros(len(words), dtype=bool)
                 both[1:] = ~first[1:] & (at[1:] >= 0) & (at[:-1] >= 0)
+                if order > 2:
+                    both[1:] &= first[:-1]
+                    place, triple = _triples(words, docs, hot)
+                    n = _found(triple, often.value)
+                    place, triple, n = place[n > 0], triple[n > 0], n[n > 0]
+                    if len(place):
+                        score[place] = _triple_terms(triple, n, frequent, pairs, total, backoff, least)
                 later = np.flatnonzero(both)
                 if len(later):
-                    k = np.searchsorted(keys, at[later - 1] * len(hot) + at[later])
-                    n = values[k]
-                    score[later] = np.where(
-                        n >= least, np.log(n) - log_counts[at[later - 1]], log_counts[at[later]] + np.log(backoff / total)
-                    )
+                    score[later] = _frequent_pair(at[later - 1], at[later], log_counts, pairs.value, total, backoff, least)
                 sums.append(np.bincount(docs, weights=score, minlength=n_rows))
                 sizes.append(np.bincount(docs, minlength=n_rows))
             none = np.zeros(0)
@@ -232,6 +386,7 @@ def backoff_scores(
     least: int = 2,
     most_frequent: int = 512,
     block_rows: int = 1_000_000,
+    order: int = 2,
 ) -> DataFrame:
     """Per doc_id: n_words, log_prob (natural logarithm, summed over the words) and perplexity.
 
@@ -239,9 +394,12 @@ def backoff_scores(
     log_prob of 0 and no perplexity. Rows that share a doc_id are scored as texts of their own and summed;
     doc_id must be an integer, and rows without one count for the model but get no score. Other columns
     are ignored, whatever their names. ``most_frequent`` words are broadcast with their exact counts, and so are
-    the counts of pairs among them: never more than that number and its square. Words are told apart
-    by 64 bits, neighbours of one word by 40.
+    the counts of pairs among them: never more than that number and its square. Of triples among them, those that would
+    fill a good part of a block are broadcast, at most 16 a block. Words are told apart
+    by 64 bits, neighbours of one word by 40. ``order`` is 2 (pairs) or 3 (triples).
     """
+    if order not in (2, 3):
+        raise ValueError(f"order must be 2 or 3, not {order}")
     context = docs.sparkSession.sparkContext
     frame = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     texts = frame.select("text")
@@ -249,24 +407,36 @@ def backoff_scores(
     total = table.agg(F.sum("n").alias("n")).first()["n"] or 1
     top = table.orderBy(F.desc("n"), "word").limit(most_frequent).where("n >= 64").toPandas()
     hot = top["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hot)
-    hot, counts = hot[order], top["n"].to_numpy(np.int64)[order]
+    by = np.argsort(hot)
+    hot, counts = hot[by], top["n"].to_numpy(np.int64)[by]
     rest = total - int(counts.sum())
     frequent = context.broadcast((hot, counts))
     pairs = texts.mapInArrow(_count_pairs(frequent), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    order = np.argsort(pairs["pair"].to_numpy(np.int64))
-    pairs = context.broadcast((pairs["pair"].to_numpy(np.int64)[order], pairs["n"].to_numpy(np.int64)[order]))
+    by = np.argsort(pairs["pair"].to_numpy(np.int64))
+    pairs = context.broadcast((pairs["pair"].to_numpy(np.int64)[by], pairs["n"].to_numpy(np.int64)[by]))
 
     blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rest // block_rows + 1)
     keyed = frame.where("doc_id is not null")
     # rows without an id still count: their places are dealt out under an id that is dropped again
     nobody = -(1 << 63)
-    tiles = frame.select(F.coalesce("doc_id", F.lit(nobody)).alias("doc_id"), "text").mapInArrow(_tiles(frequent, blocks), _TILE)
+    named = frame.select(F.coalesce("doc_id", F.lit(nobody)).alias("doc_id"), "text")
+    tiles = named.mapInArrow(_tiles(frequent, blocks, order), _TILE)
     # a document has a sum in every block that holds one of its words: packed, they are a row per block
     # and bucket, and a bucket has about as many sums as a block has places
-    parts = tiles.groupBy("block").applyInArrow(_score(frequent, total, backoff, least, blocks), _SUMS)
+    parts = tiles.groupBy("block").applyInArrow(_score(frequent, pairs, total, backoff, least, blocks, order), _SUMS)
+    often = context.broadcast((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    if order > 2:
+        bound = max(64, total // (16 * blocks))
+        triples = texts.mapInArrow(_count_triples(frequent, pairs, bound), "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n"))
+        triples = triples.where(F.col("n") >= bound).orderBy("triple").toPandas()
+        often = context.broadcast((triples["triple"].to_numpy(np.int64), triples["n"].to_numpy(np.int64)))
+        tiles = named.mapInArrow(_triple_tiles(frequent, often, blocks), _TRIPLES)
+        scored = tiles.groupBy("block").applyInArrow(_score_triples(frequent, pairs, total, backoff, least, blocks), _SUMS)
+        parts = parts.unionByName(scored)
     parts = parts.groupBy("bucket").applyInArrow(_add_up, "doc_id long, part double")
-    direct = keyed.mapInArrow(_direct(frequent, pairs, total, backoff, least), "doc_id long, part double, n_words long")
+    direct = keyed.mapInArrow(
+        _direct(frequent, pairs, often, total, backoff, least, order), "doc_id long, part double, n_words long"
+    )
     every = direct.unionByName(parts.where(F.col("doc_id") != nobody).withColumn("n_words", F.lit(0).cast("long")))
     summed = every.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.round(F.sum("part"), 6).alias("log_prob"))
     return summed.withColumn(

@@ -171,4 +171,4 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_lm_scoring")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.backoff_scores(table(spark, sf_dir, "documents"))
+    return lm.backoff_scores(table(spark, sf_dir, "documents"), least=1, order=3)

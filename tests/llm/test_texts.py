@@ -1,7 +1,9 @@
 """Operators on texts against plain versions: odd rows, ties, repeats, long texts, empty tables."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -226,3 +228,42 @@ def test_backoff_scores(docs, frequent):
     want = brute.backoff(rows)
     assert got.keys() == want.keys() and all(abs(got[k].log_prob - want[k]) < 1e-4 for k in want)
     assert got[1000].perplexity is None and got[1003].n_words == 30_000
+
+
+def plain_backoff(docs, order, least, alpha=0.4):
+    """Scores from counters of all n-grams."""
+    texts = [brute.words(t) for _, t in docs]
+    counts = [Counter(tuple(t[i : i + n]) for t in texts for i in range(len(t) - n + 1)) for n in range(1, order + 1)]
+    total, out = sum(counts[0].values()), {}
+
+    def score(gram):
+        n = len(gram)
+        if n == 1:
+            return math.log(counts[0][gram] / total)
+        if counts[n - 1][gram] >= least:
+            return math.log(counts[n - 1][gram] / counts[n - 2][gram[:-1]])
+        return math.log(alpha) + score(gram[1:])
+
+    for (k, _), t in zip(docs, texts):
+        out[k] = out.get(k, 0.0) + sum(score(tuple(t[max(0, i - order + 1) : i + 1])) for i in range(len(t)))
+    return out
+
+
+@pytest.mark.parametrize("order, least", [(3, 1), (3, 2), (3, 5), (2, 1)])
+@pytest.mark.parametrize("frequent", [512, 3, 0])
+def test_backoff_scores_of_order(docs, frequent, order, least):
+    rows = [(k, t[:60_000] if t else t) for k, t in sample(60, seed=9) if k not in (1004,)] + [(1001, "the of the of"), (1007, "the of and " * 900), (None, "the of é x lorem")]
+    got = {r.doc_id: r for r in lm.backoff_scores(docs(*rows), most_frequent=frequent, order=order, least=least).collect()}
+    want = plain_backoff(rows, order, least)
+    want.pop(None)
+    assert got.keys() == want.keys() and all(abs(got[k].log_prob - want[k]) < 1e-4 for k in want)
+
+
+def test_registered_scores_use_triples_and_all_counts(spark, docs, monkeypatch):
+    from tallyloom.llm import queries
+
+    rows = [(1, "a b c d"), (2, "x b c e"), (3, "a b c d once")]
+    monkeypatch.setattr(queries, "table", lambda spark, sf_dir, name: docs(*rows))
+    got = {r.doc_id: r.log_prob for r in QUERIES["op10_lm_scoring"](spark, "").collect()}
+    want = plain_backoff(rows, 3, 1)
+    assert all(abs(got[k] - want[k]) < 1e-4 for k in want)
