@@ -67,6 +67,11 @@ def _scan(machine, text: str | None):
     return len(words), np.cumsum(change[:-1]) > 0, items
 
 
+def _sorted(items) -> list:
+    """Ids in order; no id (of all items without one) comes last."""
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
 def _spans(text: str, hit: np.ndarray) -> list[dict]:
     """Runs of hit words, in code points of the text.
 
@@ -94,7 +99,7 @@ def _scan_with(shared, size: int, text_at: int):
                 words, hit, owners = _scan(machine, text)
                 n_words.append(words)
                 n_hit.append(0 if hit is None else int(hit.sum()))
-                items.append(sorted(owners))
+                items.append(_sorted(owners))
                 spans.append([] if hit is None else _spans(text, hit))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -119,6 +124,7 @@ def contamination(
     size: int = 13,
     block_bytes: int = 64 << 20,
     keep_text: bool = False,
+    unnamed: bool = False,
 ) -> DataFrame:
     """Passages of ``benchmark`` items in documents.
 
@@ -132,12 +138,13 @@ def contamination(
     adding to the last, so it may have any size. Documents of null, empty or separators only
     have 0 words and no hits; items without words match nothing; items of fewer than
     ``size`` words count as one window; an item listed twice counts once; an empty
-    benchmark hits nothing. Other columns are ignored, whatever their names.
+    benchmark hits nothing. Items without an id match nothing, or with ``unnamed`` as any other: together they are one
+    null, the last of ``items``. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     sized = benchmark.select(
         F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"), F.octet_length(text).alias("b")
-    ).where("t is not null and i is not null")
+    ).where("t is not null" if unnamed else "t is not null and i is not null")
     total = sized.agg(F.sum("b").alias("b")).first()["b"] or 0
     blocks = max(1, -(-total * 2 // block_bytes))
     frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -170,7 +177,7 @@ def _union_with(shared, size: int):
                     b, s = np.packbits(hit).tobytes(), _spans(text, hit)
                 n_words.append(words)
                 bits.append(b or b"")
-                items.append(sorted({*i, *owners}))
+                items.append(_sorted({*i, *owners}))
                 spans.append(s)
             yield pa.RecordBatch.from_arrays(
                 [

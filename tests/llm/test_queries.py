@@ -71,3 +71,33 @@ def test_pipeline_stages_take_odd_rows(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, frame, FOLDER).collect() is not None
         assert stage(spark, frame.where("doc_id > 99"), FOLDER).collect() == []
+
+
+def test_decisions_hold_for_rows_without_id_and_repeated_rows(spark, docs, tmp_path):
+    item = "the quick brown fox jumps over the lazy dog and runs far away from here today"
+    spark.createDataFrame([(None, item)], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    words = lambda low: " ".join(f"w{k}" for k in range(low, low + 80))
+    schema = docs((1, "x")).select("doc_id", "text", "lang", "source").schema.add("n_chars", "long")
+    frame = lambda *rows: spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], schema).repartition(3)
+    stages = {name: lambda f, stage=stage: sorted((r.doc_id or 0, r.text) for r in stage(spark, f, str(tmp_path)).collect()) for name, stage in corpus_pipeline.STAGES[:4]}
+    assert stages["quality rules"](frame((None, "too short"), (None, words(0)), (2, words(0)), (2, "short"))) == [(0, words(0)), (2, words(0))]
+    near = words(0) + " end"
+    rows = [(None, words(0)), (None, near), (3, near), (3, near), (5, words(0)), (None, words(200)), (None, words(200)), (7, ""), (7, ""), (None, "")]
+    assert stages["n-gram Jaccard join"](frame(*rows)) == [(0, ""), (0, words(200)), (3, near), (7, ""), (7, "")]
+    rows = [(None, item), (None, words(0)), (4, "x " + item), (5, words(0)), (5, item)]
+    assert stages["benchmark decontamination"](frame(*rows)) == [(0, words(0)), (5, words(0))]
+
+
+def test_items_without_id_mark_words(spark, duck, docs, monkeypatch):
+    from tallyloom.llm import queries
+
+    documents = docs((1, "a lost item here"), (2, "a lost item and a short item"), (3, "nothing"))
+    items = spark.createDataFrame([(None, "lost item"), (None, "nothing"), (2, "short item")], "item_id int, text string")
+    monkeypatch.setattr(queries, "table", lambda spark, sf_dir, name: documents if name == "documents" else items)
+    name = "op4_benchmark_decontamination"
+    own = duckdb.connect()
+    for view, frame in (("documents", documents.select("doc_id", "text").toPandas()), ("benchmark", items.toPandas().astype({"item_id": "Int64"}))):
+        own.register(view, frame)
+    want = own.sql(ORACLES[name])
+    got = QUERIES[name](spark, "").select(*want.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall()) and all(r.n_hit for r in got)
