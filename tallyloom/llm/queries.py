@@ -5,7 +5,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import decontaminate, line_dedup, lm, ngram_join, packing, quality, separators, suffix_dedup, token_files, warc
+from tallyloom.llm import (
+    cover_search, decontaminate, importance, line_dedup, lm, ngram_join, packing, quality, separators, spelling,
+    suffix_dedup, token_files, warc,
+)
 from tallyloom.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +175,105 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_scoring")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.backoff_scores(table(spark, sf_dir, "documents"), least=1, order=3)
+
+
+#: The table of CRC-32 by its rule, and the checksum of a text over it.
+SQL_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS tab
+  FROM range(0, 256) r(i)
+)"""
+
+
+def sql_crc(text: str) -> str:
+    byte = f"CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)"
+    steps = f"list_transform(range(0, octet_length(encode({text}))), lambda i: {byte})"
+    return f"xor(list_reduce({steps}, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295), 4294967295)"
+
+
+SQL_IMPORTANCE = f"""
+WITH {SQL_CRC_TABLE}, texts AS (
+  SELECT doc_id, text, true AS ours FROM documents UNION ALL SELECT NULL, text, false FROM benchmark
+), cut AS (
+  SELECT doc_id, ours, regexp_extract_all({SQL_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts
+), grams AS (
+  SELECT doc_id, ours, array_to_string(w[k:k + size - 1], ' ') AS g
+  FROM (SELECT doc_id, ours, w, unnest(range(1, len(w) + 1)) AS k FROM cut), range(1, 4) s(size) WHERE k + size - 1 <= len(w)
+), named AS (
+  SELECT g, {sql_crc('g')} % 10000 AS bucket FROM (SELECT DISTINCT g FROM grams), crc_table
+), held AS (SELECT doc_id, ours, bucket FROM grams JOIN named USING (g)),
+totals AS (SELECT count(*) FILTER (ours) AS s_all, count(*) FILTER (NOT ours) AS t_all FROM held),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT bucket, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t FROM held GROUP BY 1), totals
+), weights AS (
+  SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM held JOIN gains USING (bucket) WHERE ours GROUP BY 1
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM cut LEFT JOIN weights USING (doc_id) WHERE ours
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (n_words >= 20) OVER () AS n
+  FROM scored
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank
+FROM placed"""
+
+SQL_SPELLING = f"""
+WITH RECURSIVE {SQL_CRC_TABLE}, runs AS (
+  SELECT doc_id, w, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all({SQL_LOWER}, '[A-Za-z\u00C0-\u00FF]+')) AS w FROM documents
+  ) GROUP BY 1, 2
+), hashed AS (SELECT w, c, {sql_crc("(doc_id || ':' || w)")} AS h FROM runs, crc_table),
+altered AS (
+  SELECT c, CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM hashed
+), words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM altered WHERE length(word) >= 5 GROUP BY 1 HAVING sum(c) >= 3
+), less AS (
+  SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, place) AS other, max(other_n) AS other_n
+  FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near) GROUP BY 1
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+    CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root, 0 AS depth FROM formed
+  UNION ALL SELECT chain.word, f.form, depth + 1 FROM chain JOIN formed f ON f.word = chain.root WHERE f.form IS NOT NULL
+)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM formed JOIN (SELECT word, arg_max(root, depth) AS root FROM chain GROUP BY 1) USING (word)"""
+
+SQL_TOP_PRODUCTS = """
+WITH usable AS (
+  SELECT vec_id, CAST(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_inner_product(q.v, r.v) AS BIGINT) AS score
+  FROM usable q JOIN usable r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored) WHERE place <= 5"""
+
+
+@query("op11_importance_resampling", SQL_IMPORTANCE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_spelling_variants", SQL_SPELLING)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_top_products", SQL_TOP_PRODUCTS)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_search.top_products(table(spark, sf_dir, "embeddings"))

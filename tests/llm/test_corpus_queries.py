@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "pages"):
+    for name in ("documents", "benchmark", "pages", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return connection
 
@@ -29,7 +29,7 @@ def test_query(spark, duck, name):
 
 
 def test_one_query_of_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
