@@ -27,6 +27,7 @@ def widen(
     extend: Sequence[str],
     order: str | None = None,
     unique: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """Left join the dimension and put its ``extend`` columns into the field map.
 
@@ -36,7 +37,8 @@ def widen(
     spares the reduction to the last row. It is not checked: where it is wrong, events
     are multiplied.
 
-    No hint: Spark broadcasts the dimension when it knows it to be below
+    ``small`` has the dimension broadcast: for a source that holds to a bound by itself and whose
+    size Spark does not know. Otherwise there is no hint: Spark broadcasts the dimension when it knows it to be below
     ``spark.sql.autoBroadcastJoinThreshold`` (from statistics, or at run time from the
     size of the reduced rows), and splits skewed keys of a shuffled join otherwise.
     """
@@ -61,7 +63,7 @@ def widen(
     condition = matches[0]
     for match in matches[1:]:
         condition = condition & match
-    joined = indicators.join(side, condition, "left")
+    joined = indicators.join(F.broadcast(side) if small else side, condition, "left")
     added = F.map_from_arrays(
         F.array(*[F.lit(c) for c in extend]), F.array(*[F.col(f"_ext.{c}") for c in columns])
     )

@@ -1,14 +1,17 @@
 """Streaming queries over the events, compared with the batch SQL where the outcome is fixed."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallyloom.operators.documents import compact_parts, live_results
 from tallyloom.operators.fork import fork
 from tallyloom.operators.aggregate import partials
-from tallyloom.plans.catalogue import EV, event_indicators, events, flat, query, rule_lines, sql_rule
+from tallyloom.operators.lookup import widen
+from tallyloom.plans.catalogue import EV, event_indicators, events, flat, query, rule_lines, sql_rule, table
 from tallyloom.plans.queries_metrics import KEYED_SQL, MULTI_RULES, RUNNING_SQL
 from tallyloom.session import scratch_folder
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
+from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension
 from tallyloom.streaming.job import closing_partials, heartbeat, start, update_partials
 from tallyloom.streaming.rule_feed import live_rules
 
@@ -248,3 +251,68 @@ def stream_side_output(spark, sf_dir):
 
     _run(update_partials(stream, rule_lines(spark, *MULTI_RULES), None), folder, side_output=alert)
     return flat(spark.read.parquet(f"{folder}/alerts").drop("batch"))
+
+
+_SEGMENT_RULES = ["1,click,active,c_mktsegment,value:sum&value:count,1440", "2,view,active,c_mktsegment&c_nationkey,value:max,60"]
+# of the customers a later version moves every second one to another segment and drops every seventh
+_DIMENSIONS = f"""{EV}, wide AS (
+  SELECT ev.*, CASE WHEN moved AND c_custkey % 2 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment, c_nationkey
+  FROM (SELECT ev.*, event_id % 2 = 0 AS moved FROM ev) ev
+  LEFT JOIN customer ON user_id = c_custkey AND NOT (moved AND c_custkey % 7 = 0)
+)"""
+
+
+def _segment_sql(where):
+    return " UNION ALL ".join(
+        [
+            sql_rule(1, "click", ["c_mktsegment"], [("value", "SUM"), ("value", "COUNT")], 1440, f"event_type = 'click' AND {where}", "wide"),
+            sql_rule(2, "view", ["c_mktsegment", "c_nationkey"], [("value", "MAX")], 60, f"event_type = 'view' AND {where}", "wide"),
+        ]
+    )
+
+
+def _widened(spark, stream, folder, max_age):
+    extend = ["c_mktsegment", "c_nationkey"]
+    dimension = live_dimension(spark, f"{folder}/customers", {"user_id": "c_custkey"}, extend, max_age=max_age)
+    return widen(stream, dimension, {"user_id": "c_custkey"}, extend, unique=True, small=True)
+
+
+def _moved(customers):
+    segment = F.when(F.col("c_custkey") % 2 == 0, "NEW").otherwise(F.col("c_mktsegment"))
+    return customers.filter("c_custkey % 7 <> 0").withColumn("c_mktsegment", segment)
+
+
+@query("stream_dimension_refresh", f"WITH {_DIMENSIONS} {_segment_sql('true')}")
+def stream_dimension_refresh(spark, sf_dir):
+    """Customers edited while the stream runs: the next micro-batch sees the new version whole."""
+    folder, stream, put = _staged(spark, sf_dir, [_ODD, _EVEN])
+    customers = table(spark, sf_dir, "customer")
+    publish_dimension(customers, f"{folder}/customers")
+    parts = update_partials(_widened(spark, stream, folder, 3600), rule_lines(spark, *_SEGMENT_RULES), None)
+    put[0]()
+    running = start(parts, f"{folder}/results", f"{folder}/checkpoint", trigger={"processingTime": "0 seconds"})
+    try:
+        running.processAllAvailable()
+        publish_dimension(_moved(customers), f"{folder}/customers")
+        put[1]()
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return flat(live_results(spark, f"{folder}/results"))
+
+
+@query("stream_dimension_too_old", f"WITH {_DIMENSIONS} {_segment_sql('event_id % 2 = 1')}")
+def stream_dimension_too_old(spark, sf_dir):
+    """A version older than the bound is refused: the events of that micro-batch wait, none is widened by it."""
+    folder, stream, put = _staged(spark, sf_dir, [_ODD, _EVEN])
+    publish_dimension(table(spark, sf_dir, "customer"), f"{folder}/customers")
+    rules = rule_lines(spark, *_SEGMENT_RULES)
+    put[0]()
+    _run(update_partials(_widened(spark, stream, folder, 3600), rules, None), folder)
+    put[1]()
+    try:
+        _run(update_partials(_widened(spark, stream, folder, 0), rules, None), folder)
+    except StreamingQueryException as refused:
+        if "too old" not in str(refused):
+            raise
+    return flat(live_results(spark, f"{folder}/results"))

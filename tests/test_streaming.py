@@ -13,6 +13,7 @@ from tallyloom.operators.health import with_latency
 from tallyloom.operators.lookup import widen
 from tallyloom.plans.evaluate import evaluate
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
+from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension, seen_versions
 from tallyloom.streaming.job import (
     closing_partials, heartbeat, observed, start, update_partials, window_lengths,
 )
@@ -242,3 +243,43 @@ def test_rules_too_many_to_broadcast_join_a_stream_by_shuffle(source, rules):
     source.add(*[("t", f"k{i % 3}", i, i) for i in range(30)])
     source.run(update_partials(source.stream(), rules("1,t,active,k,v:sum,1"), small_rules=False))
     assert source.results() == {(1, (f"k{j}",), 0, "v-SUM"): float(sum(range(j, 30, 3))) for j in range(3)}
+
+
+def test_a_dimension_is_read_anew_whole_and_never_too_old(spark, tmp_path):
+    path, on = str(tmp_path / "dim"), {"k": "key"}
+    read = lambda **more: live_dimension(spark, path, on, ["owner"], "at", **more)
+    with pytest.raises(FileNotFoundError):
+        read()
+    make = lambda *rows: spark.createDataFrame(rows, "key string, owner string, at int, unused double").repartition(2)
+    assert publish_dimension(make(("a", "old", 1, 0.5), ("b", None, 2, 0.5)), path) == 1
+    frame = read(max_age=600)
+    rows = lambda: {(r.key, r.owner, r.at, r.version) for r in frame.collect()}
+    assert frame.columns == ["key", "owner", "at", "version", "published"]
+    assert rows() == {("a", "old", 1, 1), ("b", None, 2, 1)}
+    assert publish_dimension(make(("a", "new", 3, 0.5)), path) == 2
+    (tmp_path / "dim" / "version=3").mkdir()  # not complete
+    assert rows() == {("a", "new", 3, 2)}
+    assert [r.version for r in seen_versions(frame).collect()] == [2]
+    with pytest.raises(Exception, match="too old"):
+        read(max_age=0).count()
+    with pytest.raises(Exception, match="exceeds 10 bytes"):
+        read(max_bytes=10).count()
+    publish_dimension(make(("a", "x", 1, 0.5)).where("false"), path)
+    assert rows() == set()
+
+
+def test_a_stream_follows_its_dimension(source, spark, rules, tmp_path):
+    path = str(tmp_path / "dim")
+    publish_dimension(spark.createDataFrame([("a", "old")], "key string, owner string"), path)
+    wide = widen(source.stream(), live_dimension(spark, path, {"k": "key"}, ["owner"], max_age=600), {"k": "key"}, ["owner"], small=True)
+    parts = update_partials(wide, rules("1,t,active,owner,v:sum,1"))
+    running = start(parts, str(source.root / "out"), str(source.root / "checkpoint"), trigger={"processingTime": "0 seconds"})
+    try:
+        source.add(("t", "a", 1, 10), ("t", "b", 2, 10))
+        running.processAllAvailable()
+        publish_dimension(spark.createDataFrame([("a", "new"), ("b", "own")], "key string, owner string"), path)
+        source.add(("t", "a", 5, 20), ("t", "b", 7, 20))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert source.results() == {(1, (k,), 0, "v-SUM"): v for k, v in {"old": 1, "null": 2, "new": 5, "own": 7}.items()}
