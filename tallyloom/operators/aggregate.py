@@ -53,6 +53,7 @@ def partials(
     keyless: str = "running",
     evict_by: Column | None = None,
     fields: Fields = FieldMap(),
+    mark: Column | None = None,
 ) -> DataFrame:
     """Mergeable aggregates per rule, group, window and field.
 
@@ -63,7 +64,8 @@ def partials(
 
     ``evict_by`` is a time window in whose parts the groups are kept, which a stream needs to let go of old
     state. ``part`` then says which part of its group a row is (:func:`whole` puts them together);
-    ``running`` marks totals without a window in their key.
+    ``running`` marks totals without a window in their key. ``mark``, a number made of the rule's
+    and the window's columns, keeps a group in parts likewise, and is what ``part`` says then.
     """
     rows = measured(forked, *([] if evict_by is None else ["event_time"]), fields=fields)
     running = (F.size("grouping_keys") == 0) if keyless == "running" else F.lit(False)
@@ -73,14 +75,15 @@ def partials(
         F.when(~running, F.col("window_end_ms")).alias("_end"),
         "field",
     ]
-    if evict_by is not None:
-        keys.append(evict_by.alias("_kept"))
+    kept = mark if evict_by is None else evict_by
+    if kept is not None:
+        keys.append(kept.alias("_kept"))
     done = rows.groupBy(*keys).agg(
         *_measures(),
         F.max("window_start_ms").alias("window_start_ms"),
         F.max("window_end_ms").alias("window_end_ms"),
     )
-    part = F.lit(None).cast("bigint") if evict_by is None else F.unix_millis("_kept.start")
+    part = F.lit(None).cast("bigint") if kept is None else F.col("_kept") if evict_by is None else F.unix_millis("_kept.start")
     return done.select(
         *GROUP, *WINDOW, "field", *_MEASURES, F.col("_start").isNull().alias("running"), part.alias("part")
     )

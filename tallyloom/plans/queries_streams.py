@@ -11,6 +11,7 @@ from tallyloom.plans.catalogue import EV, event_indicators, events, flat, query,
 from tallyloom.plans.queries_metrics import KEYED_SQL, MULTI_RULES, RUNNING_SQL
 from tallyloom.session import scratch_folder
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
+from tallyloom.streaming.closing import closed_results, late_rows, start_closing
 from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension
 from tallyloom.streaming.job import closing_partials, heartbeat, start, update_partials
 from tallyloom.streaming.rule_feed import live_rules
@@ -102,16 +103,82 @@ def stream_ttl(spark, sf_dir):
     return flat(live_results(spark, f"{folder}/results"))
 
 
+_CLOSING_RULES = [
+    "1,click,active,user_id,value:sum&value:count,60", "9,view,active,user_id,value:sum&value:avg,7",
+    "10,purchase,active,k,value:max&value:count,10080", "12,error,active,user_id&k,value:min,1440",
+]
+_JOINING = "11,signup,active,user_id,value:sum&value:min,13"
+# events come in four pieces by time; of the first, every tenth comes with the last one instead
+_STAGED_SQL = f"""{EV}, cut AS (SELECT min(ms) AS lo, max(ms) - min(ms) + 1 AS size FROM ev), staged AS (
+  SELECT ev.*, CASE WHEN event_id % 10 = 7 AND (ms - lo) * 4 // size = 0 THEN 3 ELSE (ms - lo) * 4 // size END AS piece FROM ev, cut
+), marks AS (SELECT p, (SELECT max(ms) - 500 FROM staged WHERE piece < p) AS mark FROM range(0, 4) r(p)),
+timed AS (SELECT staged.*, coalesce(mark, -1) AS mark FROM staged JOIN marks ON p = piece)"""
+
+
+def _closing_sql(late):
+    """The rules over rows whose window was open, or had closed, when they came."""
+    rules = [
+        (1, "click", ["user_id"], [("value", "SUM"), ("value", "COUNT")], 60, "true"),
+        (9, "view", ["user_id"], [("value", "SUM"), ("value", "AVG")], 7, "true"),
+        (10, "purchase", ["k"], [("value", "MAX"), ("value", "COUNT")], 10080, "true"),
+        (12, "error", ["user_id", "k"], [("value", "MIN")], 1440, "true"),
+        (11, "signup", ["user_id"], [("value", "SUM"), ("value", "MIN")], 13, "piece >= 2"),
+    ]
+    parts = []
+    for rule_id, name, keys, specs, minutes, when in rules:
+        size = minutes * 60000
+        closed = f"ms - ms % {size} + {size} <= mark"
+        where = f"event_type = '{name}' AND {when} AND {'' if late else 'NOT '}({closed})"
+        parts.append(sql_rule(rule_id, name, keys, [("value", "COUNT")] if late else specs, minutes, where, "timed"))
+    return " UNION ALL ".join(parts)
+
+
+def _closed(spark, sf_dir):
+    """Runs the stream piece by piece; a rule of a new length joins it on the way. Returns its folder."""
+    bounds = event_indicators(spark, sf_dir).agg(F.min("event_ms").alias("lo"), F.max("event_ms").alias("hi")).first()
+    lo, size = bounds["lo"], bounds["hi"] - bounds["lo"] + 1
+    quarter = f"((event_ms - {lo}L) * 4 div {size}L)"
+    piece = f"CASE WHEN event_id % 10 = 7 AND {quarter} = 0 THEN 3 ELSE {quarter} END"
+    folder, stream, put = _staged(spark, sf_dir, [f"{piece} = {k}" for k in range(4)])
+
+    def publish(version, lines):
+        spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1).write.text(f"{folder}/rules/version={version}")
+
+    publish(1, _CLOSING_RULES)
+    closing = start_closing(
+        stream, live_rules(spark, f"{folder}/rules"), f"{folder}/closing", f"{folder}/checkpoint",
+        compact_every=2, trigger={"processingTime": "0 seconds"}, small_rules=True,
+    )
+    try:
+        for k in range(4):
+            if k == 2:
+                publish(2, [*_CLOSING_RULES, _JOINING])
+            put[k]()
+            closing.processAllAvailable()
+    finally:
+        closing.stop()
+    return f"{folder}/closing"
+
+
 @query(
     "stream_on_close",
-    f"WITH {EV}, r AS ({KEYED_SQL}) SELECT * FROM r WHERE window_end_ms <= (SELECT max(ms) - 500 FROM ev)",
+    f"WITH {_STAGED_SQL}, r AS ({_closing_sql(False)}) SELECT * FROM r WHERE window_end_ms <= (SELECT max(ms) - 500 FROM ev)",
 )
 def stream_on_close(spark, sf_dir):
-    """Each result once, when its window has closed; the last windows are still open."""
-    folder, stream, put = _staged(spark, sf_dir, ["true"])
-    put[0]()
-    _run(closing_partials(stream, rule_lines(spark, *MULTI_RULES)), folder, mode="append")
-    return flat(live_results(spark, f"{folder}/results"))
+    """Each result once, when its window has closed, whatever its length: minutes, a day, a week.
+
+    Windows close between the pieces; rows that come after that are late and change nothing; the last
+    windows are still open. A rule of thirteen minutes joins while the stream runs.
+    """
+    return flat(closed_results(spark, _closed(spark, sf_dir)))
+
+
+@query("stream_late_rows", f"WITH {_STAGED_SQL}, r AS ({_closing_sql(True)}) SELECT * FROM r")
+def stream_late_rows(spark, sf_dir):
+    """The rows that came after their window had closed, counted by rule, group and window."""
+    late = late_rows(spark, _closed(spark, sf_dir))
+    counted = late.select("*", F.lit("value-COUNT").alias("metric"), F.lit(None).cast("double").alias("approx"), F.col("n").alias("value"))
+    return flat(counted)
 
 
 @query(
@@ -316,3 +383,26 @@ def stream_dimension_too_old(spark, sf_dir):
         if "too old" not in str(refused):
             raise
     return flat(live_results(spark, f"{folder}/results"))
+
+
+@query("stream_recovery", f"WITH {EV} {KEYED_SQL} UNION ALL {RUNNING_SQL}")
+def stream_recovery(spark, sf_dir):
+    """Each micro-batch fails once after it has written its results and before they count as done; totals stay right."""
+    folder, stream, put = _staged(spark, sf_dir, [_ODD, _EVEN])
+    rules = rule_lines(spark, *MULTI_RULES)
+    written = set()
+
+    def fault(results, number):
+        if number not in written:
+            written.add(number)
+            raise RuntimeError("a fault between write and commit")
+
+    for piece in put:
+        piece()
+        try:
+            _run(update_partials(stream, rules, None), folder, side_output=fault)
+        except StreamingQueryException as failed:
+            if "between write and commit" not in str(failed):
+                raise
+        _run(update_partials(stream, rules, None), folder, side_output=fault)
+    return flat(live_results(spark, f"{folder}/results"))

@@ -13,6 +13,7 @@ from tallyloom.operators.health import with_latency
 from tallyloom.operators.lookup import widen
 from tallyloom.plans.evaluate import evaluate
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
+from tallyloom.streaming.closing import closed_results, late_rows, start_closing
 from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension, seen_versions
 from tallyloom.streaming.job import (
     closing_partials, heartbeat, observed, start, update_partials, window_lengths,
@@ -283,3 +284,72 @@ def test_a_stream_follows_its_dimension(source, spark, rules, tmp_path):
     finally:
         running.stop()
     assert source.results() == {(1, (k,), 0, "v-SUM"): v for k, v in {"old": 1, "null": 2, "new": 5, "own": 7}.items()}
+
+
+class Closing:
+    """Runs of a closing stream over a source, one micro-batch per file."""
+
+    def __init__(self, source, **options):
+        self.source, self.path, self.options = source, str(source.root / "closing"), options
+
+    def run(self, rules):
+        start_closing(self.source.stream(), rules, self.path, str(self.source.root / "checkpoint"), **self.options).awaitTermination()
+
+    def results(self):
+        rows = [
+            (r.rule_id, r.grouping_values[0], r.window_start_ms, r.metric, float(r.value))
+            for r in closed_results(self.source.spark, self.path).collect()
+        ]
+        assert len(rows) == len({r[:4] for r in rows})  # each once
+        return set(rows)
+
+    def late(self):
+        return {(r.rule_id, r.grouping_values[0], r.window_start_ms, r.n) for r in late_rows(self.source.spark, self.path).collect()}
+
+
+def test_windows_of_any_length_close_once(source, rules):
+    """Restarted and compacted on the way; a rule of a new length joins; late rows are listed and change nothing."""
+    closing, first = Closing(source, compact_every=2), ["1,t,active,k,v:sum,1", "2,t,active,k,v:sum&v:max,3"]
+    source.add(("t", "a", 1, 10), ("t", "b", 2, 20))
+    source.add(("t", "a", 4, MINUTE + 400))  # the mark is still before the first window's end
+    closing.run(rules(*first))
+    assert closing.results() == set() and closing.late() == set()
+    source.add(("t", "a", 8, 30), ("u", "x", 0, MINUTE + 501))  # in time; and an event that no rule wants moves the mark
+    source.add(("t", "a", 16, 40), ("t", "c", 1, 2 * MINUTE))  # late for one rule, not for the other
+    closing.run(rules(*first))
+    assert closing.results() == {(1, "a", 0, "v-SUM", 9), (1, "b", 0, "v-SUM", 2)}
+    assert closing.late() == {(1, "a", 0, 1)}
+    both = rules(*first, "3,t,active,k,v:count,7", "4,t,active,,v:sum,1")
+    source.add(("t", "a", 32, 3 * MINUTE), ("t", "d", 1, 3 * MINUTE + 600))
+    source.add(("t", "e", 1, 8 * MINUTE))
+    closing.run(both)
+    assert closing.results() == {
+        (1, "a", 0, "v-SUM", 9), (1, "b", 0, "v-SUM", 2), (1, "a", MINUTE, "v-SUM", 4), (1, "c", 2 * MINUTE, "v-SUM", 1),
+        (2, "a", 0, "v-SUM", 29), (2, "a", 0, "v-MAX", 16), (2, "b", 0, "v-SUM", 2), (2, "b", 0, "v-MAX", 2),
+        (2, "c", 0, "v-SUM", 1), (2, "c", 0, "v-MAX", 1), (1, "a", 3 * MINUTE, "v-SUM", 32), (1, "d", 3 * MINUTE, "v-SUM", 1),
+        (2, "a", 3 * MINUTE, "v-SUM", 32), (2, "a", 3 * MINUTE, "v-MAX", 32), (2, "d", 3 * MINUTE, "v-SUM", 1),
+        (2, "d", 3 * MINUTE, "v-MAX", 1), (3, "a", 0, "v-COUNT", 1), (3, "d", 0, "v-COUNT", 1),
+    }
+
+
+def test_a_closing_batch_that_fails_after_writing_is_repeated(source, rules, monkeypatch):
+    from tallyloom.streaming import closing as module
+
+    closing, some, failed = Closing(source, compact_every=1), rules("1,t,active,k,v:sum,1"), []
+    written = module.write_versions
+
+    def fails_once(results, path, number):
+        written(results, path, number)
+        if number not in failed:
+            failed.append(number)
+            raise RuntimeError("after the results, before the mark")
+
+    monkeypatch.setattr(module, "write_versions", fails_once)
+    source.add(("t", "a", 1, 10), ("t", "a", 2, 2 * MINUTE))
+    source.add(("t", "a", 4, 20), ("t", "a", 8, 4 * MINUTE))
+    for _ in range(2):
+        with pytest.raises(Exception, match="before the mark"):
+            closing.run(some)
+    closing.run(some)
+    assert failed == [0, 1]
+    assert closing.results() == {(1, "a", 0, "v-SUM", 1), (1, "a", 2 * MINUTE, "v-SUM", 2)} and closing.late() == {(1, "a", 0, 1)}
