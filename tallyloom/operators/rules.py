@@ -76,9 +76,10 @@ def active(rules: DataFrame) -> DataFrame:
     return rules.filter(F.col("rule_state") == "ACTIVE")
 
 
-def export_rules(rules: DataFrame) -> DataFrame:
-    """Every rule as one JSON object that :func:`parse_rules` reads back."""
+def export_rules(rules: DataFrame, *more: str) -> DataFrame:
+    """Every rule as one JSON object that :func:`parse_rules` reads back; ``more`` columns are members too."""
     named = F.struct(
+        *more,
         F.col("rule_id").alias("ruleId"),
         F.col("table_name").alias("tableName"),
         F.col("rule_state").alias("ruleState"),
@@ -89,7 +90,7 @@ def export_rules(rules: DataFrame) -> DataFrame:
         F.col("window_minutes").alias("windowMinutes"),
         F.col("control_type").alias("controlType"),
     )
-    return rules.select("rule_id", F.to_json(named).alias("json"))
+    return rules.select("rule_id", *more, F.to_json(named).alias("json"))
 
 
 def flag_rules(keyed: DataFrame, rules: DataFrame) -> DataFrame:

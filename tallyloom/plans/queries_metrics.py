@@ -382,6 +382,57 @@ def lookback_sum(spark, sf_dir):
     )
 
 
+# powers of two, whose sums are exact as doubles in any order: beyond twenty digits, some of them far beyond
+_FAR, _FARTHEST = 2**90, 2.0**300
+_FAR_SQL = f"""{EV}, w AS (SELECT *, CASE WHEN event_id % 113 = 0 THEN {_FARTHEST!r}::DOUBLE WHEN event_id % 7 = 0 THEN {float(_FAR)!r}::DOUBLE
+  WHEN event_id % 11 = 0 THEN -{float(_FAR)!r}::DOUBLE END AS wide, CAST(round(value * 100) AS BIGINT) AS cents FROM ev),
+c AS (SELECT *, CASE WHEN wide IS NULL THEN cents END AS c FROM w)"""
+
+
+def _far_values(spark, sf_dir):
+    at = lambda n: F.col("event_id") % n == 0
+    text = (
+        F.when(at(113), F.lit(repr(_FARTHEST))).when(at(7), F.lit(str(_FAR))).when(at(11), F.lit(str(-_FAR)))
+        .otherwise(F.col("value").cast("string"))
+    )
+    return event_indicators(spark, sf_dir, value=text)
+
+
+_SUM_C = "CAST(coalesce(sum(c) OVER w, 0) AS BIGINT)"
+_LOW_C, _HIGH_C = "min(c) OVER w / 100::DOUBLE", "max(c) OVER w / 100::DOUBLE"
+
+
+@query(
+    "running_huge_values",
+    f"""WITH {_FAR_SQL}
+SELECT event_id, event_type AS table_name, ms - ms % 86400000 AS window_start_ms, count(*) OVER w AS n, count(wide) OVER w AS n_overflow,
+  {_SUM_C} / 100::DOUBLE + coalesce(sum(wide) OVER w, 0) AS total,
+  least({_LOW_C}, min(wide) OVER w) AS low, greatest({_HIGH_C}, max(wide) OVER w) AS high
+FROM c WINDOW w AS (PARTITION BY event_type, ms - ms % 86400000 ORDER BY ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+)
+def running_huge_values(spark, sf_dir):
+    """Running values over numbers beyond the decimal type: none is lost or read as 0."""
+    lines = [f"{i},{kind},active,,value:sum&value:min&value:max,1440" for i, kind in enumerate(TYPES)]
+    done = running_values(fork(_far_values(spark, sf_dir), rule_lines(spark, *lines)), "event_id")
+    figure = lambda name: F.coalesce(F.col(f"approx.{name}"), F.col(name).cast("double")).alias(name)
+    return done.select("event_id", "table_name", "window_start_ms", "n", "n_overflow", *map(figure, ("total", "low", "high")))
+
+
+@query(
+    "lookback_huge_values",
+    f"""WITH {_FAR_SQL}
+SELECT DISTINCT event_type AS table_name, ms AS event_ms, count(*) OVER w AS n, count(wide) OVER w AS n_overflow,
+  {_SUM_C} / 100::DOUBLE + coalesce(sum(wide) OVER w, 0) AS total
+FROM c WINDOW w AS (PARTITION BY event_type ORDER BY ms RANGE BETWEEN 43200000 PRECEDING AND CURRENT ROW)""",
+)
+def lookback_huge_values(spark, sf_dir):
+    """Half a day up to each event time, with numbers beyond the decimal type that come and go."""
+    lines = [f"{i},{kind},active,,value:sum,720" for i, kind in enumerate(TYPES)]
+    done = lookback_values(fork(_far_values(spark, sf_dir), rule_lines(spark, *lines)), wide=True)
+    total = F.coalesce("approx.total", F.col("total").cast("double")).alias("total")
+    return done.select("table_name", "event_ms", "n", "n_overflow", total)
+
+
 @query(
     "trigger_event",
     f"""WITH {EV}, ranked AS (SELECT *, ms - ms % 3600000 AS w, row_number() OVER (

@@ -15,7 +15,7 @@ from tallyloom.sources.json_rows import to_json_rows
 from tallyloom.sources.rules import changed_rows, parse_rules, rules_from_table, unusable, usable
 
 
-def _readable(rules):
+def readable(rules):
     """Rules in plain columns."""
     specs = F.transform("aggs", lambda a: F.concat(a["field"], F.lit(":"), a["func"]))
     return rules.select(
@@ -43,7 +43,7 @@ def rules_parse_plain(spark, sf_dir):
             F.lit("c_acctbal:sum&c_acctbal:Max&&c_acctbal:sum&nation:avg"), F.col("c_nationkey") + 1,
         ).alias("line")
     )
-    return _readable(usable(parse_rules(lines)))
+    return readable(usable(parse_rules(lines)))
 
 
 @query("rules_parse_json", _CUSTOMER_RULES)
@@ -58,7 +58,7 @@ def rules_parse_json(spark, sf_dir):
         (F.col("c_nationkey") + 1).alias("windowMinutes"),
         F.lit("ignored").alias("unique"),
     )
-    return _readable(usable(parse_rules(to_json_rows(rows, "line"))))
+    return readable(usable(parse_rules(to_json_rows(rows, "line"))))
 
 
 @query(
@@ -107,7 +107,7 @@ def rules_table_checks(spark, sf_dir):
     return checked.select("p_partkey", F.coalesce("error", no_keys).alias("outcome"))
 
 
-def _change_feed(spark, sf_dir):
+def change_feed(spark, sf_dir):
     """A change record per event: rule = user, what happens by event type."""
     kind = F.col("event_type")
     op = F.when(kind == "click", "c").when(kind == "signup", "d").otherwise("u")
@@ -128,30 +128,30 @@ _FEED = f"""{EV}, feed AS (SELECT event_id AS seq, CAST(user_id AS INTEGER) AS r
   'user_id' AS grouping_keys, 'value:SUM&k:MAX' AS aggs, CAST(k + 1 AS INTEGER) AS window_minutes
   FROM ev WHERE event_type <> 'signup')"""
 
-_FOLDED = f"""WITH {_FEED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY seq DESC) AS rn FROM feed)
+FOLDED_SQL = f"""WITH {_FEED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY seq DESC) AS rn FROM feed)
 SELECT rule_id, table_name, rule_state, grouping_keys, aggs, window_minutes FROM ranked
 WHERE rn = 1 AND rule_state <> 'DELETE'"""
 
 
 def _current_rules(spark, sf_dir):
-    return fold_changes(usable(rules_from_table(changed_rows(_change_feed(spark, sf_dir)))))
+    return fold_changes(usable(rules_from_table(changed_rows(change_feed(spark, sf_dir)))))
 
 
-@query("rules_fold_changes", _FOLDED)
+@query("rules_fold_changes", FOLDED_SQL)
 def rules_fold_changes(spark, sf_dir):
-    return _readable(_current_rules(spark, sf_dir))
+    return readable(_current_rules(spark, sf_dir))
 
 
-@query("rules_export", _FOLDED)
+@query("rules_export", FOLDED_SQL)
 def rules_export(spark, sf_dir):
     """The current rules written as JSON and read back."""
     exported = export_rules(_current_rules(spark, sf_dir)).select(F.col("json").alias("line"))
-    return _readable(usable(parse_rules(exported)))
+    return readable(usable(parse_rules(exported)))
 
 
 @query(
     "active_rules",
-    f"WITH folded AS ({_FOLDED}) SELECT count(*) AS rules, count(*) FILTER (rule_state = 'ACTIVE') AS active_rules FROM folded",
+    f"WITH folded AS ({FOLDED_SQL}) SELECT count(*) AS rules, count(*) FILTER (rule_state = 'ACTIVE') AS active_rules FROM folded",
 )
 def active_rules(spark, sf_dir):
     return rule_counts(_current_rules(spark, sf_dir))
@@ -159,7 +159,7 @@ def active_rules(spark, sf_dir):
 
 def _commands(spark, sf_dir, command):
     """Change records with commands among them, every so often in the first two fifths of the events."""
-    feed = usable(rules_from_table(changed_rows(_change_feed(spark, sf_dir))))
+    feed = usable(rules_from_table(changed_rows(change_feed(spark, sf_dir))))
     seen = events(spark, sf_dir)
     cut = seen.agg(F.call_function("div", F.max("event_id") * 2, F.lit(5))).scalar()
     at = seen.filter((F.col("event_id") <= cut) & ((F.col("event_id") == cut) | (F.col("event_id") % 97 == 0))).select("event_id")
@@ -185,7 +185,7 @@ SELECT rule_id, table_name, rule_state, grouping_keys, aggs, window_minutes FROM
 WHERE rn = 1 AND rule_state <> 'DELETE'""",
 )
 def rules_delete_all(spark, sf_dir):
-    return _readable(fold_changes(_commands(spark, sf_dir, "DELETE_RULES_ALL")))
+    return readable(fold_changes(_commands(spark, sf_dir, "DELETE_RULES_ALL")))
 
 
 _KINDS = ["click", "view", "error", "purchase", "signup"]
@@ -209,7 +209,7 @@ def state_clear_all(spark, sf_dir):
 
 @query(
     "rows_of_missing_rules",
-    f"""WITH folded AS ({_FOLDED})
+    f"""WITH folded AS ({FOLDED_SQL})
 SELECT event_id, CAST(user_id AS INTEGER) AS rule_id,
   CASE WHEN user_id IN (SELECT rule_id FROM folded) THEN 'kept' ELSE 'dropped' END AS outcome FROM events""",
 )
@@ -297,8 +297,7 @@ def _during(kind, low=None, high=None):
     return f"event_type = '{kind}'{since}{until}"
 
 
-@query(
-    "asof_rules",
+ASOF_SQL = (
     f"WITH {EV} "
     + " UNION ALL ".join(
         [
@@ -311,16 +310,23 @@ def _during(kind, low=None, high=None):
             sql_rule(5, "purchase", ["k"], [("value", "SUM")], 1440, _during("purchase")),
             sql_rule(6, "signup", ["user_id"], [("value", "COUNT")], 60, _during("signup", 6, 9)),
         ]
-    ),
+    )
 )
-def asof_rules(spark, sf_dir):
-    """All events against rules that change on the way: a pause, edits, a delete, late starts."""
-    seen = event_indicators(spark, sf_dir).withColumn("seq", F.col("event_id"))
+
+
+def rule_changes(spark, seen):
+    """The changes of the list above at tenths of the events, each with its ``seq``."""
     events_seen = seen.agg(F.max("seq") + 1).scalar()
     lines = spark.createDataFrame(_CHANGES, "tenth int, line string")
     lines = lines.select(
         F.when(F.col("tenth") < 0, F.lit(-1)).otherwise(F.call_function("div", events_seen * F.col("tenth"), F.lit(10))).alias("seq"),
         "line",
     )
-    changes = usable(parse_rules(lines)).drop("line")
-    return flat(replay(seen, changes))
+    return usable(parse_rules(lines)).drop("line")
+
+
+@query("asof_rules", ASOF_SQL)
+def asof_rules(spark, sf_dir):
+    """All events against rules that change on the way: a pause, edits, a delete, late starts."""
+    seen = event_indicators(spark, sf_dir).withColumn("seq", F.col("event_id"))
+    return flat(replay(seen, rule_changes(spark, seen)))

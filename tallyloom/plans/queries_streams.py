@@ -7,10 +7,13 @@ from tallyloom.operators.documents import compact_parts, live_results
 from tallyloom.operators.fork import fork
 from tallyloom.operators.aggregate import partials
 from tallyloom.operators.lookup import widen
+from tallyloom.operators.rules import export_rules
 from tallyloom.plans.catalogue import EV, event_indicators, events, flat, query, rule_lines, sql_rule, table
 from tallyloom.plans.queries_metrics import KEYED_SQL, MULTI_RULES, RUNNING_SQL
+from tallyloom.plans.queries_rules import ASOF_SQL, FOLDED_SQL, change_feed, rule_changes, readable
 from tallyloom.session import scratch_folder
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
+from tallyloom.streaming.change_feed import asof_partials, live_changes, maintain_rules, stream_changes
 from tallyloom.streaming.closing import closed_results, late_rows, start_closing
 from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension
 from tallyloom.streaming.job import closing_partials, heartbeat, start, update_partials
@@ -406,3 +409,44 @@ def stream_recovery(spark, sf_dir):
                 raise
         _run(update_partials(stream, rules, None), folder, side_output=fault)
     return flat(live_results(spark, f"{folder}/results"))
+
+
+@query("stream_change_feed", FOLDED_SQL)
+def stream_change_feed(spark, sf_dir):
+    """The change feed as a live source: two runs over a folder of change files fold to the same rules."""
+    folder = scratch_folder(spark)
+    feed = change_feed(spark, sf_dir)
+    changes = lambda: stream_changes(spark, f"{folder}/changes")
+    # the newer changes come first: the larger seq holds, not the later file
+    for piece in ("seq % 3 = 2", "seq % 3 < 2"):
+        feed.filter(piece).write.mode("append").json(f"{folder}/changes")
+        maintain_rules(changes(), folder, f"{folder}/checkpoint").awaitTermination()
+    return readable(live_rules(spark, f"{folder}/rules", max_rows=None, max_bytes=None))
+
+
+@query("stream_asof_rules", ASOF_SQL)
+def stream_asof_rules(spark, sf_dir):
+    """Rules that change on the way, at the same places as in ``asof_rules``, over two micro-batches with edits inside each."""
+    half = event_indicators(spark, sf_dir).agg(F.max("event_id") + 1).first()[0] // 2
+    folder, stream, put = _staged(spark, sf_dir, [f"event_id < {half}", f"event_id >= {half}"])
+    changes = rule_changes(spark, event_indicators(spark, sf_dir).withColumn("seq", F.col("event_id")))
+    exported = export_rules(changes, "seq")
+
+    def publish(name, condition):
+        exported.filter(condition).select("json").coalesce(1).write.text(f"{folder}/changes/{name}")
+
+    parts = asof_partials(
+        stream.withColumn("seq", F.col("event_id")), live_changes(spark, f"{folder}/changes"), None, small_rules=True
+    )
+    # a newer version of the folder has the lines of the one before it too: changes are only added
+    publish("version=1", f"seq < {half}")
+    put[0]()
+    running = start(parts, f"{folder}/results", f"{folder}/checkpoint", trigger={"processingTime": "0 seconds"})
+    try:
+        running.processAllAvailable()
+        publish("version=2", "true")
+        put[1]()
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return flat(live_results(spark, f"{folder}/results"))

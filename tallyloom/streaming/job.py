@@ -20,7 +20,8 @@ from tallyloom.operators.rules import active
 # time for which state is kept
 DELAY = "500 milliseconds"
 ALLOWED_LATENESS = "1 day"
-_DAY_MINUTES = 24 * 60
+# the length of the parts in which a stream keeps its groups
+DAY = f"{24 * 60} minutes"
 
 SideOutput = Callable[[DataFrame, int], None]
 
@@ -46,7 +47,7 @@ def update_partials(
     """
     if allowed_lateness is None:
         return partials(fork(events, rules, small_rules))
-    day = F.window("event_time", f"{_DAY_MINUTES} minutes")
+    day = F.window("event_time", DAY)
     return partials(fork(events.withWatermark("event_time", allowed_lateness), rules, small_rules), evict_by=day)
 
 

@@ -325,3 +325,21 @@ def test_versions_merge_and_compact(spark, events, rules, tmp_path):
 def test_thresholds(spark, op, want):
     frame = spark.range(1, 4).select(passes(F.col("id"), F.lit(op), F.lit(2)).alias("p"))
     assert [r.p for r in frame.collect()] == want
+
+
+def test_running_and_lookback_values_beyond_the_decimal_type(events, rules):
+    """A huge number counts while it is in the window and leaves no trace after it."""
+    values = [(1, "1e300"), (2, "5"), (60_002, "3e25"), (60_003, "-7"), (120_003, "2"), (120_003, "x"), (200_000, "4")]
+    forked = fork(events(*[(i, "t", ms, {"v": v, "k": "a"}) for i, (ms, v) in enumerate(values)]), rules("1,t,active,k,v:sum,1"))
+    got = {r.event_ms: r for r in lookback_values(forked, wide=True).collect()}
+    assert {ms: r.n_overflow for ms, r in got.items()} == {1: 1, 2: 1, 60_002: 1, 60_003: 1, 120_003: 0, 200_000: 0}
+    assert [got[ms].approx.total for ms in (1, 2, 60_002, 60_003)] == [1e300, 1e300, 3e25, 3e25]
+    assert got[60_002].n == 2 and got[120_003].n == 3 and got[120_003].approx is None
+    assert [float(got[ms].total) for ms in (120_003, 200_000)] == [-5, 4] and got[1].total is None
+    assert float(got[60_003].total) == 3e25
+    plain = {r.event_ms: (r.total, r.n_overflow) for r in lookback_values(forked).collect()}
+    assert plain[60_002] == (None, 1) and float(plain[120_003][0]) == -5
+    rows = fork(events(*[(i, "t", 10 + i, {"v": v, "k": "a"}) for i, v in enumerate(["2", "-1e40", "3", "1e30"])]), rules("1,t,active,k,v:sum,1"))
+    done = sorted(running_values(rows, "event_id").collect(), key=lambda r: r.event_id)
+    assert [r.n_overflow for r in done] == [0, 1, 1, 2] and float(done[0].low) == 2 and done[0].approx is None
+    assert done[3].approx.low == -1e40 and done[3].approx.high == 1e30 and done[2].approx.high == 3

@@ -1,5 +1,6 @@
 """Streams: late events, closing windows, ending state, live rules, recovery, side outputs."""
 
+import json
 import os
 import time
 
@@ -13,6 +14,7 @@ from tallyloom.operators.health import with_latency
 from tallyloom.operators.lookup import widen
 from tallyloom.plans.evaluate import evaluate
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
+from tallyloom.streaming.change_feed import asof_partials, live_changes, maintain_rules, stream_changes
 from tallyloom.streaming.closing import closed_results, late_rows, start_closing
 from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension, seen_versions
 from tallyloom.streaming.job import (
@@ -353,3 +355,42 @@ def test_a_closing_batch_that_fails_after_writing_is_repeated(source, rules, mon
     closing.run(some)
     assert failed == [0, 1]
     assert closing.results() == {(1, "a", 0, "v-SUM", 1), (1, "a", 2 * MINUTE, "v-SUM", 2)} and closing.late() == {(1, "a", 0, 1)}
+
+
+def test_changes_are_folded_once_across_restarts(spark, tmp_path):
+    folder, path = tmp_path / "changes", str(tmp_path / "kept")
+    folder.mkdir()
+    row = lambda i, state, agg="v:sum": {"id": i, "table_name": "t", "rule_state": state, "grouping_key_names": "k", "agg_fields": agg, "window_minutes": 1}
+
+    def add(name, *records):
+        (folder / f"{name}.json").write_text("\n".join(json.dumps({"seq": s, "op": o, "after": a}) for s, o, a in records) + "\n")
+
+    def run():
+        maintain_rules(stream_changes(spark, str(folder), files_per_batch=1), path, str(tmp_path / "checkpoint")).awaitTermination()
+        return {(r.rule_id, r.rule_state, r.aggs[0].func) for r in live_rules(spark, f"{path}/rules").collect()}
+
+    add("1", (1, "c", row(1, "active")), (2, "c", row(2, "active")), (3, "u", row(1, "pause")), (4, "c", row(9, "asleep")))
+    assert run() == {(1, "PAUSE", "SUM"), (2, "ACTIVE", "SUM")}
+    add("2", (6, "u", row(2, "delete")), (8, "u", row(1, "active", "v:max")))
+    add("3", (5, "u", row(2, "active")), (7, "d", row(1, "delete")))  # older than what is known; a physical delete
+    assert run() == {(1, "ACTIVE", "MAX")}
+    assert run() == {(1, "ACTIVE", "MAX")}  # nothing new
+    command = {"rule_state": "control", "control_type": "DELETE_RULES_ALL"}
+    add("4", (10, "c", command), (11, "c", row(3, "active")))
+    add("5", (9, "c", row(4, "active")))  # voided by the command, though it comes after it
+    assert run() == {(3, "ACTIVE", "SUM")}
+
+
+def test_one_batch_on_both_sides_of_an_edit(spark, source, tmp_path):
+    folder = tmp_path / "edits"
+    folder.mkdir()
+    rule = lambda seq, func, state="ACTIVE": json.dumps(
+        {"seq": seq, "ruleId": 1, "tableName": "t", "ruleState": state, "groupingKeyNames": ["k"], "aggFields": [{"f0": "v", "f1": func}], "windowMinutes": 1}
+    )
+    (folder / "1.txt").write_text(rule(3, "MAX") + "\n" + rule(0, "SUM") + "\nnonsense\n" + rule(6, "SUM", "PAUSE") + "\n")
+    for k in range(8):
+        source.add(("t", "a", 2**k, k))
+    stream = indicators_from_lines(stream_lines(spark, str(tmp_path / "in"))).withColumn("seq", F.col("event_ms"))
+    source.run(asof_partials(stream, live_changes(spark, str(folder)), small_rules=True))
+    got = source.results()
+    assert got == {(1, ("a",), 0, "v-SUM"): 63, (1, ("a",), 0, "v-MAX"): 32}
