@@ -79,6 +79,7 @@ PARTS = T.StructType(
         T.StructField("wide_high", T.DoubleType()),
         T.StructField("running", T.BooleanType()),
         T.StructField("part", T.LongType()),
+        T.StructField("epoch", T.LongType()),
     ]
 )
 

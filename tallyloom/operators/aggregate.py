@@ -65,15 +65,18 @@ def partials(
     ``evict_by`` is a time window in whose parts the groups are kept, which a stream needs to let go of old
     state. ``part`` then says which part of its group a row is (:func:`whole` puts them together);
     ``running`` marks totals without a window in their key. ``mark``, a number made of the rule's
-    and the window's columns, keeps a group in parts likewise, and is what ``part`` says then.
+    and the window's columns, keeps a group in parts likewise, and is what ``part`` says then. If the rules
+    have an ``epoch``, groups of different epochs are kept apart: raising it clears all state.
     """
-    rows = measured(forked, *([] if evict_by is None else ["event_time"]), fields=fields)
+    epoch = ["epoch"] if "epoch" in forked.columns else []
+    rows = measured(forked, *epoch, *([] if evict_by is None else ["event_time"]), fields=fields)
     running = (F.size("grouping_keys") == 0) if keyless == "running" else F.lit(False)
     keys = [
         *GROUP,
         F.when(~running, F.col("window_start_ms")).alias("_start"),
         F.when(~running, F.col("window_end_ms")).alias("_end"),
         "field",
+        *epoch,
     ]
     kept = mark if evict_by is None else evict_by
     if kept is not None:
@@ -85,7 +88,8 @@ def partials(
     )
     part = F.lit(None).cast("bigint") if kept is None else F.col("_kept") if evict_by is None else F.unix_millis("_kept.start")
     return done.select(
-        *GROUP, *WINDOW, "field", *_MEASURES, F.col("_start").isNull().alias("running"), part.alias("part")
+        *GROUP, *WINDOW, "field", *_MEASURES, F.col("_start").isNull().alias("running"), part.alias("part"),
+        F.col("epoch") if epoch else F.lit(0).cast("bigint").alias("epoch"),
     )
 
 

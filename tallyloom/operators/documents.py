@@ -188,16 +188,25 @@ def live_parts(spark: SparkSession, path: str, until: int | None = None) -> Data
         last = kept.agg(F.max("version")).first()[0]
         if last is not None:  # versions are made of folder names only: other folders are not read
             versions = kept.filter(F.col("version") == last).unionByName(versions.filter(F.col("version") > last))
-    key = ["rule_id", "table_name", "grouping_keys", "grouping_values", "field", "running", "part"]
+    # files of tables that knew no epochs have none
+    versions = versions.withColumn("epoch", F.coalesce("epoch", F.lit(0).cast("bigint")))
+    key = ["rule_id", "table_name", "grouping_keys", "grouping_values", "field", "running", "part", "epoch"]
     window = [F.when(~F.col("running"), F.col(c)).alias(f"_{c}") for c in ("window_start_ms", "window_end_ms")]
     rest = [f.name for f in PARTS.fields if f.name not in key]
     done = versions.groupBy(*key, *window).agg(*[F.max_by(c, "version").alias(c) for c in rest])
     return done.select(*PARTS.names)
 
 
-def live_results(spark: SparkSession, path: str) -> DataFrame:
-    """What a stream has computed so far, as long results: parts of a group added up."""
-    return finish(whole(live_parts(spark, path)))
+def live_results(spark: SparkSession, path: str, epoch: int | None = None) -> DataFrame:
+    """What a stream has computed so far, as long results: parts of a group added up.
+
+    Of tables whose state has been cleared, only what came after counts: the latest epoch in the table, or the
+    one given, which is later if no event has come since the command.
+    """
+    parts = live_parts(spark, path)
+    if epoch is None:
+        epoch = _read_parts(spark, path, "batches").agg(F.coalesce(F.max("epoch"), F.lit(0))).scalar()
+    return finish(whole(parts.filter(F.col("epoch") == epoch)))
 
 
 def compact_parts(spark: SparkSession, path: str) -> None:

@@ -54,12 +54,15 @@ def fork(
     condition on both sides, ``more`` further rule columns it needs.
 
     Rules are rows here, never part of the plan: whatever they say, the plan is one
-    hash join on the table name. (If that is one constant for all events, Spark filters
+    hash join on the table name. An ``epoch`` of the rules comes along (see
+    :func:`tallyloom.operators.rules.with_epoch`). (If that is one constant for all events, Spark filters
     the rules by it first and has no key left to hash; the pairs are the same.) The rules side is broadcast after a check of its
     size. With ``small_rules`` the caller answers for the size instead; on a stream, which
     is checked once at its start, that is the way for rules that may grow (False), or
     whose source keeps to a bound by itself (True).
     """
+    if "epoch" in rules.columns:
+        more = (*more, "epoch")
     side = matcher(rules, *more)
     max_keys = None
     if small_rules is None:

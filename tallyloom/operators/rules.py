@@ -69,7 +69,18 @@ def current_rules(changes: DataFrame) -> DataFrame:
     is_command = (F.col("rule_state") == "CONTROL") & (F.col("control_type") == "DELETE_RULES_ALL")
     cut = F.max(F.when(is_command, F.col("seq"))).over(Window.partitionBy(F.lit(0)))
     live = changes.withColumn("_cut", cut).filter(F.col("_cut").isNull() | (F.col("seq") > F.col("_cut")))
-    return last_per_id(live.filter(F.col("rule_state") != "CONTROL")).filter(F.col("rule_state") != "DELETE")
+    more = ["epoch"] if "epoch" in changes.columns else []
+    return last_per_id(live.filter(F.col("rule_state") != "CONTROL"), *more).filter(F.col("rule_state") != "DELETE")
+
+
+def with_epoch(changes: DataFrame) -> DataFrame:
+    """Changes with ``epoch``: how many ``CLEAR_STATE_ALL`` commands there are among them.
+
+    One number for all rows; aggregates of an earlier epoch no longer count. As in
+    :func:`current_rules`, all changes meet in one task, so it is for sources that hold to a bound.
+    """
+    clears = (F.col("rule_state") == "CONTROL") & (F.col("control_type") == "CLEAR_STATE_ALL")
+    return changes.withColumn("epoch", F.count_if(F.coalesce(clears, F.lit(False))).over(Window.partitionBy(F.lit(0))))
 
 
 def active(rules: DataFrame) -> DataFrame:

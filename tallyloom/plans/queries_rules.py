@@ -198,13 +198,15 @@ _CLEARED = " UNION ALL ".join(
 )
 
 
-@query("state_clear_all", f"WITH {EV} {_CLEARED}")
+CLEARED_SQL = f"WITH {EV} {_CLEARED}"
+CLEARED_RULES = [f"{i},{kind},active,user_id,value:sum&value:count,60" for i, kind in enumerate(_KINDS)]
+
+
+@query("state_clear_all", CLEARED_SQL)
 def state_clear_all(spark, sf_dir):
     changes = _commands(spark, sf_dir, "CLEAR_STATE_ALL")
     seen = event_indicators(spark, sf_dir).withColumn("seq", F.col("event_id"))
-    lines = [f"{i},{kind},active,user_id,value:sum&value:count,60" for i, kind in enumerate(_KINDS)]
-    rules = rule_lines(spark, *lines)
-    return flat(finish(partials(fork(clear_state(seen, changes), rules))))
+    return flat(finish(partials(fork(clear_state(seen, changes), rule_lines(spark, *CLEARED_RULES)))))
 
 
 @query(

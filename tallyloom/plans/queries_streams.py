@@ -10,7 +10,7 @@ from tallyloom.operators.lookup import widen
 from tallyloom.operators.rules import export_rules
 from tallyloom.plans.catalogue import EV, event_indicators, events, flat, query, rule_lines, sql_rule, table
 from tallyloom.plans.queries_metrics import KEYED_SQL, MULTI_RULES, RUNNING_SQL
-from tallyloom.plans.queries_rules import ASOF_SQL, FOLDED_SQL, change_feed, rule_changes, readable
+from tallyloom.plans.queries_rules import ASOF_SQL, CLEARED_SQL, CLEARED_RULES, FOLDED_SQL, change_feed, rule_changes, readable
 from tallyloom.session import scratch_folder
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
 from tallyloom.streaming.change_feed import asof_partials, live_changes, maintain_rules, stream_changes
@@ -450,3 +450,26 @@ def stream_asof_rules(spark, sf_dir):
     finally:
         running.stop()
     return flat(live_results(spark, f"{folder}/results"))
+
+
+@query("stream_clear_state", CLEARED_SQL)
+def stream_clear_state(spark, sf_dir):
+    """A command clears all state while the stream runs: the results are those of the events after it."""
+    cut = event_indicators(spark, sf_dir).agg(F.max("event_id")).first()[0] * 2 // 5
+    folder, stream, put = _staged(spark, sf_dir, [f"event_id <= {cut}", f"event_id > {cut}"])
+
+    def publish(name, *lines):
+        spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1).write.text(f"{folder}/rules/{name}")
+
+    publish("version=1", *CLEARED_RULES)
+    put[0]()
+    parts = update_partials(stream, live_rules(spark, f"{folder}/rules"), small_rules=True)
+    running = start(parts, f"{folder}/results", f"{folder}/checkpoint", trigger={"processingTime": "0 seconds"})
+    try:
+        running.processAllAvailable()
+        publish("version=2", *CLEARED_RULES, '{"ruleState": "CONTROL", "controlType": "CLEAR_STATE_ALL"}')
+        put[1]()
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return flat(live_results(spark, f"{folder}/results"))

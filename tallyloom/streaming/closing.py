@@ -81,14 +81,15 @@ def start_closing(
     nothing and are listed by :func:`late_rows`. Rules are read anew in every micro-batch if their source is
     (:func:`tallyloom.streaming.rule_feed.live_rules`): a rule with a window length that the stream never
     had joins like any other, and an edit goes on with the totals of the windows that are open. Rules
-    without keys have a running total, which never closes: they are left out here.
+    without keys have a running total, which never closes: they are left out here. Commands that clear
+    the state are for update mode.
 
     Only aggregates are kept, one row per group, window, field and micro-batch; every ``compact_every``
     micro-batches those of windows that are open are added up into one folder. Folders of
     ``open`` before the last compaction are not read again, except by :func:`late_rows`.
     """
     spark = events.sparkSession
-    keyed = rules.filter(F.size("grouping_keys") > 0)
+    keyed = rules.filter(F.size("grouping_keys") > 0).drop("epoch")
 
     def write(batch: DataFrame, number: int) -> None:
         before = watermark(spark, path, number - 1)
@@ -105,7 +106,7 @@ def start_closing(
         mark.coalesce(1).write.mode("overwrite").parquet(f"{path}/marks/batch={number}")
         if (number + 1) % compact_every == 0:
             still = merge(_between(parts, now, None))
-            columns = {"running": F.lit(False), "part": F.lit(0).cast("bigint")}
+            columns = {"running": F.lit(False), "part": F.lit(0).cast("bigint"), "epoch": F.lit(0).cast("bigint")}
             _write_open(still.withColumns(columns).select(*PARTS.names), f"{path}/compacted/batch={number}")
 
     writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -10,11 +10,11 @@ import time
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tallyloom.operators.bounded import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
-from tallyloom.operators.rules import current_rules
+from tallyloom.operators.rules import current_rules, with_epoch
 from tallyloom.sources.rules import parse_rules, usable
 
 FORMAT = "rule_lines"
@@ -125,10 +125,21 @@ def live_rules(
     The reader holds to its bounds at every read, so the rules may safely be broadcast
     while a stream runs. A set beyond them stops the stream; with ``None`` there is no
     bound, and the stream has to join with ``small_rules=False``.
+
+    A ``CLEAR_STATE_ALL`` command clears the state of a running stream: rules carry the number of such commands
+    as their ``epoch``, which is part of every group's key, and readers of the results take the latest epoch. Whoever
+    replaces the whole set keeps the commands in it.
     """
     spark.dataSource.register(RuleFolder)
     reader = spark.read.format(FORMAT).option("path", path).option("patience", patience)
     for name, limit in (("maxRows", max_rows), ("maxBytes", max_bytes)):
         if limit is not None:
             reader = reader.option(name, limit)
-    return current_rules(usable(parse_rules(reader.load())).drop("line"))
+    return current_rules(with_epoch(usable(parse_rules(reader.load())).drop("line")))
+
+
+def current_epoch(spark: SparkSession, path: str) -> int:
+    """How many times the state has been cleared by commands in the folder of rules, so far."""
+    spark.dataSource.register(RuleFolder)
+    lines = spark.read.format(FORMAT).option("path", path).load()
+    return with_epoch(usable(parse_rules(lines)).drop("line")).agg(F.coalesce(F.max("epoch"), F.lit(0))).first()[0]

@@ -20,7 +20,7 @@ from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension
 from tallyloom.streaming.job import (
     closing_partials, heartbeat, observed, start, update_partials, window_lengths,
 )
-from tallyloom.streaming.rule_feed import live_rules
+from tallyloom.streaming.rule_feed import current_epoch, live_rules
 
 MINUTE = 60_000
 DAY = 24 * 60 * MINUTE
@@ -394,3 +394,30 @@ def test_one_batch_on_both_sides_of_an_edit(spark, source, tmp_path):
     source.run(asof_partials(stream, live_changes(spark, str(folder)), small_rules=True))
     got = source.results()
     assert got == {(1, ("a",), 0, "v-SUM"): 63, (1, ("a",), 0, "v-MAX"): 32}
+
+
+def test_a_command_clears_the_state_of_a_running_stream(source, spark, tmp_path):
+    folder, path = tmp_path / "rules", str(source.root / "out")
+    folder.mkdir()
+    (folder / "1.txt").write_text("1,t,active,k,v:sum,1\n2,t,active,,v:sum,1\n")
+    parts = update_partials(source.stream(), live_rules(spark, str(folder)), small_rules=True)
+    running = start(parts, path, str(source.root / "checkpoint"), trigger={"processingTime": "0 seconds"})
+    command = '{"ruleState": "CONTROL", "controlType": "CLEAR_STATE_ALL"}\n'
+    try:
+        source.add(("t", "a", 1, 10), ("t", "b", 2, 10))
+        running.processAllAvailable()
+        assert len(source.results()) == 3 and current_epoch(spark, str(folder)) == 0
+        (folder / "2.txt").write_text(command)
+        assert live_results(spark, path, current_epoch(spark, str(folder))).count() == 0
+        source.add(("t", "a", 4, 20))
+        running.processAllAvailable()
+        assert source.results() == {(1, ("a",), 0, "v-SUM"): 4, (2, (), 0, "v-SUM"): 4}
+        compact_parts(spark, path)
+        assert source.results() == {(1, ("a",), 0, "v-SUM"): 4, (2, (), 0, "v-SUM"): 4}
+        (folder / "3.txt").write_text(command)
+        source.add(("t", "c", 8, 30))
+        source.add(("t", "c", 8, 40))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert source.results() == {(1, ("c",), 0, "v-SUM"): 16, (2, (), 0, "v-SUM"): 16}
