@@ -4,7 +4,9 @@ Every function works on UTF-8 bytes of one piece of an Arrow batch. A piece hold
 whole documents, about a megabyte of them, or one longer document.
 """
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,24 @@ LOWER[65:91] += 32
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def tidy(run: Callable) -> Callable:
+    """A function over batches that hands memory back at its end: Spark keeps Python workers for later tasks."""
+
+    @wraps(run)
+    def and_release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if _TRIM is not None:
+                _TRIM(0)
+
+    return and_release
+
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -1,10 +1,13 @@
 """Near duplicates by an n-gram Jaccard self-join, as a blocked sparse matrix product.
 
 Rows of the matrix are sets of word n-grams (one row per different set, so exact copies never
-meet), columns are n-grams, blocks are ranges of n-gram hashes. Only the columns of a row's prefix
-enter: with columns in one fixed order, frequent ones last, two similar sets share columns among
-their first ones. The product adds up how many of them two rows share; pairs that cannot
-reach the wanted overlap by their sizes are dropped, the rest is compared exactly.
+meet), columns are n-grams, blocks are ranges of n-gram hashes. First, over a sample of the columns
+that is a function of the n-gram alone, every block counts in how many rows each column is: a row with
+so many columns of its own that no other row can share enough of the rest is left out for good. Of
+the rows that stay, only the columns of a prefix enter the product: with columns in one fixed order,
+frequent ones last, two similar sets share columns among their first ones. The product adds up
+how many of them two rows share; pairs that cannot reach the wanted overlap by their sizes are dropped, the rest is
+compared exactly.
 """
 
 from collections.abc import Iterator
@@ -13,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, distinct_pairs, mix, pieces, runs, windows
+from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, distinct_pairs, mix, pieces, runs, tidy, windows
 from tallyloom.llm.graph import components
 from tallyloom.session import materialise
 
@@ -45,42 +48,159 @@ def signatures(docs: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray
     return sizes, mix(total[ends] - total[ends - sizes] + sizes.astype(np.uint64))
 
 
-def _survey(size: int, least: int):
-    """Rows (hot, doc_id, n, node): one per document, and n-grams that many different sets of a batch hold."""
+def _survey(size: int):
+    """Rows (doc_id, copy, n, sampled, node): size of each document's set, of its sampled columns, and its signature."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, grams = np.zeros(0, np.uint64), []
-            for row, data, offsets in pieces(batch.column(1)):
-                n = len(offsets) - 1
+            for row, data, offsets in pieces(batch.column(2)):
+                count = len(offsets) - 1
                 docs, hashes = sets(data, offsets, size)
-                sizes, nodes = signatures(docs, hashes, n)
-                _, first = np.unique(nodes, return_index=True)
-                new = np.zeros(n, dtype=bool)
-                new[first] = True
-                new &= ~np.isin(nodes, seen)
-                seen = np.concatenate((seen, nodes[new]))
-                grams.append(hashes[new[docs]])
+                sizes, nodes = signatures(docs, hashes, count)
+                sampled = np.bincount(docs[_in_sample(hashes)], minlength=count).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.zeros(n, dtype=bool)),
-                        batch.column(0).slice(row, n),
-                        pa.array(sizes),
-                        pa.array(nodes.view(np.int64)),
+                        *(c.slice(row, count) for c in batch.columns[:2]),
+                        pa.array(sizes), pa.array(sampled), pa.array(nodes.view(np.int64)),
                     ],
-                    names=["hot", "doc_id", "n", "node"],
+                    names=["doc_id", "copy", "n", "sampled", "node"],
                 )
-            values, counts = np.unique(np.concatenate(grams), return_counts=True) if grams else ([], [])
-            values, counts = np.asarray(values, np.uint64), np.asarray(counts, np.int64)
+
+    return run
+
+
+def _in_sample(hashes: np.ndarray) -> np.ndarray:
+    """Every other column, by its hash."""
+    return hashes & np.uint64(1) == 0
+
+
+_SAMPLE = "block long, low binary, high binary, node binary, nodes binary"
+
+
+def _samples(size: int, blocks: int):
+    """Sampled columns of every different set of the partition, cut into tiles by n-gram hash.
+
+    A column is told apart by 48 bits and its block; a tile lists its rows once and points at them.
+    """
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.uint64)
+        for batch in batches:
+            held = []
+            for _, data, offsets in pieces(batch.column(0)):
+                count = len(offsets) - 1
+                docs, hashes = sets(data, offsets, size)
+                sizes, nodes = signatures(docs, hashes, count)
+                new = np.zeros(count, dtype=bool)
+                new[np.unique(nodes, return_index=True)[1]] = True
+                new &= (sizes > 0) & ~np.isin(nodes, seen)
+                seen = np.union1d(seen, nodes[new])
+                wanted = new[docs] & _in_sample(hashes)
+                held.append((hashes[wanted], nodes[docs[wanted]]))
+            if not held:
+                continue
+            h, node = (np.concatenate(x) for x in zip(*held))
+            block = ((h >> np.uint64(1)) % np.uint64(blocks)).astype(np.int64)
+            order = np.lexsort((node, block))
+            block, h, node = block[order], mix(h[order]), node[order]
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)])) if len(block) else [0]
+            rows = []
+            for a, b in zip(cuts, cuts[1:]):
+                new = np.concatenate(([True], node[a + 1 : b] != node[a : b - 1]))
+                place = np.cumsum(new) - 1
+                rows.append(
+                    (
+                        int(block[a]), h[a:b].astype("<u4").tobytes(), (h[a:b] >> np.uint64(32)).astype("<u2").tobytes(),
+                        place.astype("<u2" if place[-1] < 1 << 16 else "<u4").tobytes(), node[a:b][new].tobytes(),
+                    )
+                )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 5))],
+                names=["block", "low", "high", "node", "nodes"],
+            )
+
+    return run
+
+
+_SHARED = "bucket long, nodes binary, shared binary"
+
+
+def _shared_counts(buckets: int):
+    """How many columns of a block each row has in common with another row, packed by buckets of rows."""
+
+    def run(tiles: pa.Table) -> pa.Table:
+        columns, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        for low, high, place, nodes in zip(*(tiles.column(c).to_pylist() for c in ("low", "high", "node", "nodes"))):
+            low = np.frombuffer(low, "<u4")
+            columns.append(low.astype(np.uint64) | (np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32)))
+            place = np.frombuffer(place, f"<u{len(place) // len(low)}")
+            rows.append(np.frombuffer(nodes, np.uint64)[place])
+        column, row = np.concatenate(columns), np.concatenate(rows)
+        order = np.lexsort((row, column))
+        column, row = column[order], row[order]
+        new = np.ones(len(column), dtype=bool)  # tasks that hold copies of one set send it each
+        new[1:] = (column[1:] != column[:-1]) | (row[1:] != row[:-1])
+        column, row = column[new], row[new]
+        same = column[1:] == column[:-1]
+        shared = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+        nodes, counts = np.unique(row[shared[: len(row)]], return_counts=True)
+        return _by_bucket(nodes, counts, buckets)
+
+    return run
+
+
+def _by_bucket(nodes: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
+    bucket = (mix(nodes) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, nodes, counts = bucket[order], nodes[order], counts[order].astype("<u4")
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])) if len(bucket) else np.zeros(1, int)
+    return pa.table(
+        {
+            "bucket": pa.array(bucket[cuts[:-1]], pa.int64()),
+            "nodes": pa.array([nodes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            "shared": pa.array([counts[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        }
+    )
+
+
+def _add_up(parts: pa.Table) -> pa.Table:
+    """Shared columns of the rows of one bucket over all blocks."""
+    nodes = np.frombuffer(b"".join(parts.column("nodes").to_pylist()), np.uint64)
+    counts = np.frombuffer(b"".join(parts.column("shared").to_pylist()), "<u4")
+    nodes, place = np.unique(nodes, return_inverse=True)
+    total = np.bincount(place, weights=counts, minlength=len(nodes)).astype(np.int64)
+    return pa.table({"node": nodes.view(np.int64), "shared": total})
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[pa.Array]:
+    """The packed texts of a batch, some at a time."""
+    codec = pa.Codec(_ZSTD)
+    z, sizes = batch.column("z"), batch.column("z_len").to_pylist()
+    at = 0
+    while at < batch.num_rows:
+        texts, held = [], 0
+        while at < batch.num_rows and held < 4 << 20:
+            texts.append(codec.decompress(z[at].as_py(), decompressed_size=sizes[at], asbytes=True) if sizes[at] else b"")
+            held += sizes[at]
+            at += 1
+        yield pa.array(texts, pa.large_binary())
+
+
+def _frequent(size: int, least: int):
+    """N-grams that many of the rows of a batch hold, with their counts there."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.zeros(0, np.uint64)]
+            for texts in _texts(batch):
+                held += [sets(data, offsets, size)[1] for _, data, offsets in pieces(texts)]
+            grams, counts = np.unique(np.concatenate(held), return_counts=True)
             often = counts >= least
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.ones(int(often.sum()), dtype=bool)),
-                    pa.nulls(int(often.sum()), pa.int64()),
-                    pa.array(counts[often]),
-                    pa.array(values[often].view(np.int64)),
-                ],
-                names=["hot", "doc_id", "n", "node"],
+                [pa.array(grams[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["gram", "n"]
             )
 
     return run
@@ -96,35 +216,28 @@ _TILE_NAMES = ["block", "h", "node", "n", "pos"]
 
 
 def _tiles(size: int, percent: int, blocks: int, hot):
-    """Prefix columns of every different set of the partition, cut into tiles by n-gram hash.
+    """Prefix columns of the rows, cut into tiles by n-gram hash.
 
     Columns in the ``hot`` table go to tiles of their own, numbered from ``blocks`` on, one per batch.
     """
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = hot.value
-        seen: set[int] = set()
         for batch in batches:
             held = []
-            for _, data, offsets in pieces(batch.column(0)):
-                count = len(offsets) - 1
-                docs, hashes = sets(data, offsets, size)
-                sizes, nodes = signatures(docs, hashes, count)
-                new = np.zeros(count, dtype=bool)
-                for k, node in enumerate(nodes.tolist()):
-                    if sizes[k] and node not in seen:
-                        seen.add(node)
-                        new[k] = True
-                docs, hashes = docs[new[docs]], hashes[new[docs]]
-                common = np.isin(hashes, frequent)
-                order = np.lexsort((hashes, common, docs))
-                docs, hashes, common = docs[order], hashes[order], common[order]
-                sizes_left = np.where(new, sizes, 0)
-                begin = np.cumsum(sizes_left) - sizes_left
-                place = np.arange(len(docs)) - begin[docs]
-                keep = place < prefix_length(sizes, percent)[docs]
-                docs = docs[keep]
-                held.append((hashes[keep], nodes[docs], sizes[docs], place[keep], common[keep]))
+            for texts in _texts(batch):
+                for _, data, offsets in pieces(texts):
+                    count = len(offsets) - 1
+                    docs, hashes = sets(data, offsets, size)
+                    sizes, nodes = signatures(docs, hashes, count)
+                    common = np.isin(hashes, frequent)
+                    order = np.lexsort((hashes, common, docs))
+                    docs, hashes, common = docs[order], hashes[order], common[order]
+                    place = np.arange(len(docs)) - (np.cumsum(sizes) - sizes)[docs]
+                    keep = place < prefix_length(sizes, percent)[docs]
+                    docs = docs[keep]
+                    held.append((hashes[keep], nodes[docs], sizes[docs], place[keep], common[keep]))
             if not held:
                 continue
             h, node, n, place, common = (np.concatenate(x) for x in zip(*held))
@@ -203,23 +316,29 @@ def _sizes_fit(a: str, b: str, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
+@tidy
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each different text of the partition once, packed."""
     codec = pa.Codec(_ZSTD, compression_level=1)
+    seen: set[int] = set()
     for batch in batches:
-        raw = [(t.as_py() or "").encode() for t in batch.column(1)]
+        copies = batch.column(0).to_pylist()
+        new = [k for k, c in enumerate(copies) if not (c in seen or seen.add(c))]
+        raw = [(t.as_py() or "").encode() for t in batch.column(1).take(pa.array(new, pa.int64()))]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
+                batch.column(0).take(pa.array(new, pa.int64())),
                 pa.array([codec.compress(t, asbytes=True) for t in raw], pa.binary()),
                 pa.array([len(t) for t in raw], pa.int64()),
             ],
-            names=["doc_id", "z", "z_len"],
+            names=["copy", "z", "z_len"],
         )
 
 
 def _compare(size: int, percent: int):
     """Of pairs with both packed texts, those with the wanted similarity."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec(_ZSTD)
         for batch in batches:
@@ -275,8 +394,10 @@ def near_duplicates(
     words (the whole text as one if it is shorter). Documents link when the Jaccard similarity of their sets is at
     least ``percent`` / 100. Null, empty and blank texts have the empty set and link with nothing.
     Documents of equal sets are one row of the matrix, whatever their number. Rows that repeat a
-    doc_id have the same component as their texts say; doc_id must be an integer. Other columns are
-    ignored, whatever their names. Sets and n-grams are told apart by 64-bit hashes.
+    doc_id, with equal or different texts, are documents of their own, linked as their texts say. Rows without a
+    doc_id link others, and are linked, like any; a group of such rows alone has no component_id. doc_id
+    must be an integer. Other columns are ignored, whatever their names. Sets, texts and n-grams are told
+    apart by 64-bit hashes.
 
     Links inside a large group are found in two products. The first pairs the rows of a column with
     its smallest row only and joins what is similar; the second takes the pairs of a column that
@@ -285,20 +406,40 @@ def near_duplicates(
     which columns come last in the order, never which pairs are found.
     """
     spark = docs.sparkSession
-    frame = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    survey = materialise(frame.mapInArrow(_survey(size, 8), "hot boolean, doc_id long, n long, node long"))
-    members = survey.where("not hot").select("doc_id", "n", "node")
-    hot = survey.where("hot").groupBy("node").agg(F.sum("n").alias("n")).where("n >= 64")
-    hot = hot.orderBy(F.desc("n"), "node").limit(most_hot).select("node").toPandas()["node"].to_numpy(np.int64)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    copy = F.xxhash64(F.coalesce(text, F.lit(""))).alias("copy")
+    frame = docs.select(F.col(doc_id).cast("long").alias("doc_id"), copy, F.col(text).alias("text"))
+    members = materialise(frame.mapInArrow(_survey(size), "doc_id long, copy long, n long, sampled long, node long"))
+    nodes = members.where("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.min("copy").alias("copy"), F.first("n").alias("n"), F.first("sampled").alias("sampled")
+    )
+    blocks = max(partitions, int((nodes.agg(F.sum("sampled").alias("t")).first()["t"] or 0) // block_rows) + 1)
+    shared = (
+        frame.select("text").mapInArrow(_samples(size, blocks), _SAMPLE)
+        .groupBy("block").applyInArrow(_shared_counts(blocks), _SHARED)
+        .groupBy("bucket").applyInArrow(_add_up, "node long, shared long")
+    )
+    # with this many columns of its own, a row has too few left that another one can have
+    alone = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    alike = nodes.join(shared, "node", "left").where(F.col("sampled") - F.coalesce("shared", F.lit(0)) < alone)
+    packed = frame.select("copy", "text").mapInArrow(_pack, "copy long, z binary, z_len long")
+    texts = packed.join(alike.select("copy", "node", "n"), "copy").groupBy("node").agg(
+        F.first("n").alias("n"), F.first(F.struct("z", "z_len")).alias("t")
+    )
+    texts = materialise(texts.select("node", "n", "t.z", "t.z_len"))
+
+    hot = texts.select("z", "z_len").mapInArrow(_frequent(size, 8), "gram long, n long")
+    hot = hot.groupBy("gram").agg(F.sum("n").alias("n")).where("n >= 64")
+    hot = hot.orderBy(F.desc("n"), "gram").limit(most_hot).select("gram").toPandas()["gram"].to_numpy(np.int64)
     hot = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
-    total = members.agg(F.sum(F.col("n") / 4 + 1).alias("t")).first()["t"] or 0
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total // block_rows) + 1)
+    total = texts.agg(F.sum(F.col("n") / 4 + 1).alias("t")).first()["t"] or 0
+    blocks = max(partitions, int(total // block_rows) + 1)
     incidence = materialise(
-        frame.select("text").mapInArrow(_tiles(size, percent, blocks, hot), _TILE)
+        texts.select("z", "z_len").mapInArrow(_tiles(size, percent, blocks, hot), _TILE)
         .groupBy("block").applyInArrow(_shared_columns(blocks), "h long, node long, n int, pos int")
     )
+    hot.unpersist()
 
-    nodes = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     # the row of a column that shares most of its columns stands for the others: of near copies,
     # that is the one they were copied from
     weight = incidence.groupBy("node").agg((F.count(F.lit(1)) * 1000 / F.first("n")).cast("long").alias("weight"))
@@ -308,14 +449,7 @@ def near_duplicates(
     )
     right = incidence.select("h", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     first = materialise(product(leaders, right, percent, F.col("a") != F.col("b")))
-    packed = frame.where("doc_id is not null").mapInArrow(_pack, "doc_id long, z binary, z_len long")
-
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        rep = nodes.join(wanted, "node").select("rep", "node")
-        return packed.join(rep, F.col("doc_id") == F.col("rep")).select("node", "z", "z_len").dropDuplicates(["node"])
-
-    near = materialise(_verified(first, texts_of(first), size, percent))
+    near = materialise(_verified(first, texts, size, percent))
     groups = components(near)
 
     grouped = incidence.join(groups, "node", "left").select(
@@ -332,7 +466,7 @@ def near_duplicates(
         first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
     )
     rest = materialise(rest)
-    more = materialise(_verified(rest, texts_of(rest), size, percent))
+    more = materialise(_verified(rest, texts, size, percent))
     groups = components(near.unionByName(more))
 
     named = nodes.join(groups, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
