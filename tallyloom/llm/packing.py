@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyloom.llm.tokens import encoded, vocabulary
+from tallyloom.llm.arrays import tidy
+from tallyloom.llm.tokens import counted, vocabulary
 from tallyloom.session import materialise
 
 
@@ -42,9 +43,10 @@ def bucket_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list
 
 
 def _count(path: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = np.concatenate([np.zeros(0, np.int64), *(np.diff(ends) for _, _, ends in encoded(batch.column(1), path))])
+            counts = counted(batch.column(1), path)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["doc_id", "n"])
 
     return run

@@ -57,23 +57,24 @@ class Encoder:
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word with a space before it, as bytes of unsigned 32-bit integers."""
         found = list(map(self.known.get, words))
-        missing = []
-        for k, ids in enumerate(found):
-            if ids is None:
-                found[k] = self.older.get(words[k])
-                if found[k] is None:
-                    missing.append(k)
-                else:
-                    self.known[words[k]] = found[k]
-        plain = [k for k in missing if len(words[k].split()) == 1 and words[k] == words[k].strip()]
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if self.older:
+            for k in missing:
+                ids = self.older.get(words[k])
+                if ids is not None:
+                    found[k] = self.known[words[k]] = ids
+            missing = [k for k in missing if found[k] is None]
+        # white space inside a word does not matter, at its ends it does
+        plain = [k for k in missing if words[k] and words[k] == words[k].strip()]
         for at in range(0, len(plain), 50_000):
             part = plain[at : at + 50_000]
-            ids = np.array(self._ids(" " + " ".join([words[k] for k in part])), dtype="<u4")
-            ends = np.cumsum([len(words[k].encode()) + 1 for k in part])
+            new = [words[k] for k in part]
+            ids = np.array(self._ids(" " + " ".join(new)), dtype="<u4")
+            ends = np.cumsum(pc.binary_length(pa.array(new, pa.large_string())).to_numpy() + 1)
             cuts = np.searchsorted(np.cumsum(self.widths[ids]), ends, "left") + 1
             raw, low = ids.tobytes(), 0
-            for k, high in zip(part, (4 * cuts).tolist()):
-                found[k] = self.known[words[k]] = raw[low:high]
+            for k, word, high in zip(part, new, (4 * cuts).tolist()):
+                found[k] = self.known[word] = raw[low:high]
                 low = high
         for k in missing:
             if found[k] is None:
@@ -82,8 +83,8 @@ class Encoder:
             self.known, self.older = {}, self.known
         return found
 
-    def column(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets of each text's ids); texts without nulls."""
+    def _parts(self, texts: pa.LargeStringArray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(ids of distinct parts, number of the part at each place, first place of each text and behind the last)."""
         n = len(texts)
         wide = np.flatnonzero(pc.match_substring_regex(texts, _WIDE).to_numpy(zero_copy_only=False))
         own = {int(k): texts[int(k)].as_py() for k in wide}
@@ -94,22 +95,40 @@ class Encoder:
         cut = pc.split_pattern(texts, " ")
         begin = np.asarray(cut.offsets)[: n + 1].astype(np.int64)
         coded = pc.dictionary_encode(cut.flatten())
-        first = cut.flatten().take(pa.array(begin[:-1])).to_pylist()
+        first = cut.flatten().take(pa.array(begin[:-1])).to_numpy(zero_copy_only=False).tolist()
         for k, text in own.items():
             parts = _SINGLE.split(text)
             first[k] = b"".join([self.one(parts[0]), *self.words(parts[1:])])
-        table = self.words(coded.dictionary.to_pylist())
-        table += [f if isinstance(f, bytes) else self.one(f) if f else b"" for f in first]
-        lengths = np.array([len(t) for t in table], dtype=np.int64) // 4
-        starts = np.cumsum(lengths) - lengths
-        pool = np.frombuffer(b"".join(table), dtype="<u4")
+        table = self.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        alone: dict[str, bytes] = {}
+        for f in first:
+            if isinstance(f, bytes):
+                table.append(f)
+            else:
+                ids = alone.get(f)
+                if ids is None:
+                    ids = alone[f] = self.one(f) if f else b""
+                table.append(ids)
         word = coded.indices.to_numpy().astype(np.int64)
         word[begin[:-1] - begin[0]] = len(coded.dictionary) + np.arange(n)
+        return table, word, begin - begin[0]
+
+    def column(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of each text's ids); texts without nulls."""
+        table, word, begin = self._parts(texts)
+        lengths = np.fromiter(map(len, table), dtype=np.int64, count=len(table)) // 4
+        starts = np.cumsum(lengths) - lengths
+        pool = np.frombuffer(b"".join(table), dtype="<u4")
         count = lengths[word]
         ends = np.cumsum(count)
         ids = pool[np.repeat(starts[word] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
-        total = np.concatenate(([0], ends))
-        return ids, total[begin - begin[0]]
+        return ids, np.concatenate(([0], ends))[begin]
+
+    def counts(self, texts: pa.LargeStringArray) -> np.ndarray:
+        """Number of ids of each text, without putting the ids together; texts without nulls."""
+        table, word, begin = self._parts(texts)
+        lengths = np.fromiter(map(len, table), dtype=np.int64, count=len(table)) // 4
+        return np.diff(np.concatenate(([0], np.cumsum(lengths[word])))[begin])
 
 
 def encoder(path: str) -> Encoder:
@@ -119,14 +138,24 @@ def encoder(path: str) -> Encoder:
     return _OPEN[path]
 
 
-def encoded(texts: pa.Array, path: str, limit: int = 4 << 20):
-    """(first row, ids, offsets) of consecutive rows of some megabytes; null counts as empty."""
+def _some(texts: pa.Array, limit: int):
+    """(first row, texts) of consecutive rows of some megabytes; null counts as empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     row = 0
     while row < len(texts):
         before = int(ends[row - 1]) if row else 0
         last = max(row + 1, int(np.searchsorted(ends, before + limit, "right")))
-        ids, offsets = encoder(path).column(texts.slice(row, last - row))
-        yield row, ids, offsets
+        yield row, texts.slice(row, last - row)
         row = last
+
+
+def encoded(texts: pa.Array, path: str, limit: int = 4 << 20):
+    """(first row, ids, offsets) of consecutive rows of some megabytes; null counts as empty."""
+    for row, part in _some(texts, limit):
+        yield row, *encoder(path).column(part)
+
+
+def counted(texts: pa.Array, path: str, limit: int = 4 << 20) -> np.ndarray:
+    """Number of ids of each text; null counts as empty."""
+    return np.concatenate([np.zeros(0, np.int64), *(encoder(path).counts(part) for _, part in _some(texts, limit))])
