@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, mix, per_document, pieces, runs, windows
+from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, mix, per_document, pieces, runs, tidy, windows
 from tallyloom.operators.bounded import check_size
 from tallyloom.session import materialise
 
@@ -30,6 +30,7 @@ UNIT = 1000
 NAMES = ("x0", "x1", "x2", "x3", "x4")
 
 
+@tidy
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts = []
@@ -151,6 +152,7 @@ def _estimate(scale: float):
     """Mean and inverse covariance per group from exact sums; ``scale`` makes the covariance consistent."""
     n = len(NAMES)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pandas()
@@ -188,7 +190,7 @@ PARAMETERS = "grp string, size long, mu array<double>, inv array<double>, log_de
 
 
 def _sums(frame: DataFrame, scale: float) -> DataFrame:
-    """Parameters of each group from the rows given."""
+    """Parameters of each ``run`` from the rows given."""
     n = len(NAMES)
     wide = {x: F.col(x).cast("decimal(18,0)") for x in NAMES}
     out = [F.count(F.lit(1)).alias("m"), F.first("size").alias("size")]
@@ -197,7 +199,8 @@ def _sums(frame: DataFrame, scale: float) -> DataFrame:
         F.sum((wide[NAMES[i]] * wide[NAMES[j]]).cast("decimal(28,0)")).cast("double").alias(f"s{i}_{j}")
         for i in range(n) for j in range(i, n)
     ]
-    return frame.groupBy("grp").agg(*out).mapInArrow(_estimate(scale), PARAMETERS)
+    found = frame.groupBy(F.col("run").alias("grp")).agg(*out).mapInArrow(_estimate(scale), PARAMETERS)
+    return found.withColumnRenamed("grp", "run").withColumn("grp", F.expr("substring(run, 3)"))
 
 
 def _attach(rows: DataFrame, groups: DataFrame, key: str, small: bool, how: str = "inner") -> DataFrame:
@@ -212,54 +215,112 @@ def _attach(rows: DataFrame, groups: DataFrame, key: str, small: bool, how: str
     return rows.join(salted, [key, "_salt"], how).drop("_salt")
 
 
-def minimum_covariance(vectors: DataFrame, share: float = 0.75, steps: int = 6, small: bool = False) -> DataFrame:
+#: Entries of the shapes that runs start from are whole parts of this.
+_FINE = 10_000
+
+
+def _shapes(n: int):
+    """Three starts per group around its median: no correlation, that of squeezed entries, that of directions."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                spread = np.array(row["spread"])
+                for k, kind in enumerate(("", "t", "u")):
+                    shape = np.eye(n)
+                    for i in range(n if kind else 0):
+                        for j in range(i, n):
+                            shape[i, j] = shape[j, i] = float(row[f"{kind}{i}_{j}"]) / row["m"] / _FINE**2
+                    cov = shape * np.outer(spread, spread) * (n if kind == "u" else 1) + np.diag(np.square(FLOOR))
+                    out.append((f"{k}|{row['grp']}", row["grp"], row["size"], row["mu"], np.linalg.inv(cov).ravel().tolist()))
+            columns = list(zip(*out)) or [[]] * 5
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["run", "grp", "size", "mu", "inv"])
+
+    return run
+
+
+def starts(vectors: DataFrame, small: bool) -> DataFrame:
+    """Where the runs of each group start: run, grp, size, mu, inv, log_det (none yet). All sums are exact."""
+    n = len(NAMES)
+    quartiles = [F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q_{x}") for x in NAMES]
+    middle = vectors.groupBy("grp").agg(F.first("size").alias("size"), *quartiles)
+    spread = [F.sqrt(F.pow((F.col(f"q_{x}")[2] - F.col(f"q_{x}")[0]) / UNIT / 1.349, 2) + FLOOR[i] ** 2) for i, x in enumerate(NAMES)]
+    middle = materialise(
+        middle.select("grp", "size", F.array(*[F.col(f"q_{x}")[1] / UNIT for x in NAMES]).alias("mu"), F.array(*spread).alias("spread"))
+    )
+    z = [(F.col(x) / UNIT - F.col("mu")[i]) / F.col("spread")[i] for i, x in enumerate(NAMES)]
+    far = F.greatest(F.sqrt(sum((c * c for c in z), F.lit(0.0))), F.lit(1e-9))
+    whole = lambda c: F.round(c * _FINE).cast("decimal(10,0)")
+    placed = _attach(vectors, middle.select("grp", "mu", "spread"), "grp", small).select(
+        "grp", *[whole(F.tanh(c)).alias(f"t{i}") for i, c in enumerate(z)], *[whole(c / far).alias(f"u{i}") for i, c in enumerate(z)]
+    )
+    sums = [
+        F.sum(F.col(f"{kind}{i}") * F.col(f"{kind}{j}")).cast("double").alias(f"{kind}{i}_{j}")
+        for kind in "tu" for i in range(n) for j in range(i, n)
+    ]
+    shapes = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), *sums)
+    begun = middle.join(shapes, "grp").mapInArrow(_shapes(n), "run string, grp string, size long, mu array<double>, inv array<double>")
+    return begun.withColumn("log_det", F.lit(float("inf")))
+
+
+def _step(vectors: DataFrame, params: DataFrame, share: float, scale: float, small: bool) -> DataFrame:
+    """One concentration step of every run: measure all rows, keep the nearest, estimate anew."""
+    measured = _attach(vectors, params.select("grp", "run", "mu", "inv"), "grp", small).withColumn(
+        "bin", F.floor(F.log1p(_distance()) * 200).cast("int")
+    )
+    bins = measured.groupBy("run", "bin").agg(F.count(F.lit(1)).alias("k"), F.first("size").alias("size"))
+    # at most a few thousand bins per run, gathered by an aggregate that combines in the tasks
+    limit = bins.groupBy("run").agg(
+        F.first("size").alias("size"),
+        F.array_sort(F.collect_list(F.struct("bin", "k"))).alias("bins"),
+    ).select(
+        "run",
+        F.aggregate(
+            "bins",
+            F.struct(F.lit(0).cast("long").alias("seen"), F.lit(-1).alias("last")),
+            lambda a, b: F.when(
+                a["seen"] >= F.ceil(F.col("size") * share), a
+            ).otherwise(F.struct((a["seen"] + b["k"]).alias("seen"), b["bin"].alias("last"))),
+            lambda a: a["last"],
+        ).alias("last"),
+    )
+    return _sums(_attach(measured, limit, "run", small).where("bin <= last"), scale)
+
+
+def _least(params: DataFrame) -> DataFrame:
+    """Of every group the run with the least determinant."""
+    best = F.min_by(F.struct("run", "size", "mu", "inv", "log_det"), F.struct("log_det", "run")).alias("best")
+    return params.groupBy("grp").agg(best).select("grp", "best.*")
+
+
+def minimum_covariance(vectors: DataFrame, share: float = 0.75, most_steps: int = 30, small: bool = False) -> DataFrame:
     """Minimum covariance determinant parameters of each ``grp``.
 
-    ``vectors`` has grp, size (rows of its group) and the vector's integers. The start is the
-    median and quartile range of every entry; a concentration step measures all rows,
-    keeps the ``share`` nearest of each group (whole bins of the distance, so the choice does not
-    hang on the order of rows) and estimates anew. A step never enlarges the determinant.
-    All rows take part in every step; what is gathered is one row per group and bin. ``small`` says that
+    ``vectors`` has grp, size (rows of its group) and the vector's integers. Three runs start at the
+    median with different shapes (:func:`starts`). A concentration step measures all rows,
+    keeps the ``share`` nearest of each run (whole bins of the distance, so the choice does not
+    hang on the order of rows) and estimates anew, which does not enlarge the determinant. After two steps
+    the run with the least determinant goes on until no group's determinant gets smaller, ``most_steps`` at most.
+    All rows take part in every step; what is gathered is one row per run and bin. ``small`` says that
     the number of groups has been checked.
     """
     n = len(NAMES)
     cut = chi_square_point(share, n)
     scale = share / chi_square(cut, n + 2)
-    quartiles = [F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q_{x}") for x in NAMES]
-    start = vectors.groupBy("grp").agg(F.first("size").alias("size"), *quartiles)
-    spread = [
-        F.lit(1.0) / (F.pow((F.col(f"q_{x}")[2] - F.col(f"q_{x}")[0]) / UNIT / 1.349, 2) + F.lit(FLOOR[i] ** 2))
-        for i, x in enumerate(NAMES)
-    ]
-    params = start.select(
-        "grp", "size",
-        F.array(*[F.col(f"q_{x}")[1] / UNIT for x in NAMES]).alias("mu"),
-        F.array(*[spread[i] if i == j else F.lit(0.0) for i in range(n) for j in range(n)]).alias("inv"),
-        F.lit(0.0).alias("log_det"),
-    )
-    for _ in range(steps):
-        params = materialise(params)
-        measured = _attach(vectors, params.select("grp", "mu", "inv"), "grp", small).withColumn(
-            "bin", F.floor(F.log1p(_distance()) * 200).cast("int")
-        )
-        bins = measured.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("k"), F.first("size").alias("size"))
-        # at most a few thousand bins per group, gathered by an aggregate that combines in the tasks
-        limit = bins.groupBy("grp").agg(
-            F.first("size").alias("size"),
-            F.array_sort(F.collect_list(F.struct("bin", "k"))).alias("bins"),
-        ).select(
-            "grp",
-            F.aggregate(
-                "bins",
-                F.struct(F.lit(0).cast("long").alias("seen"), F.lit(-1).alias("last")),
-                lambda a, b: F.when(
-                    a["seen"] >= F.ceil(F.col("size") * share), a
-                ).otherwise(F.struct((a["seen"] + b["k"]).alias("seen"), b["bin"].alias("last"))),
-                lambda a: a["last"],
-            ).alias("last"),
-        )
-        params = _sums(_attach(measured, limit, "grp", small).where("bin <= last"), scale)
-    return materialise(params)
+    params = materialise(starts(vectors, small))
+    for _ in range(2):
+        params = materialise(_step(vectors, params, share, scale, small))
+    params = materialise(_least(params))
+    for _ in range(most_steps):
+        after = materialise(_step(vectors, params, share, scale, small))
+        gain = after.join(params.select("run", F.col("log_det").alias("before")), "run").where("log_det < before - 1e-6")
+        if gain.isEmpty():
+            break
+        params = after
+    return params.select("grp", "size", "mu", "inv", "log_det")
 
 
 def outliers(

@@ -174,7 +174,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_lm_scoring")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.backoff_scores(table(spark, sf_dir, "documents"), least=1, order=3)
+    return lm.backoff_scores(table(spark, sf_dir, "documents"), least=1, order=3, folds=4)
 
 
 #: The table of CRC-32 by its rule, and the checksum of a text over it.

@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,24 @@ def test_jaccard_limits_of_similarity(docs):
     assert got == brute.components(rows)
 
 
+def test_jaccard_rows_that_share_an_id_and_rows_without_one(docs):
+    """A text is told by its row, not by its id."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (None, c), (5, c + " tail"), (6, c + " tail end"), (None, "x y"), (None, None), (4, a)]
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in ngram_join.near_duplicates(docs(*rows)).collect())
+    assert got == [(0, 0), (0, 0), (0, 5), (1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 5)]
+
+
+def test_jaccard_rows_that_share_common_passages(docs):
+    """Passages that many texts share do not link them; texts made of nothing else still link."""
+    rng = random.Random(12)
+    passages = [" ".join(f"p{k}-{j}" for j in range(30)) for k in range(4)]
+    rows = [(k, " ".join([rng.choice(passages), *(f"own{k}-{j}" for j in range(rng.randint(0, 60))), rng.choice(passages)])) for k in range(80)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs(*rows)).collect()}
+    assert got == brute.components(rows)
+    assert 1 < len({c for _, c in got.values()}) < 80
+
+
 ITEMS = [
     (1, "The quick brown fox jumps over the lazy dog and runs far away from here, today"), (2, "Short item"), (3, None),
     (4, "..."), (5, "short ITEM"), (6, "one two three four five six seven eight nine ten eleven twelve thirteen"), (None, "lost item"),
@@ -210,6 +229,38 @@ def test_outliers_of_small_languages(docs, small, monkeypatch):
     assert one.kept and one.d2 is not None
 
 
+def test_the_least_determinant_of_several_starts(spark):
+    """Correlated rows with a third of the table's junk beside them: the estimate is of the plain rows, and subsets found by sixty trials have hardly a smaller determinant."""
+    rng = np.random.default_rng(6)
+    mix = rng.normal(size=(5, 5)) * 300
+    plain = rng.normal(size=(240, 5)) @ mix + 2000
+    junk = rng.normal(size=(70, 5)) * 40 + plain.mean(axis=0) + 9 * mix[0]
+    rows = [("g", 310, *map(int, r)) for r in np.concatenate((plain, junk))] + [("h", 40, *map(int, r)) for r in plain[:40]]
+    frame = spark.createDataFrame(rows, "grp string, size long, " + ", ".join(f"{x} long" for x in quality.NAMES)).repartition(3)
+    got = {r.grp: r for r in quality.minimum_covariance(frame, small=True).collect()}
+    scale = 0.75 / quality.chi_square(quality.chi_square_point(0.75, 5), 7)
+
+    def log_det(x):
+        return np.linalg.slogdet(np.cov(x.T / 1000, bias=True) * scale + np.diag(np.square(quality.FLOOR)))[1]
+
+    def settled(x, chosen):
+        while True:
+            mu, cov = x[chosen].mean(axis=0), np.cov(x[chosen].T, bias=True) + np.diag(np.square(quality.FLOOR)) * 1e6
+            near = np.argsort(np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(cov), x - mu), kind="stable")[: -(-len(x) * 3 // 4)]
+            if set(near) == set(chosen):
+                return log_det(x[chosen])
+            if log_det(x[near]) >= log_det(x[chosen]) - 1e-9 and len(near) == len(chosen):
+                return log_det(x[chosen])
+            chosen = near
+
+    for name in "gh":
+        x = np.array([r[2:] for r in rows if r[0] == name], dtype=float)
+        trials = min(settled(x, rng.choice(len(x), 8, replace=False)) for _ in range(60))
+        # whole bins hold a row more or less, and of forty rows three starts need not find what sixty find
+        assert got[name].log_det <= trials + (0.02 if name == "g" else 0.2)
+    assert np.abs(np.array(got["g"].mu) * 1000 - plain.mean(axis=0)).max() < 300
+
+
 def test_registered_quality_rules_judge_every_document(spark):
     rows = QUERIES["op8_quality_rules"](spark, "/root/testdata/sf0.001").where("not base_failed").collect()
     assert rows and all(r.d2 is not None for r in rows)
@@ -230,25 +281,47 @@ def test_backoff_scores(docs, frequent):
     assert got[1000].perplexity is None and got[1003].n_words == 30_000
 
 
-def plain_backoff(docs, order, least, alpha=0.4):
-    """Scores from counters of all n-grams."""
+def plain_backoff(docs, order, least, alpha=0.4, folds=1, backed_off=None):
+    """Scores from counters of all n-grams, of the folds a document is not in if there are several."""
     texts = [brute.words(t) for _, t in docs]
-    counts = [Counter(tuple(t[i : i + n]) for t in texts for i in range(len(t) - n + 1)) for n in range(1, order + 1)]
-    total, out = sum(counts[0].values()), {}
+    fold = [int(lm.fold_of(np.array([-(1 << 63) if k is None else k]), folds)[0]) for k, _ in docs]
+    models = []
+    for f in range(folds):
+        others = [t for t, own in zip(texts, fold) if folds == 1 or own != f]
+        models.append([Counter(tuple(t[i : i + n]) for t in others for i in range(len(t) - n + 1)) for n in range(1, order + 1)])
 
-    def score(gram):
+    def score(gram, counts):
         n = len(gram)
         if n == 1:
-            return math.log(counts[0][gram] / total)
+            return math.log(max(counts[0][gram], 1) / max(sum(counts[0].values()), 1))
         if counts[n - 1][gram] >= least:
             return math.log(counts[n - 1][gram] / counts[n - 2][gram[:-1]])
-        return math.log(alpha) + score(gram[1:])
-
-    for (k, _), t in zip(docs, texts):
-        out[k] = out.get(k, 0.0) + sum(score(tuple(t[max(0, i - order + 1) : i + 1])) for i in range(len(t)))
+        if backed_off is not None:
+            backed_off[gram] += 1
+        return math.log(alpha) + score(gram[1:], counts)
+
+    out = {}
+    for (k, _), t, f in zip(docs, texts, fold):
+        for i in range(len(t)):
+            out[k] = out.get(k, 0.0) + score(tuple(t[max(0, i - order + 1) : i + 1]), models[f])
+        out.setdefault(k, 0.0)
     return out
 
 
+@pytest.mark.parametrize("order, least, folds", [(3, 1, 2), (3, 1, 4), (2, 2, 3)])
+@pytest.mark.parametrize("frequent", [512, 3, 0])
+def test_backoff_scores_of_other_folds(docs, frequent, order, least, folds):
+    """Places back off: the counts are those of other documents."""
+    rows = [(k, t[:9000] if t else t) for k, t in sample(60, seed=9) if k not in (1004,)]
+    rows += [(1001, "the of the of"), (1007, "the of and " * 900), (None, "the of é x lorem"), (1008, "never seen before"), (1008, "the never")]
+    got = {r.doc_id: r for r in lm.backoff_scores(docs(*rows), most_frequent=frequent, order=order, least=least, folds=folds).collect()}
+    backed_off = Counter()
+    want = plain_backoff(rows, order, least, folds=folds, backed_off=backed_off)
+    want.pop(None)
+    assert got.keys() == want.keys() and all(abs(got[k].log_prob - want[k]) < 1e-4 for k in want)
+    assert 10 * backed_off.total() > sum(len(brute.words(t)) for _, t in rows)
+
+
 @pytest.mark.parametrize("order, least", [(3, 1), (3, 2), (3, 5), (2, 1)])
 @pytest.mark.parametrize("frequent", [512, 3, 0])
 def test_backoff_scores_of_order(docs, frequent, order, least):
@@ -265,5 +338,6 @@ def test_registered_scores_use_triples_and_all_counts(spark, docs, monkeypatch):
     rows = [(1, "a b c d"), (2, "x b c e"), (3, "a b c d once")]
     monkeypatch.setattr(queries, "table", lambda spark, sf_dir, name: docs(*rows))
     got = {r.doc_id: r.log_prob for r in QUERIES["op10_lm_scoring"](spark, "").collect()}
-    want = plain_backoff(rows, 3, 1)
+    want = plain_backoff(rows, 3, 1, folds=4)
     assert all(abs(got[k] - want[k]) < 1e-4 for k in want)
+    assert want != plain_backoff(rows, 3, 1)
