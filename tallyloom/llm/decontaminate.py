@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tallyloom.llm.arrays import tidy
+
 #: Words are runs of digits, letters a-z and bytes of 0x80 and more, after A-Z became a-z.
 SEPARATORS = bytes(b for b in range(128) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122))
 NORMAL = bytes.maketrans(
@@ -90,6 +92,7 @@ def _spans(text: str, hit: np.ndarray) -> list[dict]:
 def _scan_with(shared, size: int, text_at: int):
     key = uuid.uuid4().hex
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _automaton(key, shared, size)
         for batch in batches:
@@ -165,6 +168,7 @@ def _union_with(shared, size: int):
     """A further block: hit words of earlier passes come as bits and are added to."""
     key = uuid.uuid4().hex
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _automaton(key, shared, size)
         for batch in batches:

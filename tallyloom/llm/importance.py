@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.arrays import pieces
+from tallyloom.llm.arrays import pieces, tidy
 from tallyloom.llm.crc import of_runs, shift
 from tallyloom.session import materialise
 
@@ -109,6 +109,7 @@ def features(dictionary: Dictionary, data: np.ndarray, offsets: np.ndarray, orde
 
 
 def _count(order: int, buckets: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary, total = Dictionary(), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
@@ -140,6 +141,7 @@ def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def _weigh(held, order: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain, dictionary = held.value, Dictionary()
         for batch in batches:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, pieces, runs
+from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, pieces, runs, tidy
 from tallyloom.session import scratch_folder
 
 
@@ -41,6 +41,7 @@ def line_keys(data: np.ndarray, offsets: np.ndarray, shortest: int):
 
 
 def _hashes(shortest: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -59,6 +60,7 @@ def _hashes(shortest: int):
 
 
 def _drop(shortest: int, keep: tuple[str, ...]):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")

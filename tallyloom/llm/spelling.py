@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, pieces, runs
+from tallyloom.llm.arrays import LOWER, NOT_SPACE, Hasher, pieces, runs, tidy
 from tallyloom.llm.crc import of_runs
 from tallyloom.session import materialise
 
@@ -57,6 +57,7 @@ def _words_of(ids: list, data: np.ndarray, offsets: np.ndarray, shortest: int, o
 
 
 def _count(shortest: int, one_in: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, counts, words = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [pa.array([], pa.string())]

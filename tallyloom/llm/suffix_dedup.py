@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.arrays import Hasher, mix, pieces
+from tallyloom.llm.arrays import Hasher, mix, pieces, tidy
 from tallyloom.llm.suffix_sort import common, deep_shallow
 from tallyloom.session import materialise
 
@@ -59,6 +59,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
 
 
 def _anchors(length: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in pieces(batch.column(2)):
@@ -77,6 +78,7 @@ def _anchors(length: int):
     return run
 
 
+@tidy
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codec = pa.Codec("zstd", compression_level=1)
     for batch in batches:
@@ -111,6 +113,7 @@ def _around(length: int, buckets: int, limit: int, most: int = 16 << 20):
     gram = length // 2
     reach = length - gram
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
         held: dict[tuple, list] = {}
@@ -244,6 +247,7 @@ def _resolve(length: int):
     return run
 
 
+@tidy
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codec = pa.Codec("zstd")
     for batch in batches:
