@@ -169,18 +169,19 @@ def write_parts(parts: DataFrame, path: str, batch: int, generation: int = 0, fo
     )
 
 
-def _read_parts(spark: SparkSession, path: str, folder: str) -> DataFrame:
+def read_parts(spark: SparkSession, path: str, folder: str = "batches") -> DataFrame:
+    """All versions of all parts."""
     schema = T.StructType(list(PARTS.fields)).add("generation", T.IntegerType()).add("batch", T.LongType()).add("index", T.StringType())
     return spark.read.schema(schema).parquet(f"{path}/{folder}").withColumn("version", _version())
 
 
 def live_parts(spark: SparkSession, path: str, until: int | None = None) -> DataFrame:
     """The latest version of every part (up to version ``until``): the last compaction and the batches after it."""
-    versions = _read_parts(spark, path, "batches")
+    versions = read_parts(spark, path, "batches")
     if until is not None:
         versions = versions.filter(F.col("version") <= until)
     try:
-        kept = _read_parts(spark, path, "compacted")
+        kept = read_parts(spark, path, "compacted")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -188,13 +189,20 @@ def live_parts(spark: SparkSession, path: str, until: int | None = None) -> Data
         last = kept.agg(F.max("version")).first()[0]
         if last is not None:  # versions are made of folder names only: other folders are not read
             versions = kept.filter(F.col("version") == last).unionByName(versions.filter(F.col("version") > last))
+    return latest_parts(versions).select(*PARTS.names)
+
+
+def latest_parts(versions: DataFrame, *more: str) -> DataFrame:
+    """Of every part the latest ``version``; ``more`` columns are functions of the part and kept."""
     # files of tables that knew no epochs have none
     versions = versions.withColumn("epoch", F.coalesce("epoch", F.lit(0).cast("bigint")))
     key = ["rule_id", "table_name", "grouping_keys", "grouping_values", "field", "running", "part", "epoch"]
     window = [F.when(~F.col("running"), F.col(c)).alias(f"_{c}") for c in ("window_start_ms", "window_end_ms")]
     rest = [f.name for f in PARTS.fields if f.name not in key]
-    done = versions.groupBy(*key, *window).agg(*[F.max_by(c, "version").alias(c) for c in rest])
-    return done.select(*PARTS.names)
+    done = versions.groupBy(*key, *window, *more).agg(
+        *[F.max_by(c, "version").alias(c) for c in rest], F.max("version").alias("version")
+    )
+    return done.select(*PARTS.names, "version", *more)
 
 
 def live_results(spark: SparkSession, path: str, epoch: int | None = None) -> DataFrame:
@@ -205,7 +213,7 @@ def live_results(spark: SparkSession, path: str, epoch: int | None = None) -> Da
     """
     parts = live_parts(spark, path)
     if epoch is None:
-        epoch = _read_parts(spark, path, "batches").agg(F.coalesce(F.max("epoch"), F.lit(0))).scalar()
+        epoch = read_parts(spark, path, "batches").agg(F.coalesce(F.max("epoch"), F.lit(0))).scalar()
     return finish(whole(parts.filter(F.col("epoch") == epoch)))
 
 
@@ -214,7 +222,7 @@ def compact_parts(spark: SparkSession, path: str) -> None:
 
     Readers take the newest folder, which shows only when it is complete, and the batches after it.
     """
-    last = _read_parts(spark, path, "batches").select("generation", "batch").agg(
+    last = read_parts(spark, path, "batches").select("generation", "batch").agg(
         F.max(F.struct("generation", "batch")).alias("m")
     ).first()["m"]
     if last is not None:

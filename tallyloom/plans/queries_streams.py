@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from tallyloom.operators.documents import compact_parts, live_results
 from tallyloom.operators.fork import fork
 from tallyloom.operators.aggregate import partials
+from tallyloom.operators.health import RANK_ERROR
 from tallyloom.operators.lookup import widen
+from tallyloom.operators.rollup import read_rollup, update_rollup
 from tallyloom.operators.rules import export_rules
 from tallyloom.plans.catalogue import EV, event_indicators, events, flat, query, rule_lines, sql_rule, table
 from tallyloom.plans.queries_metrics import KEYED_SQL, MULTI_RULES, RUNNING_SQL
@@ -16,6 +18,7 @@ from tallyloom.sources.lines import indicators_from_lines, stream_lines
 from tallyloom.streaming.change_feed import asof_partials, live_changes, maintain_rules, stream_changes
 from tallyloom.streaming.closing import closed_results, late_rows, start_closing
 from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension
+from tallyloom.streaming.latency import read_latency, start_latency
 from tallyloom.streaming.job import closing_partials, heartbeat, start, update_partials
 from tallyloom.streaming.rule_feed import live_rules
 
@@ -473,3 +476,58 @@ def stream_clear_state(spark, sf_dir):
     finally:
         running.stop()
     return flat(live_results(spark, f"{folder}/results"))
+
+
+_KINDS = ["click", "view", "error", "purchase", "signup"]
+_ROLLED = [("value", f) for f in ("SUM", "COUNT", "MIN", "MAX", "AVG")]
+
+
+@query(
+    "stream_rollup",
+    f"WITH {EV} " + " UNION ALL ".join(sql_rule(i, kind, ["user_id"], _ROLLED, 1440, f"event_type = '{kind}'") for i, kind in enumerate(_KINDS)),
+)
+def stream_rollup(spark, sf_dir):
+    """Ten-minute aggregates of a stream rolled up into days after every micro-batch, changed days only.
+
+    The pieces overlap in time, so days are made anew that an earlier update has made already.
+    """
+    folder, stream, put = _staged(spark, sf_dir, ["event_id % 3 = 0", "event_id % 3 = 1 AND event_id % 2 = 0", "event_id % 3 = 2 OR event_id % 6 = 1"])
+    rules = rule_lines(spark, *[f"{i},{kind},active,user_id,value:sum&value:count&value:min&value:max&value:avg,10" for i, kind in enumerate(_KINDS)])
+    for piece in put:
+        piece()
+        _run(update_partials(stream, rules, None), folder)
+        update_rollup(spark, f"{folder}/results", f"{folder}/days", 1440)
+    return flat(read_rollup(spark, f"{folder}/days"))
+
+
+_LATENCY = "(event_id * 7919) % 100003"
+
+
+@query(
+    "stream_latency",
+    f"""WITH {EV}, r AS (SELECT CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 ELSE 4 END AS rule_id,
+  {_LATENCY} AS ms FROM ev)
+SELECT CAST(rule_id AS INTEGER) AS rule_id, count(*) AS events, min(ms) AS min_ms, max(ms) AS max_ms, sum(ms) / count(*)::DOUBLE AS avg_ms,
+  CAST(1 AS INTEGER) AS p50_right, CAST(1 AS INTEGER) AS p99_right FROM r GROUP BY 1""",
+)
+def stream_latency(spark, sf_dir):
+    """Latency over several micro-batches: percentiles from merged sketches, held against the exact ranks."""
+    folder, stream, put = _staged(spark, sf_dir, [_ODD, "event_id % 4 = 0", "event_id % 4 = 2"])
+    rules = rule_lines(spark, *[f"{i},{kind},active,user_id,value:sum,60" for i, kind in enumerate(_KINDS)])
+    late = lambda frame: F.timestamp_millis(F.unix_millis("ingestion_time") + F.expr(_LATENCY))
+    read = stream.withColumn("ingestion_time", F.col("event_time"))
+    for piece in put:
+        piece()
+        start_latency(read, rules, f"{folder}/latency", f"{folder}/checkpoint", now=late(read)).awaitTermination()
+    found = read_latency(spark, f"{folder}/latency")
+    exact = event_indicators(spark, sf_dir).select(
+        F.array_position(F.array(*map(F.lit, _KINDS)), F.col("table_name")).cast("int").alias("rule_id"), F.expr(_LATENCY).alias("ms")
+    ).withColumn("rule_id", F.col("rule_id") - 1)
+    ranks = exact.join(F.broadcast(found.select("rule_id", "p50_ms", "p99_ms")), "rule_id").groupBy("rule_id").agg(
+        *[F.avg((F.col("ms") < F.col(c)).cast("int")).alias(f"{c}_below") for c in ("p50_ms", "p99_ms")],
+        *[F.avg((F.col("ms") <= F.col(c)).cast("int")).alias(f"{c}_upto") for c in ("p50_ms", "p99_ms")],
+    )
+    right = lambda c, p: ((F.col(f"{c}_below") <= p + RANK_ERROR) & (F.col(f"{c}_upto") >= p - RANK_ERROR)).cast("int")
+    return found.join(ranks, "rule_id").select(
+        "rule_id", "events", "min_ms", "max_ms", "avg_ms", right("p50_ms", 0.5).alias("p50_right"), right("p99_ms", 0.99).alias("p99_right")
+    )

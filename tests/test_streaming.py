@@ -12,6 +12,7 @@ from tallyloom.operators.documents import compact_parts, live_results
 from tallyloom.operators.fork import fork
 from tallyloom.operators.health import with_latency
 from tallyloom.operators.lookup import widen
+from tallyloom.operators.rollup import read_rollup, update_rollup
 from tallyloom.plans.evaluate import evaluate
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
 from tallyloom.streaming.change_feed import asof_partials, live_changes, maintain_rules, stream_changes
@@ -20,6 +21,7 @@ from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension
 from tallyloom.streaming.job import (
     closing_partials, heartbeat, observed, start, update_partials, window_lengths,
 )
+from tallyloom.streaming.latency import read_latency, start_latency
 from tallyloom.streaming.rule_feed import current_epoch, live_rules
 
 MINUTE = 60_000
@@ -421,3 +423,38 @@ def test_a_command_clears_the_state_of_a_running_stream(source, spark, tmp_path)
     finally:
         running.stop()
     assert source.results() == {(1, ("c",), 0, "v-SUM"): 16, (2, (), 0, "v-SUM"): 16}
+
+
+def test_a_rollup_makes_changed_windows_anew_and_reads_no_others(source, spark, rules, tmp_path):
+    some, path, target = rules("1,t,active,k,v:sum&v:max,10", "2,t,active,,v:sum,10"), str(source.root / "out"), str(tmp_path / "days")
+
+    def days():
+        return {(r.grouping_values[0], r.window_start_ms // DAY, r.metric): float(r.value) for r in read_rollup(spark, target).collect()}
+
+    source.add(("t", "a", 1, 5), ("t", "a", 2, 11 * MINUTE), ("t", "b", 4, 3 * DAY))
+    source.run(update_partials(source.stream(), some, None))
+    assert update_rollup(spark, path, target, 1440) == [0, 3 * DAY] and update_rollup(spark, path, target, 1440) == []
+    assert days() == {("a", 0, "v-SUM"): 3, ("a", 0, "v-MAX"): 2, ("b", 3, "v-SUM"): 4, ("b", 3, "v-MAX"): 4}
+    first = list((tmp_path / "days" / "fine").glob("*/coarse=0/*.parquet"))
+    for file in first:  # an unreadable file of a day that nothing touches
+        file.write_bytes(b"")
+    source.add(("t", "b", 8, 3 * DAY + 1), ("t", "c", 16, 4 * DAY))
+    source.run(update_partials(source.stream(), some, None))
+    assert first and update_rollup(spark, path, target, 1440) == [3 * DAY, 4 * DAY]
+    assert days() == {
+        ("a", 0, "v-SUM"): 3, ("a", 0, "v-MAX"): 2, ("b", 3, "v-SUM"): 12, ("b", 3, "v-MAX"): 8, ("c", 4, "v-SUM"): 16, ("c", 4, "v-MAX"): 16,
+    }
+
+
+def test_latency_of_several_batches(source, spark, rules, tmp_path):
+    some = rules("1,t,active,k,v:sum,1", "2,t,active,k,v:sum,7")
+    stream = source.stream().withColumn("ingestion_time", F.col("event_time"))
+    now = F.timestamp_millis(F.col("event_ms") + F.col("fields")["v"].cast("bigint"))
+    for n in range(3):
+        source.add(*[("t", "a", v, n * MINUTE) for v in range(n * 100, n * 100 + 100)])
+        start_latency(stream, some, str(tmp_path / "latency"), str(tmp_path / "check"), now=now).awaitTermination()
+    got = {r.rule_id: r for r in read_latency(spark, str(tmp_path / "latency")).collect()}
+    assert got.keys() == {1, 2} and got[1].events == 300 and (got[2].min_ms, got[2].max_ms, got[2].avg_ms) == (0, 299, 149.5)
+    assert abs(got[1].p50_ms - 150) <= 6 and abs(got[2].p99_ms - 297) <= 6
+    part = read_latency(spark, str(tmp_path / "latency"), MINUTE, 2 * MINUTE).where("rule_id = 1").first()
+    assert (part.events, part.min_ms, part.max_ms) == (100, 100, 199)
