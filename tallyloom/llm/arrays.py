@@ -20,7 +20,12 @@ LOWER[65:91] += 32
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 
-_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+def give_back() -> None:
+    """Hands memory that is free back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def tidy(run: Callable) -> Callable:
@@ -31,9 +36,7 @@ def tidy(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if _TRIM is not None:
-                _TRIM(0)
+            give_back()
 
     return and_release
 
