@@ -1,5 +1,7 @@
 """Evaluation queries: fork, windows, aggregates, look-ups, documents."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyloom.functions.keys import doc_id
@@ -10,6 +12,7 @@ from tallyloom.operators.aggregate import (
 from tallyloom.operators.documents import addressed, document_json, documents, latest
 from tallyloom.operators.fork import fork
 from tallyloom.operators.health import event_rate
+from tallyloom.operators.leveled import LeveledResults
 from tallyloom.operators.lookup import widen
 from tallyloom.operators.running import lookback_values, running_values
 from tallyloom.operators.thresholds import over_limit
@@ -17,6 +20,7 @@ from tallyloom.plans.catalogue import (
     EV, event_indicators, events, flat, query, rule_lines, sql_aggregate, sql_rule, sql_running, table,
 )
 from tallyloom.plans.evaluate import evaluate, evaluate_table
+from tallyloom.session import materialise
 from tallyloom.sources.tables import indicators_from_table, spread
 
 TYPES = ["click", "view", "error", "purchase", "signup"]
@@ -640,6 +644,20 @@ def upsert_merge(spark, sf_dir):
     )
 
 
+@query("upsert_leveled", f"WITH {EV} {KEYED_SQL} UNION ALL {RUNNING_SQL}")
+def upsert_leveled(spark, sf_dir):
+    """Results of four batches, each over more of the events, in bucketed runs that are merged on the way."""
+    seen = event_indicators(spark, sf_dir)
+    rules = rule_lines(spark, *MULTI_RULES)
+    kept = LeveledResults(spark, f"results_{uuid.uuid4().hex}", buckets=8, fanout=2)
+    try:
+        for batch in range(4):
+            kept.add(evaluate(seen.filter(f"event_id % 4 <= {batch}"), rules), batch)
+        return flat(materialise(kept.read()))
+    finally:
+        kept.drop()
+
+
 _LIMITS = {"value-SUM": (">", 50), "value-MIN": ("<=", 1), "value-COUNT": ("=", 3), "value-MAX": ("!=", 9.99)}
 
 
