@@ -40,12 +40,13 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 break
             continue
         chosen[holds] = k
-    following = (np.arange(n) + COUNTS[chosen]).tolist()
-    at, i = [], 0
-    while i < n:
-        at.append(i)
-        i = following[i]
-    at = np.array(at, dtype=np.int64)
+    # words begin at 0 and then where the last one ends: every round doubles the steps taken at once
+    following = np.append(np.minimum(np.arange(n) + COUNTS[chosen], n), n)
+    at = np.zeros(1, dtype=np.int64)
+    while at[-1] < n:
+        at = np.concatenate((at, following[at]))
+        following = following[following]
+    at = at[: np.searchsorted(at, n)]
     selector = chosen[at]
     words = selector.astype(np.uint64) << np.uint64(60)
     for k in np.unique(selector):

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyloom.llm.arrays import tidy
 from tallyloom.llm import simple8b
 from tallyloom.llm.tokens import encoded, vocabulary
 from tallyloom.session import materialise
@@ -70,6 +71,7 @@ def frames(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np
 
 
 def _encode(path: str, end_id: int, block_ids: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting = [], 0
 
@@ -122,6 +124,7 @@ def write_tokens(
     coded.select(F.col("frame").cast("string")).write.option("maxRecordsPerFile", file_blocks).text(folder)
 
 
+@tidy
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, piece, content in zip(*(batch.column(c) for c in ("part", "piece", "content"))):
