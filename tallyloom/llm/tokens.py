@@ -29,7 +29,7 @@ class Encoder:
     stands for.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 200_000):
         self.most, self.known, self.older = most, {}, {}
         if path.endswith(".tiktoken"):
             import tiktoken

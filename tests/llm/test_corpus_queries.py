@@ -25,7 +25,8 @@ def test_query(spark, duck, name):
     columns = sorted(want.columns)
     got = QUERIES[name](spark, FOLDER).select(*columns).collect()
     order = [want.columns.index(c) for c in columns]
-    assert sorted(map(tuple, got)) == sorted(tuple(row[k] for k in order) for row in want.fetchall())
+    nulls_last = lambda row: [(v is None, v) if v is not None else (True, 0) for v in row]
+    assert sorted(map(tuple, got), key=nulls_last) == sorted((tuple(row[k] for k in order) for row in want.fetchall()), key=nulls_last)
 
 
 def test_one_query_of_each_operator():
