@@ -315,11 +315,12 @@ def minimum_covariance(vectors: DataFrame, share: float = 0.75, most_steps: int
         params = materialise(_step(vectors, params, share, scale, small))
     params = materialise(_least(params))
     for _ in range(most_steps):
-        after = materialise(_step(vectors, params, share, scale, small))
-        gain = after.join(params.select("run", F.col("log_det").alias("before")), "run").where("log_det < before - 1e-6")
+        after = _step(vectors, params, share, scale, small).join(params.select("run", F.col("log_det").alias("before")), "run")
+        # whole bins may let a determinant grow again: then its run has come to its end, and keeps what it had
+        gain = materialise(after.where("log_det < before - 1e-6").drop("before"))
         if gain.isEmpty():
             break
-        params = after
+        params = materialise(gain.unionByName(params.join(gain.select("run"), "run", "left_anti")))
     return params.select("grp", "size", "mu", "inv", "log_det")
 
 

@@ -9,6 +9,7 @@ what neighbours have in common follows which windows around each anchor occur ag
 """
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,11 +98,10 @@ def _open(codec, z: bytes, size: int) -> bytes:
     return codec.decompress(z, decompressed_size=size, asbytes=True) if size else b""
 
 
-_AROUND = (
-    "bucket long, part long, lo long, hi long, before binary, after binary, "
-    "members array<struct<doc_id: long, copy: long, pos: long>>"
-)
-_MEMBERS = pa.list_(pa.struct([("doc_id", pa.int64()), ("copy", pa.int64()), ("pos", pa.int64())]))
+_AROUND = "bucket long, part long, lo long, hi long, before binary, after binary, members binary"
+#: A member of a surrounding: id of its document (no id as the least number), hash of its text, place of the anchor.
+_MEMBER, _MEMBER_BYTES = "<3q", 24
+_NO_ID = -(1 << 63)
 
 
 def _around(length: int, buckets: int, limit: int, most: int = 16 << 20):
@@ -126,17 +126,22 @@ def _around(length: int, buckets: int, limit: int, most: int = 16 << 20):
                     pa.array([k[0] % buckets for k, _ in rows], pa.int64()),
                     *(pa.array([k[c] for k, _ in rows], pa.int64()) for c in range(3)),
                     *(pa.array([k[c] for k, _ in rows], pa.binary()) for c in (3, 4)),
-                    pa.array([m for _, m in rows], _MEMBERS),
+                    pa.array([b"".join(m) for _, m in rows], pa.binary()),
                 ],
                 names=["bucket", "part", "lo", "hi", "before", "after", "members"],
             )
 
         for batch in batches:
-            for doc_id, copy, z, n, places in zip(*(c.to_pylist() for c in batch.columns)):
+            ids = batch.column(0).fill_null(_NO_ID).to_pylist()
+            listed = batch.column(4)
+            ends, held_places = listed.offsets.to_pylist(), listed.values
+            positions, grams, times = (held_places.field(c).to_pylist() for c in ("pos", "gram", "n"))
+            for row, (doc_id, copy, z, n) in enumerate(zip(ids, *(batch.column(c).to_pylist() for c in (1, 2, 3)))):
                 text = _open(codec, z, n)
-                for place in places:
-                    at, part, often = place["pos"], place["gram"], place["n"]
+                for place in range(ends[row], ends[row + 1]):
+                    at, part, often = positions[place], grams[place], times[place]
                     end = at + gram
+                    member = struct.pack(_MEMBER, doc_id, copy, at)
                     bands = [(0, reach)] if often <= limit else [
                         (b, min(b + BAND - 1, reach)) for b in range(0, reach + 1, BAND)
                     ]
@@ -151,7 +156,7 @@ def _around(length: int, buckets: int, limit: int, most: int = 16 << 20):
                         if key not in held:
                             held[key] = []
                             size += 2 * reach
-                        held[key].append({"doc_id": doc_id, "copy": copy, "pos": at})
+                        held[key].append(member)
                         size += 24
                 if size >= most:
                     yield flush()
@@ -229,18 +234,19 @@ def _resolve(length: int):
     def run(rows: pa.Table) -> pa.Table:
         groups: dict[tuple, dict] = {}
         for row in zip(*(rows.column(c).to_pylist() for c in ("part", "lo", "hi", "before", "after", "members"))):
-            groups.setdefault(row[:3], {}).setdefault(row[3:5], []).extend(row[5])
+            groups.setdefault(row[:3], {}).setdefault(row[3:5], []).append(row[5])
         out = []
         for (_, lo, hi), around in groups.items():
-            if len(around) == 1 and len(next(iter(around.values()))) == 1:
+            members = [b"".join(m) for m in around.values()]
+            if len(members) == 1 and len(members[0]) == _MEMBER_BYTES:
                 continue
-            found = repeated_offsets(list(around), [len(m) for m in around.values()], lo, hi, reach)
-            for members, again in zip(around.values(), found):
+            found = repeated_offsets(list(around), [len(m) // _MEMBER_BYTES for m in members], lo, hi, reach)
+            for own, again in zip(members, found):
                 if not again.any():
                     continue
                 edge = np.diff(np.concatenate(([0], again.view(np.int8), [0])))
                 for a, b in zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist()):
-                    out += [(m["doc_id"], m["copy"], m["pos"] - lo - b, m["pos"] - lo - a + length) for m in members]
+                    out += [(doc_id, copy, pos - lo - b, pos - lo - a + length) for doc_id, copy, pos in struct.iter_unpack(_MEMBER, own)]
         columns = list(zip(*out)) or [[], [], [], []]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("doc_id", "copy", "a", "b"), columns)})
 
@@ -296,7 +302,7 @@ def remove_repeated_strings(
     often = materialise(places.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     total = often.agg(F.sum("n").alias("n")).first()["n"] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // bucket_rows + 1)
-    key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.col("copy").alias("c")]
+    key = [F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), F.col("copy").alias("c")]
     packed = frame.mapInArrow(_pack, "doc_id long, copy long, z binary, z_len long").select("*", *key)
     # a set, since repeated rows bring equal places; nothing between join and shuffle needs a gram's
     # places together, so that Spark can split a gram that a third of all documents hold
