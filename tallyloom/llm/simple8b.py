@@ -13,9 +13,20 @@ SELECTORS = (
 )
 COUNTS = np.array([c for c, _ in SELECTORS], dtype=np.int64)
 BITS = np.array([b for _, b in SELECTORS], dtype=np.int64)
+_DOUBLED = 6
 LARGEST = np.uint64((1 << 60) - 1)
 
 
+def _runs(holds: np.ndarray, count: int) -> np.ndarray:
+    """Whether ``count`` places in a row hold, for every place that has as many."""
+    width = 1
+    while width < count:
+        step = min(width, count - width)
+        holds = holds[:-step] & holds[step:]
+        width += step
+    return holds
+
+
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, places of escapes, values of escapes)."""
     values = values.astype(np.uint64)
@@ -26,35 +37,45 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         values = values.copy()
         values[places] = 0
     # widest first: a narrower selector that holds at i takes over
-    chosen = np.full(n, len(SELECTORS) - 1, dtype=np.int64)
-    small = np.ones(n, dtype=bool)
+    chosen = np.full(n, len(SELECTORS) - 1, dtype=np.uint8)
+    most = int(values.max()) if n else 0
+    narrow = values.astype(np.uint32) if most < 1 << 32 else values
     for k in range(len(SELECTORS) - 2, -1, -1):
         count, bits = SELECTORS[k]
         if count > n:
             break
-        small = values < (np.uint64(1) << np.uint64(bits))
-        bad = np.concatenate(([0], np.cumsum(~small)))
-        holds = np.flatnonzero(bad[count:] == bad[:-count])
-        if not len(holds):
+        if most < 1 << bits:
+            chosen[: n - count + 1] = k
+            continue
+        holds = _runs(narrow < (1 << bits), count)
+        if not holds.any():
             if bits < 8:  # nor will narrower ones
                 break
             continue
-        chosen[holds] = k
-    # words begin at 0 and then where the last one ends: every round doubles the steps taken at once
-    following = np.append(np.minimum(np.arange(n) + COUNTS[chosen], n), n)
-    at = np.zeros(1, dtype=np.int64)
-    while at[-1] < n:
-        at = np.concatenate((at, following[at]))
-        following = following[following]
+        chosen[: len(holds)][holds] = k
+    # words begin at 0 and then where the last one ends: steps are doubled a few times, the long
+    # ones are walked one by one and the shorter ones fill the places between
+    steps = [np.append(np.minimum(np.arange(n) + COUNTS[chosen], n), n)]
+    for _ in range(_DOUBLED):
+        steps.append(steps[-1][steps[-1]])
+    long, coarse, place = steps.pop(), [], 0
+    while place < n:
+        coarse.append(place)
+        place = int(long[place])
+    at = np.array(coarse, dtype=np.int64)
+    for short in reversed(steps):
+        at = np.stack((at, short[at]), axis=1).ravel()
     at = at[: np.searchsorted(at, n)]
-    selector = chosen[at]
+    selector = chosen[at].astype(np.int64)
     words = selector.astype(np.uint64) << np.uint64(60)
     for k in np.unique(selector):
         count, bits = SELECTORS[k]
         if bits:
             rows = np.flatnonzero(selector == k)
-            shifts = (np.arange(count, dtype=np.uint64) * np.uint64(bits))[None, :]
-            words[rows] |= np.bitwise_or.reduce(values[at[rows][:, None] + np.arange(count)] << shifts, axis=1)
+            first, packed = at[rows], np.zeros(len(rows), dtype=np.uint64)
+            for place in range(count):
+                packed |= values[first + place] << np.uint64(place * bits)
+            words[rows] |= packed
     return words, places, escaped
 
 
@@ -67,9 +88,10 @@ def decode(words: np.ndarray, places: np.ndarray, escaped: np.ndarray) -> np.nda
         count, bits = SELECTORS[k]
         if bits:
             rows = np.flatnonzero(selector == k)
-            shifts = (np.arange(count, dtype=np.uint64) * np.uint64(bits))[None, :]
+            first, packed = begin[rows], words[rows]
             mask = np.uint64((1 << bits) - 1)
-            out[begin[rows][:, None] + np.arange(count)] = (words[rows][:, None] >> shifts) & mask
+            for place in range(count):
+                out[first + place] = (packed >> np.uint64(place * bits)) & mask
     out[places] = escaped
     return out
 

@@ -59,10 +59,10 @@ class Encoder:
         found = list(map(self.known.get, words))
         missing = [k for k, ids in enumerate(found) if ids is None]
         if self.older:
-            for k in missing:
-                ids = self.older.get(words[k])
-                if ids is not None:
-                    found[k] = self.known[words[k]] = ids
+            before = map(self.older.get, [words[k] for k in missing])
+            again = [(k, ids) for k, ids in zip(missing, before) if ids is not None]
+            for k, ids in again:
+                found[k] = self.known[words[k]] = ids
             missing = [k for k in missing if found[k] is None]
         # white space inside a word does not matter, at its ends it does
         plain = [k for k in missing if words[k] and words[k] == words[k].strip()]

@@ -58,6 +58,27 @@ def test_simple8b_packs():
     assert len(words) == 1 and simple8b.offsets(simple8b.encode(np.arange(1000, dtype=np.uint64))[0], 64)[0] == 0
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.booleans(), max_size=60), st.integers(1, 30))
+def test_simple8b_places_in_a_row(holds, count):
+    found = simple8b._runs(np.array(holds, dtype=bool), count)
+    assert found.tolist() == [all(holds[k : k + count]) for k in range(len(holds) - count + 1)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 1), st.integers(0, 50_256), st.integers(0, 2**60 - 1)), max_size=400))
+def test_simple8b_takes_the_narrowest_word_that_holds(values):
+    words, _, _ = simple8b.encode(np.array(values, dtype=np.uint64))
+    at, selectors = 0, []
+    while at < len(values):
+        selectors.append(next(
+            k for k, (count, bits) in enumerate(simple8b.SELECTORS)
+            if at + count <= len(values) and all(v < 1 << bits for v in values[at : at + count])
+        ))
+        at += simple8b.SELECTORS[selectors[-1]][0]
+    assert (words >> np.uint64(60)).tolist() == selectors
+
+
 def test_token_files(spark, docs, model, tmp_path):
     rows = [(3 * k - 5, t) for k, t in enumerate(TEXTS)] + [(1, "again"), (None, "no id")]
     folder = str(tmp_path / "ids")
