@@ -48,8 +48,23 @@ def signatures(docs: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray
     return sizes, mix(total[ends] - total[ends - sizes] + sizes.astype(np.uint64))
 
 
+def parities(docs: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """256 bits for each document's set: of every 256th part of all n-grams, whether it holds an odd number.
+
+    Sets that differ in d n-grams differ in d bits at most, so many different bits tell that two sets
+    are not similar, without a look at the sets.
+    """
+    bit = mix(hashes ^ np.uint64(0x2545F4914F6CDD1D))
+    found = np.zeros(4 * n, dtype=np.uint64)
+    np.bitwise_xor.at(found, 4 * docs + (bit >> np.uint64(6) & np.uint64(3)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return found.reshape(n, 4)
+
+
+_PARITY = ("p0", "p1", "p2", "p3")
+
+
 def _survey(size: int):
-    """Rows (doc_id, copy, n, sampled, node): size of each document's set, of its sampled columns, and its signature."""
+    """Rows (doc_id, copy, n, sampled, node and parities): of each document's set its size, its sampled columns, its signature."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,12 +74,14 @@ def _survey(size: int):
                 docs, hashes = sets(data, offsets, size)
                 sizes, nodes = signatures(docs, hashes, count)
                 sampled = np.bincount(docs[_in_sample(hashes)], minlength=count).astype(np.int64)
+                parity = parities(docs, hashes, count).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(c.slice(row, count) for c in batch.columns[:2]),
                         pa.array(sizes), pa.array(sampled), pa.array(nodes.view(np.int64)),
+                        *(pa.array(parity[:, k]) for k in range(4)),
                     ],
-                    names=["doc_id", "copy", "n", "sampled", "node"],
+                    names=["doc_id", "copy", "n", "sampled", "node", *_PARITY],
                 )
 
     return run
@@ -188,20 +205,44 @@ def _texts(batch: pa.RecordBatch) -> Iterator[pa.Array]:
         yield pa.array(texts, pa.large_binary())
 
 
-def _frequent(size: int, least: int):
-    """N-grams that many of the rows of a batch hold, with their counts there."""
+_COLUMNS = "block long, h binary, n binary"
+
+
+def _columns(size: int, blocks: int):
+    """All n-grams of the rows with their numbers of rows, some rows at a time, packed by blocks of their hashes."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [np.zeros(0, np.uint64)]
             for texts in _texts(batch):
+                held = [np.zeros(0, np.uint64)]
                 held += [sets(data, offsets, size)[1] for _, data, offsets in pieces(texts)]
-            grams, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= least
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["gram", "n"]
-            )
+                h, n = np.unique(np.concatenate(held), return_counts=True)
+                block = ((h >> np.uint64(16)) % np.uint64(blocks)).astype(np.int64)
+                order = np.argsort(block, kind="stable")
+                block, h, n = block[order], h[order], n[order].astype("<u4")
+                cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)])) if len(block) else np.zeros(1, int)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(block[cuts[:-1]], pa.int64()),
+                        pa.array([h[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                        pa.array([n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                    ],
+                    names=["block", "h", "n"],
+                )
+
+    return run
+
+
+def _frequent(least: int):
+    """N-grams of one block that at least so many rows hold, with their number of rows."""
+
+    def run(parts: pa.Table) -> pa.Table:
+        h, n = (np.frombuffer(b"".join(parts.column(c).to_pylist()), kind) for c, kind in (("h", np.uint64), ("n", "<u4")))
+        grams, place = np.unique(h, return_inverse=True)
+        counts = np.bincount(place, weights=n, minlength=len(grams)).astype(np.int64)
+        often = counts >= least
+        return pa.table({"gram": grams[often].view(np.int64), "n": counts[often]})
 
     return run
 
@@ -218,12 +259,12 @@ _TILE_NAMES = ["block", "h", "node", "n", "pos"]
 def _tiles(size: int, percent: int, blocks: int, hot):
     """Prefix columns of the rows, cut into tiles by n-gram hash.
 
-    Columns in the ``hot`` table go to tiles of their own, numbered from ``blocks`` on, one per batch.
+    The rarer of the frequent columns come before the others, all of them after the rest. Columns in the ``hot`` table go to tiles of their own, numbered from ``blocks`` on, one per batch.
     """
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = hot.value
+        frequent, level = hot.value
         for batch in batches:
             held = []
             for texts in _texts(batch):
@@ -231,8 +272,10 @@ def _tiles(size: int, percent: int, blocks: int, hot):
                     count = len(offsets) - 1
                     docs, hashes = sets(data, offsets, size)
                     sizes, nodes = signatures(docs, hashes, count)
-                    common = np.isin(hashes, frequent)
-                    order = np.lexsort((hashes, common, docs))
+                    at = np.searchsorted(frequent[:-1], hashes)
+                    rank = np.where(frequent[at] == hashes, level[at], 0)
+                    common = rank > 0
+                    order = np.lexsort((hashes, rank, docs))
                     docs, hashes, common = docs[order], hashes[order], common[order]
                     place = np.arange(len(docs)) - (np.cumsum(sizes) - sizes)[docs]
                     keep = place < prefix_length(sizes, percent)[docs]
@@ -312,6 +355,12 @@ def product(left: DataFrame, right: DataFrame, percent: int, condition) -> DataF
     return pairs.where(F.col("shared") >= shared_least(percent))
 
 
+def parities_fit(percent: int):
+    """Whether two rows differ in so few bits that they can have the wanted overlap."""
+    bits = [F.bit_count(F.col(f"{p}a").bitwiseXOR(F.col(f"{p}b"))) for p in _PARITY]
+    return sum(bits[1:], bits[0]) <= F.col("na") + F.col("nb") - 2 * need("na", "nb", percent)
+
+
 def _sizes_fit(a: str, b: str, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
@@ -409,9 +458,10 @@ def near_duplicates(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     copy = F.xxhash64(F.coalesce(text, F.lit(""))).alias("copy")
     frame = docs.select(F.col(doc_id).cast("long").alias("doc_id"), copy, F.col(text).alias("text"))
-    members = materialise(frame.mapInArrow(_survey(size), "doc_id long, copy long, n long, sampled long, node long"))
+    members = materialise(frame.mapInArrow(_survey(size), "doc_id long, copy long, n long, sampled long, node long, p0 long, p1 long, p2 long, p3 long"))
     nodes = members.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.min("copy").alias("copy"), F.first("n").alias("n"), F.first("sampled").alias("sampled")
+        F.min("doc_id").alias("rep"), F.min("copy").alias("copy"), F.first("n").alias("n"), F.first("sampled").alias("sampled"),
+        *(F.first(p).alias(p) for p in _PARITY),
     )
     blocks = max(partitions, int((nodes.agg(F.sum("sampled").alias("t")).first()["t"] or 0) // block_rows) + 1)
     shared = (
@@ -428,12 +478,19 @@ def near_duplicates(
     )
     texts = materialise(texts.select("node", "n", "t.z", "t.z_len"))
 
-    hot = texts.select("z", "z_len").mapInArrow(_frequent(size, 8), "gram long, n long")
-    hot = hot.groupBy("gram").agg(F.sum("n").alias("n")).where("n >= 64")
-    hot = hot.orderBy(F.desc("n"), "gram").limit(most_hot).select("gram").toPandas()["gram"].to_numpy(np.int64)
-    hot = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
-    total = texts.agg(F.sum(F.col("n") / 4 + 1).alias("t")).first()["t"] or 0
-    blocks = max(partitions, int(total // block_rows) + 1)
+    total, columns = texts.agg(F.sum(F.col("n") / 4 + 1), F.sum("n")).first()
+    blocks = max(partitions, int((total or 0) // block_rows) + 1)
+    parts = max(partitions, int((columns or 0) // block_rows) + 1)
+    # counted over all rows, so that neither the partitions nor the batches decide what is frequent
+    hot = texts.select("z", "z_len").mapInArrow(_columns(size, parts), _COLUMNS)
+    hot = hot.groupBy("block").applyInArrow(_frequent(64), "gram long, n long")
+    hot = hot.orderBy(F.desc("n"), "gram").limit(most_hot).toPandas()
+    grams, counts = hot["gram"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64)
+    order = np.argsort(grams)
+    # the last entry only keeps a search inside the array
+    hot = spark.sparkContext.broadcast(
+        (np.append(grams[order], np.uint64(0)), np.append(np.log2(counts[order]).astype(np.uint8), np.uint8(0)))
+    )
     incidence = materialise(
         texts.select("z", "z_len").mapInArrow(_tiles(size, percent, blocks, hot), _TILE)
         .groupBy("block").applyInArrow(_shared_columns(blocks), "h long, node long, n int, pos int")
@@ -456,12 +513,14 @@ def near_duplicates(
         "h", "node", "n", "pos", F.coalesce("component", "node").alias("component")
     )
     mixed = grouped.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    grouped = materialise(grouped.join(mixed.select("h"), "h"))
+    grouped = materialise(grouped.join(mixed.select("h"), "h").join(nodes.select("node", *_PARITY), "node"))
     left, right = (
-        grouped.select("h", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("pos").alias(f"p{c}"), F.col("component").alias(f"c{c}"))
+        grouped.select("h", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("pos").alias(f"p{c}"), F.col("component").alias(f"c{c}"), *(F.col(p).alias(f"{p}{c}") for p in _PARITY))
         for c in "ab"
     )
-    rest = product(left, right, percent, (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
+    # near copies of one text may share what all of them hold and still be too far from each other: their parities tell most
+    apart = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & parities_fit(percent)
+    rest = product(left, right, percent, apart)
     rest = rest.join(
         first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
     )

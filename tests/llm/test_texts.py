@@ -121,6 +121,53 @@ def test_jaccard_rows_that_share_common_passages(docs):
     assert 1 < len({c for _, c in got.values()}) < 80
 
 
+def pairs_compared(monkeypatch, rows):
+    """Numbers of pairs that are compared exactly, in the first product and in the second."""
+    seen, whole = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or whole(pairs, *rest))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(rows).collect()}
+    return seen, got
+
+
+def test_jaccard_pairs_of_near_copies_that_are_too_far_apart(docs, monkeypatch):
+    """Copies of one text with edits of their own, which are no links of each other, are not all compared with all."""
+    rng, rows = random.Random(21), []
+    for k in range(120):
+        own = [f"c{j}" for j in range(150)]
+        for at in rng.sample(range(0, 150, 5), 6):
+            own[at + rng.randrange(4)] = f"e{k}-{at}"
+        rows.append((k, " ".join(own)))
+    seen, got = pairs_compared(monkeypatch, docs(*rows))
+    assert got == brute.components(rows)
+    assert seen[1] < 1200  # of 7140
+
+
+def test_jaccard_frequent_columns_do_not_depend_on_partitions(spark, docs, monkeypatch):
+    """A passage that many texts hold, one or two of them in a partition."""
+    passage = " ".join(f"p{j}" for j in range(104))
+    rows = [(k, " ".join([passage, *(f"own{k}-{j}" for j in range(20))])) for k in range(90)]
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "45")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        seen, got = pairs_compared(monkeypatch, docs(*rows).repartition(45))
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    assert got == brute.components(rows)
+    assert sum(seen) < 400  # of 4005
+
+
+def test_parities_differ_in_no_more_bits_than_sets(docs):
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    for changed in (0, 1, 20, 80):
+        b = np.concatenate((a[changed:], rng.integers(0, 2**64, changed, dtype=np.uint64)))
+        both = ngram_join.parities(np.repeat([0, 2], 300), np.concatenate((a, b)), 3)
+        differ = sum(int(x).bit_count() for x in both[0] ^ both[2])
+        assert differ <= 2 * changed and differ >= changed / 2 and not both[1].any()
+
+
 ITEMS = [
     (1, "The quick brown fox jumps over the lazy dog and runs far away from here, today"), (2, "Short item"), (3, None),
     (4, "..."), (5, "short ITEM"), (6, "one two three four five six seven eight nine ten eleven twelve thirteen"), (None, "lost item"),
