@@ -1,8 +1,10 @@
 """Token ids of whole columns of texts with a public tokenizer."""
 
 import base64
+import json
 import os
 import re
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -13,6 +15,9 @@ import pyarrow.compute as pc
 _BLANK = r"[\s\v\x{85}\x{1c}-\x{1f}\p{Z}]"
 _WIDE = rf"{_BLANK} (?:{_BLANK}|$)"
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
+#: Latin letters, signs behind them, and the same again on the next line: the public pattern cuts between these parts.
+_LETTERS, _SIGNS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-/:-@\[-`{-~"
+_PARTS = re.compile(rf"([{_LETTERS}]+)([{_SIGNS}]*)(?:\n([{_LETTERS}]+)([{_SIGNS}]*))?")
 _OPEN: dict[str, "Encoder"] = {}
 
 
@@ -25,12 +30,13 @@ class Encoder:
 
     A byte-level BPE of this kind never merges across the space that begins a word, so a text's ids
     are those of its words put together. Words met before come from a cache of two generations of
-    ``most`` words each; the others are encoded as one text and told apart by the bytes that each id
-    stands for.
+    ``most`` words each. Others that are letters with signs behind them are put together from the ids
+    of these parts, where the file's pattern cuts there; the rest is encoded as one text and told
+    apart by the bytes that each id stands for.
     """
 
     def __init__(self, path: str, most: int = 200_000):
-        self.most, self.known, self.older = most, {}, {}
+        self.most, self.known, self.older, self._model, self._signs = most, {}, {}, None, {}
         if path.endswith(".tiktoken"):
             import tiktoken
 
@@ -40,13 +46,20 @@ class Encoder:
             self._ids, widths = model.encode_ordinary, {k: len(b) for b, k in ranks.items()}
         else:
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-            from tokenizers import Tokenizer
+            from tokenizers import Tokenizer, pre_tokenizers
 
             model = Tokenizer.from_file(path)
             special = {t.content for t in model.get_added_tokens_decoder().values()}
             # one letter stands for one byte, but for special tokens
             widths = {k: len(t.encode()) if t in special else len(t) for t, k in model.get_vocab().items()}
             self._ids = lambda text: model.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            cut = json.loads(model.pre_tokenizer.__getstate__()) if model.pre_tokenizer else {}
+            public = cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
+            if public and model.normalizer is None and all(re.search(rf"[^{_LETTERS}]", t) for t in special):
+                plain = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+                letters = re.findall(rf"[ {_LETTERS}]", "".join(map(chr, range(0x250))))
+                self._bytes = str.maketrans({c: plain.pre_tokenize_str(c)[0][0] for c in letters})
+                self._model, self._space = model.model, self._bytes[ord(" ")]
         self.widths = np.zeros(max(widths, default=0) + 1, dtype=np.int64)
         for k, width in widths.items():
             self.widths[k] = width
@@ -54,10 +67,62 @@ class Encoder:
     def one(self, text: str) -> bytes:
         return np.array(self._ids(text), dtype="<u4").tobytes()
 
+    def _run(self, letters: str) -> bytes:
+        """Ids of letters that the pattern does not cut, with a space before them or none."""
+        mapped = letters.replace(" ", self._space) if letters.isascii() else letters.translate(self._bytes)
+        return array("I", [t.id for t in self._model.tokenize(mapped)]).tobytes()
+
+    def _tail(self, signs: str) -> bytes:
+        ids = self._signs.get(signs)
+        if ids is None:
+            if len(self._signs) >= 10_000:
+                self._signs.clear()
+            ids = self._signs[signs] = self.one(signs)
+        return ids
+
+    def _from_parts(self, words: list[str], missing: list[int], found: list[bytes | None]) -> list[int]:
+        """Fills in the words that are made of letters and signs and gives the places of the others.
+
+        Letters with a space before them are kept as the word they are, without one as bytes.
+        """
+        known, older, left = self.known, self.older, []
+        for k in missing:
+            word = words[k]
+            ids = older.get(word)
+            if ids is None and word.isascii() and word.isalpha():
+                ids = self._run(" " + word)
+            if ids is not None:
+                found[k] = known[word] = ids
+                continue
+            parts = _PARTS.fullmatch(word)
+            if parts is None:
+                left.append(k)
+                continue
+            stem, signs, head, more = parts.groups()
+            ids = known.get(stem)
+            if ids is None:
+                ids = older.get(stem)
+                known[stem] = ids = self._run(" " + stem) if ids is None else ids
+            if signs:
+                ids += self._tail(signs)
+            if head:
+                key = head.encode()
+                next_ids = known.get(key)
+                if next_ids is None:
+                    next_ids = older.get(key)
+                    known[key] = next_ids = self._run(head) if next_ids is None else next_ids
+                ids += self._tail("\n") + next_ids
+                if more:
+                    ids += self._tail(more)
+            found[k] = ids
+        return left
+
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word with a space before it, as bytes of unsigned 32-bit integers."""
         found = list(map(self.known.get, words))
         missing = [k for k, ids in enumerate(found) if ids is None]
+        if self._model is not None:
+            missing = self._from_parts(words, missing, found)
         if self.older:
             before = map(self.older.get, [words[k] for k in missing])
             again = [(k, ids) for k, ids in zip(missing, before) if ids is not None]

@@ -44,6 +44,23 @@ def test_encoder_forgets_without_harm(model):
             assert ids[ends[k] : ends[k + 1]].tolist() == model.encode(text or "", add_special_tokens=False).ids
 
 
+def test_signs_behind_letters_cost_no_new_words(model, monkeypatch):
+    coder = tokens.Encoder(tokens.vocabulary())
+    stems = ["the", "edthly", "Geer\u00e9", "\u00d6heitsch\u00df", "I", "x" * 300]
+    ends = ["", ".", ",", "'", "...", "$$$", "<|", "'.\nNext", "\ns", ".\n\u00dcber,", "!\nedthly?!"]
+    odd = ["don't", "a1.", "a.b", "a.\n\nb", "a \nb", "a.\n", "\nb", "<|endoftext|>", "a<|endoftext|>", "e\u0301.", "\u65e5.", "a_b", "a\n'b"]
+    plain = [stem + end for stem in stems for end in ends]
+    seen, encode = [], coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda text: seen.append(text) or encode(text))
+    for words in (plain, odd, plain + odd):
+        text = "x " + " ".join(words)
+        ids, _ = coder.column(pa.array([text], pa.large_string()))
+        assert ids.tolist() == model.encode(text, add_special_tokens=False).ids
+        # letters go to the model as they are; what is encoded as text are signs, each kind once, and the texts' first words
+        assert words is not plain or not any(stem in text for text in seen for stem in stems[1:4])
+    assert len(seen) == len(set(seen)) + 2
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 1), st.integers(0, 50_256), st.integers(0, 2**64 - 1)), max_size=400))
 def test_simple8b_round_trip(values):
