@@ -33,18 +33,20 @@ def measured(forked: DataFrame, *keep: str, fields: Fields = FieldMap()) -> Data
 
 
 def _measures() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.bit_or("funcs").alias("funcs"), *_measures_of("value", "wide")]
+
+
+def _measures_of(value: str, wide: str, end: str = "") -> list[Column]:
     # every buffer is a fixed-width number, so this stays a hash aggregate
     return [
-        F.sum("value").alias("total"),
-        F.count(F.lit(1)).alias("n"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.bit_or("funcs").alias("funcs"),
-        F.count("wide").alias("n_overflow"),
+        F.sum(value).alias(f"total{end}"),
+        F.min(value).alias(f"low{end}"),
+        F.max(value).alias(f"high{end}"),
+        F.count(wide).alias(f"n_overflow{end}"),
         # only what the decimals leave out, so ordinary groups stay exact
-        F.sum("wide").alias("wide_total"),
-        F.min("wide").alias("wide_low"),
-        F.max("wide").alias("wide_high"),
+        F.sum(wide).alias(f"wide_total{end}"),
+        F.min(wide).alias(f"wide_low{end}"),
+        F.max(wide).alias(f"wide_high{end}"),
     ]
 
 
@@ -93,6 +95,63 @@ def partials(
     )
 
 
+def partials_of_rules(
+    forked: DataFrame, side: DataFrame, most_fields: int, keyless: str = "running", fields: Fields = FieldMap()
+) -> DataFrame:
+    """As :func:`partials`, for a small set of rules that stays as it is while the job runs.
+
+    Where most groups are small, the partial aggregates are as many as the events, and their width is the
+    cost of the job. So all fields of a rule (at most ``most_fields``) stand side by side in one row per
+    group, and the key is the rule's id instead of its columns, which come back from ``side`` (the
+    rules as :func:`tallyloom.operators.fork.matcher` gives them) by a broadcast join. A rule that was edited between
+    the two reads of the rules is an error.
+    """
+    # a small number for what a rule says: rules that differ are not taken for one another
+    says = F.xxhash64("table_name", "grouping_keys", "wanted").alias("_rule")
+    running = (F.size("grouping_keys") == 0) if keyless == "running" else F.lit(False)
+    slots = range(most_fields)
+    name = [F.get(F.col("wanted"), F.lit(i))["field"] for i in slots]
+    start = F.when(~running, F.col("window_start_ms"))
+    # a hash comes first: groups that outgrow the memory are sorted by the key, of which the first number decides at once
+    key = ["_hash", "rule_id", "_rule", "grouping_values", "_start"]
+    rows = forked.select(
+        F.xxhash64("rule_id", "grouping_values", start).alias("_hash"),
+        "rule_id", says, "grouping_values", start.alias("_start"), *WINDOW,
+        F.size("wanted").alias("_size"), *[fields.decimal(name[i]).alias(f"_number{i}") for i in slots],
+        *[fields.double(name[i]).alias(f"_double{i}") for i in slots],
+    ).filter("_size > 0")
+    beyond = [overflows(F.col(f"_number{i}"), F.col(f"_double{i}")) for i in slots]
+    # rules that were edited after their size was checked must not lose a field
+    changed = F.raise_error(F.lit("a rule got more fields while the job was planned: run it again"))
+    rows = rows.select(
+        *key, *WINDOW, F.when(F.col("_size") <= most_fields, 1).otherwise(changed.cast("int")).alias("_one"),
+        *[F.when(~beyond[i], number(F.col(f"_number{i}"))).alias(f"value{i}") for i in slots],
+        *[F.when(beyond[i], F.col(f"_double{i}")).alias(f"wide{i}") for i in slots],
+    )
+    done = rows.groupBy(*key).agg(
+        F.count("_one").alias("n"),
+        *[m for i in slots for m in _measures_of(f"value{i}", f"wide{i}", str(i))],
+        *[F.max(c).alias(c) for c in WINDOW],
+    )
+    said = F.broadcast(side.select("rule_id", says, "table_name", "grouping_keys", "wanted"))
+    edited = F.raise_error(F.lit("a rule was edited while the job ran: run it again"))
+    wanted = F.when(F.col("wanted").isNotNull(), F.col("wanted")).otherwise(edited.cast(side.schema["wanted"].dataType))
+    measures = [m for m in _MEASURES if m not in ("n", "funcs")]
+    each = [
+        F.struct(F.get(F.col("wanted"), F.lit(i))["field"].alias("field"), F.get(F.col("wanted"), F.lit(i))["funcs"].alias("funcs"),
+                 *[F.col(f"{m}{i}").alias(m) for m in measures])
+        for i in slots
+    ]
+    joined = done.join(said, ["rule_id", "_rule"], "left").withColumn("wanted", wanted)
+    return joined.select(
+        *GROUP, *WINDOW, "n", F.col("_start").isNull().alias("running"),
+        F.inline(F.slice(F.array(*each), F.lit(1), F.size("wanted"))),
+    ).select(
+        *GROUP, *WINDOW, "field", *_MEASURES, "running",
+        F.lit(None).cast("bigint").alias("part"), F.lit(0).cast("bigint").alias("epoch"),
+    )
+
+
 def whole(parts: DataFrame) -> DataFrame:
     """The parts of every group added up; a running total has the bounds of its latest window."""
     key = [F.when(~F.col("running"), F.col(c)).alias(f"_{c}") for c in WINDOW]

@@ -2,14 +2,18 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.fields import FieldColumns, FieldMap, Fields
-from tallyloom.operators.aggregate import finish, partials
+from tallyloom.operators.aggregate import finish, partials, partials_of_rules
 from tallyloom.operators.asof import fork_asof, rule_versions
-from tallyloom.operators.fork import fork
+from tallyloom.operators.bounded import check_size
+from tallyloom.operators.fork import fork, matcher
 from tallyloom.sources.tables import columns_as_events
 
+# Up to this many fields of a rule are aggregated side by side.
+_MAX_FIELDS = 4
+
 
 def evaluate(
     indicators: DataFrame,
@@ -20,6 +24,11 @@ def evaluate(
 ) -> DataFrame:
     """Every active rule over every event, as long results."""
     forked = fork(indicators, rules, small_rules, fields)
+    if small_rules is None and "epoch" not in rules.columns:
+        side = matcher(rules)
+        most = check_size(side, F.size("wanted")).most
+        if 0 < (most or 0) <= _MAX_FIELDS:
+            return finish(partials_of_rules(forked, side, most, keyless, fields))
     return finish(partials(forked, keyless, fields=fields))
 
 

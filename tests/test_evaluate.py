@@ -11,7 +11,7 @@ from tallyloom.functions.fields import FieldColumns
 from tallyloom.functions.numbers import mean
 from tallyloom.functions.windows import bound_text, window_start
 from tallyloom.operators import bounded, fork as fork_module
-from tallyloom.operators.aggregate import finish, last_event, merge, partials
+from tallyloom.operators.aggregate import finish, last_event, merge, partials, partials_of_rules
 from tallyloom.operators.asof import rule_versions
 from tallyloom.operators.documents import (
     addressed, compact, current_results, document_json, documents, write_versions,
@@ -21,6 +21,7 @@ from tallyloom.operators.lookup import widen
 from tallyloom.operators.rules import repeated_ids
 from tallyloom.operators.running import lookback_values, running_values
 from tallyloom.operators.thresholds import passes
+from tallyloom.plans import evaluate as evaluate_module
 from tallyloom.plans.evaluate import evaluate, evaluate_table, replay
 from tallyloom.sources.rules import parse_rules, usable
 
@@ -231,6 +232,31 @@ def test_columns_give_the_same_as_the_map(spark, events, rules):
     assert values(evaluate_table(frame, "t", "ts", ["v", "k"], some)) == values(evaluate(events(*rows), some))
 
 
+def test_fields_side_by_side_give_the_same_as_a_row_per_field(events, rules):
+    texts = ["1.5", "abc", None, "1e25", "4e-9", "-2.25", "NaN"]
+    rows = [
+        (i, "t", 1000 * i, {"v": texts[i % 7], "w": texts[i % 5], "k": "ab"[i % 2]} | ({"x": "3"} if i % 3 else {}))
+        for i in range(200)
+    ]
+    some = rules(
+        f"1,t,active,k,{ALL}&w:sum&x:max,1", "2,t,active,,v:sum&w:avg,2", "3,t,active,zone&k,w:count,3",
+        "4,t,pause,k,v:sum,1", "5,t,active,k,nosuch:sum,1", "6,u,active,k,v:sum,1",
+    )
+    assert 3 <= evaluate_module._MAX_FIELDS
+    for keyless in ("running", "windowed"):
+        key = lambda r: tuple(map(str, r))
+        want = sorted(finish(partials(fork(events(*rows), some), keyless)).collect(), key=key)
+        got = sorted(evaluate(events(*rows), some, keyless).collect(), key=key)
+        assert len(want) > 40 and got == want
+
+
+def test_rules_edited_while_the_job_runs_are_an_error(events, rules):
+    forked = fork(events((1, "t", 10, {"v": "1", "w": "2", "k": "a"})), rules("1,t,active,k,v:sum&w:sum,1"))
+    for line, most in (("1,t,active,k,v:sum&w:max,1", 2), ("1,t,active,k,v:sum,1", 1)):
+        with pytest.raises(Exception, match="run it again"):
+            partials_of_rules(forked, fork_module.matcher(rules(line)), most).collect()
+
+
 def test_column_values_as_zero(spark, rules):
     frame = spark.createDataFrame(
         [(float("nan"), "a"), (float("inf"), "b"), (None, "c"), (1e25, "d"), (2.5, "e")], "v double, w string"

@@ -37,6 +37,18 @@ def test_evaluation_is_one_shuffle_of_partial_hash_aggregates(spark, rules):
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_fields_of_a_rule_stand_side_by_side_under_a_narrow_key(spark, rules):
+    lines = table(spark, FOLDER, "lineitem")
+    some = rules("1,li,active,l_suppkey,l_quantity:sum&l_tax:max,60", "2,li,active,l_linestatus,l_tax:avg,60")
+    columns = ["l_suppkey", "l_linestatus", "l_quantity", "l_tax"]
+    done = evaluate_table(lines, F.lit("li"), "l_shipdate", columns, some)
+    exchange = [x for x in events_side(plan(done)).split("\n") if "Exchange hashpartitioning" in x]
+    assert len(exchange) == 1
+    assert not [x for x in ("table_name", "grouping_keys", "field") if x in exchange[0]]
+    text = events_side(plan(done))
+    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text and "ObjectHash" not in text
+
+
 def test_only_needed_columns_are_read(spark, rules):
     lines = table(spark, FOLDER, "lineitem")
     done = evaluate_table(
