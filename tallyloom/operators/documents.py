@@ -169,6 +169,12 @@ def write_parts(parts: DataFrame, path: str, batch: int, generation: int = 0, fo
     )
 
 
+def batch_parts(spark: SparkSession, path: str, batch: int, generation: int = 0) -> DataFrame:
+    """The parts that one batch has written; its folder may hold none."""
+    written = spark.read.schema(PARTS).parquet(f"{path}/batches/generation={generation}/batch={batch}")
+    return written.select(*PARTS.names)
+
+
 def read_parts(spark: SparkSession, path: str, folder: str = "batches") -> DataFrame:
     """All versions of all parts."""
     schema = T.StructType(list(PARTS.fields)).add("generation", T.IntegerType()).add("batch", T.LongType()).add("index", T.StringType())

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.operators.aggregate import finish, partials
-from tallyloom.operators.documents import write_parts
+from tallyloom.operators.documents import batch_parts, write_parts
 from tallyloom.operators.fork import fork
 from tallyloom.operators.rules import active
 
@@ -108,16 +108,10 @@ def start(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        if side_output is None:
-            write_parts(batch, path, number, generation)
-            return
-        # read twice, so keep the batch's aggregates; Spark recomputes lost parts of it
-        batch.persist()
-        try:
-            write_parts(batch, path, number, generation)
-            side_output(finish(batch), number)
-        finally:
-            batch.unpersist()
+        write_parts(batch, path, number, generation)
+        if side_output is not None:
+            # from the rows just written: the batch is computed once and not kept in memory beside the state
+            side_output(finish(batch_parts(batch.sparkSession, path, number, generation)), number)
 
     writer = parts.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:

@@ -229,6 +229,22 @@ def test_side_outputs(source, spark, rules):
     assert metrics[0]["events"] == 2 and metrics[0]["max_latency_ms"] >= 0
 
 
+def test_side_output_reads_what_was_written_instead_of_a_copy_in_memory(source, rules):
+    seen = []
+
+    def look(results, number):
+        plan = results._jdf.queryExecution().executedPlan().toString()
+        rows = {(r.grouping_values[0], r.metric): float(r.value) for r in results.collect()}
+        seen.append(("InMemoryTableScan" in plan, rows))
+
+    some = rules("1,t,active,k,v:sum,1")
+    source.add(("t", "a", 1, 10), ("t", "b", 2, 10))
+    source.add(("other", "a", 1, 10))  # changes nothing
+    source.add(("t", "a", 4, 20))
+    source.run(update_partials(source.stream(), some, None), side_output=look)
+    assert seen == [(False, {("a", "v-SUM"): 1, ("b", "v-SUM"): 2}), (False, {}), (False, {("a", "v-SUM"): 5})]
+
+
 def test_latency(events, rules):
     rows = events((0, "t", 10, {"v": "1", "k": "a"})).withColumn("ingestion_time", F.timestamp_millis(F.lit(1000)))
     forked = fork(rows, rules("1,t,active,k,v:sum,1"))
