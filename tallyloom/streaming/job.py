@@ -15,6 +15,7 @@ from tallyloom.operators.aggregate import finish, partials
 from tallyloom.operators.documents import batch_parts, write_parts
 from tallyloom.operators.fork import fork
 from tallyloom.operators.rules import active
+from tallyloom.session import state_on_disk
 
 # fixed values: the default bound on lateness for closing a window, and the default
 # time for which state is kept
@@ -104,7 +105,8 @@ def start(
     State is recovered from ``checkpoint``; a batch that is repeated after a failure
     replaces its own folder, so every result counts once. ``side_output`` is called
     with the results of what each batch changed, for latency, alerts or exports; a group that is
-    kept in several parts shows the changed one.
+    kept in several parts shows the changed one. State is kept on the executors' disks
+    unless the session names a store (:func:`tallyloom.session.state_on_disk`).
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -116,7 +118,8 @@ def start(
     writer = parts.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    with state_on_disk(parts.sparkSession):
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def observed(forked: DataFrame, name: str = "evaluation", now: Column | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from tallyloom.operators.lookup import widen
 from tallyloom.operators.rollup import read_rollup, update_rollup
 from tallyloom.plans.evaluate import evaluate
 from tallyloom.sources.lines import indicators_from_lines, stream_lines
+from tallyloom.sources.rules import parse_rules, usable
 from tallyloom.streaming.change_feed import asof_partials, live_changes, maintain_rules, stream_changes
 from tallyloom.streaming.closing import closed_results, late_rows, start_closing
 from tallyloom.streaming.dimension_feed import live_dimension, publish_dimension, seen_versions
@@ -219,6 +220,32 @@ def test_restart_goes_on_from_the_checkpoint(source, rules):
     assert source.results() == {(1, ("a",), 0, "v-COUNT"): 3}
 
 
+def test_state_is_kept_on_disk_unless_the_session_names_a_store(spark, tmp_path):
+    """The store shows in the metrics; a session's own choice holds, and a stream keeps the store that it began with."""
+    session = spark.newSession()
+    given = "spark.sql.streaming.stateStore.providerClass"
+    in_memory = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    some = usable(parse_rules(session.createDataFrame([("1,t,active,k,v:sum,1",)], "line string"))).drop("line")
+
+    def on_disk(source, value):
+        source.add(("t", "a", value, 10))
+        query = source.run(update_partials(source.stream(), some, None))
+        state = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+        assert state[-1]["numRowsTotal"] == 1
+        return "rocksdbPutCount" in state[-1]["customMetrics"]
+
+    (tmp_path / "free").mkdir()
+    (tmp_path / "named").mkdir()
+    free, named = Source(session, tmp_path / "free"), Source(session, tmp_path / "named")
+    session.conf.unset(given)
+    assert on_disk(free, 1) and session.conf.get(given, None) is None
+    assert on_disk(free, 2) and list(free.results().values()) == [3]
+    session.conf.set(given, in_memory)
+    assert not on_disk(named, 1) and session.conf.get(given) == in_memory
+    session.conf.unset(given)
+    assert not on_disk(named, 2) and list(named.results().values()) == [3]
+
+
 def test_side_outputs(source, spark, rules):
     seen = []
     source.add(("t", "a", 1, 10), ("t", "b", 1, 10))
